@@ -12,6 +12,7 @@ of wasted room does not depend on the number of shards.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 
@@ -194,16 +195,34 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.words: Cache = Cache()
+        self.parts: Cache = Cache()
+        self.simple = re.compile(r"([^\W\d_]+)([.,!?;:#$%&*)]+)")
+
+    def learn(self, new: list[str]) -> None:
+        """Encode unseen chunks.  Letters and the ASCII punctuation after them never merge, so they are looked up apart."""
+        parts = {w: m.groups() for w in new if (m := self.simple.fullmatch(w))}
+        todo = [w for w in new if w not in parts]
+        todo += [w for w in {x for p in parts.values() for x in p} if w not in self.parts]
+        for w, e in zip(todo, self.library.encode_batch_fast(todo, add_special_tokens=False)):
+            self.parts[w] = array("I", e.ids).tobytes()
+        for w in new:
+            a, b = parts.get(w, (w, ""))
+            self.words[w] = self.parts[a] + self.parts[b]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text, without special tokens added."""
         self.words.trim()
+        self.parts.trim()
+        self.parts[""] = b""
         cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = list(set().union(*cut).difference(self.words))
-        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.words[w] = array("I", e.ids).tobytes()
-        take = self.words.__getitem__
-        return [b"".join(map(take, c)) for c in cut]
+        get = self.words.get
+        got = [list(map(get, c)) for c in cut]
+        gaps = [(c, g, [k for k, x in enumerate(g) if x is None]) for c, g in zip(cut, got) if None in g]
+        self.learn(list({c[k] for c, _, at in gaps for k in at}))
+        for c, g, at in gaps:
+            for k in at:
+                g[k] = self.words[c[k]]
+        return [b"".join(g) for g in got]
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
