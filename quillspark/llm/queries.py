@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm.byte_bpe import byte_bpe_digests
+from quillspark.llm.minhash import near_duplicates
 from quillspark.llm.packing import pack_documents
 from quillspark.llm.token_counts import token_counts
 
@@ -24,12 +25,16 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op7_byte_bpe, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op7_byte_bpe, op9_minhash_near_dedup, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
