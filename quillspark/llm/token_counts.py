@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,9 @@ from quillspark.llm.texts import Cache, map_texts
 #: The split pattern of the byte-level vocabularies (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: A rank above all others.
+NEVER = 1 << 30
+
 
 class PrefixCounter:
     """Prefix tables for one vocabulary."""
@@ -39,29 +43,68 @@ class PrefixCounter:
         self.pattern = regex.compile(PATTERN)
         self.space, self.trailing = regex.compile(r"\s+"), regex.compile(r"\s*")
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
+        self.edges: tuple[dict, dict] = ({}, {})
         self.fits: Cache = Cache()
         self.tables: Cache = Cache()
         self.counts: Cache = Cache()
 
-    def merge(self, piece: bytes) -> list[bytes]:
-        """Plain merging of a few bytes; only for judging pairs of tokens."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
+    def split(self, token: bytes) -> tuple[bytes, bytes] | None:
+        """The two parts whose merge is the last when ``token`` is merged alone; None if that doesn't give ``token``."""
+        parts = [token[i : i + 1] for i in range(len(token))]
+        last = None
         while len(parts) > 1:
-            rank, at = min((self.merges.get((a, b), 1 << 30), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-            if rank == 1 << 30:
-                break
+            rank, at = min((self.merges.get((a, b), NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank == NEVER:
+                return None
+            last = parts[at], parts[at + 1]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return last or (token, b"")
+
+    def edge(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+        """What stands at the token's first (0) or last (1) place while it is merged, each with the rank that ends it."""
+        held = self.edges[side].get(token)
+        if held is None:
+            parts = self.split(token)
+            if parts is None:
+                held = []
+            elif not parts[1]:
+                held = [(token, NEVER)]
+            else:
+                inner = self.edge(parts[side], side)
+                held = [*inner[:-1], (inner[-1][0], self.merges[parts]), (token, NEVER)]
+            self.edges[side][token] = held
+        return held
 
     def stands(self, last: bytes | None, token: bytes) -> bool:
-        """Whether merging ``last + token`` gives these two back (or ``token`` alone itself)."""
-        got = self.merge(token) == [token] if last is None else self.merge(last + token) == [last, token]
+        """Whether merging ``last + token`` gives these two back (or ``token`` alone itself).
+
+        It does unless some merge across the border comes before the merges that take
+        the symbols at the border away; at equal rank the left one comes first.
+        """
+        right = self.edge(token, 0)
+        got = bool(right)
+        if got and last is not None:
+            left, i, j = self.edge(last, 1), 0, 0
+            while True:
+                (a, until_a), (b, until_b) = left[i], right[j]
+                rank = self.merges.get((a, b), NEVER)
+                if rank < until_a and rank <= until_b and rank < NEVER:
+                    got = False
+                    break
+                if until_a == until_b == NEVER:
+                    break
+                if until_a <= until_b:
+                    i += 1
+                else:
+                    j += 1
         self.fits[last, token] = got
         return got
 
     def piece(self, raw: bytes) -> list[int] | bytes:
         """Token counts of every byte prefix of a piece, the empty one first."""
         table = self.tables.get(raw)
+        if table is None:
+            table = self.tables.recall(raw)
         if table is None:
             n, whole, fits = len(raw), self.whole, self.fits
             table, last = [0] * (n + 1), [None] * (n + 1)
@@ -83,6 +126,8 @@ class PrefixCounter:
     def chunk(self, chunk: str) -> int:
         """Token count of a chunk."""
         n = self.counts.get(chunk)
+        if n is None:
+            n = self.counts.recall(chunk)
         if n is None:
             n = sum(self.piece(p.encode())[-1] for p in self.pattern.findall(chunk))
             if len(chunk) <= 64:
@@ -101,7 +146,7 @@ class PrefixCounter:
             yield text[at:], False
 
     def table(self, text: str | None) -> tuple[list[str], list[int]]:
-        """Chunks (special strings are chunks of their own) and the counts at their ends."""
+        """Chunks (special strings are chunks of their own) and the token count of each."""
         if not text:
             return [], []
         self.counts.trim()
@@ -109,14 +154,16 @@ class PrefixCounter:
         self.fits.trim()
         if self.special is None or not any(s in text for s in self.added):
             cut = chunks(text)
-            known = self.counts
-            return cut, np.cumsum([known[c] if c in known else self.chunk(c) for c in cut]).tolist()
+            counts = list(map(self.counts.get, cut))
+            if None in counts:
+                counts = [self.chunk(c) if n is None else n for n, c in zip(counts, cut)]
+            return cut, counts
         cut, counts = [], []
         for part, special in self.parts(text):
             new = [part] if special else chunks(part)
             cut += new
             counts += [1] if special else map(self.chunk, new)
-        return cut, np.cumsum(counts).tolist()
+        return cut, counts
 
     def inside(self, before: str, chunk: str) -> list[int]:
         """Counts at every character prefix of a chunk, given what precedes it (a space run joins it).
@@ -155,6 +202,7 @@ class PrefixCounter:
         if not text or chars <= 0:
             return 0
         cut, counts = self.table(text)
+        counts = np.cumsum(counts).tolist()
         ends = np.cumsum([len(c) for c in cut]).tolist()
         k = bisect_right(ends, chars)
         done, at = (counts[k - 1], ends[k - 1]) if k else (0, 0)
@@ -169,6 +217,7 @@ class PrefixCounter:
     def longest_within(self, text: str | None, budget: int, table: tuple[list[str], list[int]] | None = None) -> int:
         """Characters of the longest prefix of at most ``budget`` tokens."""
         cut, counts = table or self.table(text)
+        counts = np.cumsum(counts).tolist()
         k = bisect_right(counts, budget)
         chars = sum(map(len, cut[:k]))
         if k < len(cut) and cut[k] not in self.added:
@@ -180,6 +229,12 @@ class PrefixCounter:
         return chars
 
 
+@lru_cache(2)
+def prefix_counter(path: str) -> PrefixCounter:
+    """The worker's counter, which outlives a task."""
+    return PrefixCounter(path)
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, budget: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_bytes``, ``n_tokens``, ``over_limit`` and ``cut_chars``.
 
@@ -195,13 +250,13 @@ def token_counts(docs: DataFrame, tokenizer_path: str, budget: int = 1024, id_co
     """
 
     def make():
-        counter = PrefixCounter(tokenizer_path)
+        counter = prefix_counter(tokenizer_path)
 
         def work(part: pa.RecordBatch, texts: list) -> dict:
             tokens, cuts = [], []
             for text in texts:
                 table = counter.table(text)
-                total = table[1][-1] if table[1] else 0
+                total = sum(table[1])
                 tokens.append(total)
                 cuts.append(len(text or "") if total <= budget else counter.longest_within(text, budget, table))
             return {"doc_id": part.column(0), "n_bytes": part.column(2), "n_tokens": tokens, "over_limit": [n > budget for n in tokens], "cut_chars": cuts}
