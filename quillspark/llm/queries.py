@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm.byte_bpe import byte_bpe_digests
+from quillspark.llm.fingerprints import fingerprint_neighbours
 from quillspark.llm.language_id import identify_languages, train_models
 from quillspark.llm.minhash import near_duplicates
 from quillspark.llm.packing import pack_documents
@@ -28,6 +29,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify_languages(docs, train_models(docs))
@@ -46,7 +51,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_toxicity, op5_language_id, op7_byte_bpe, op9_minhash_near_dedup, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op3_toxicity, op4_fingerprints, op5_language_id, op7_byte_bpe, op9_minhash_near_dedup, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
