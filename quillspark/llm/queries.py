@@ -14,6 +14,7 @@ from quillspark.llm.minhash import near_duplicates
 from quillspark.llm.packing import pack_documents
 from quillspark.llm.token_counts import token_counts
 from quillspark.llm.toxicity import score_toxicity, train_toxicity
+from quillspark.llm.url_filters import judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), budget=1024)
 
 
+#: The rules of the url query, each a verdict and what it fits (fixed values).
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -51,7 +60,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_toxicity, op4_fingerprints, op5_language_id, op7_byte_bpe, op9_minhash_near_dedup, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_toxicity, op4_fingerprints, op5_language_id, op7_byte_bpe, op9_minhash_near_dedup, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
