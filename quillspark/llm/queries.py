@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm.byte_bpe import byte_bpe_digests
+from quillspark.llm.embedding_dedup import near_embeddings
 from quillspark.llm.fingerprints import fingerprint_neighbours
 from quillspark.llm.language_id import identify_languages, train_models
 from quillspark.llm.minhash import near_duplicates
@@ -51,6 +52,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -60,7 +65,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_toxicity, op4_fingerprints, op5_language_id, op7_byte_bpe, op9_minhash_near_dedup, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_toxicity, op4_fingerprints, op5_language_id, op7_byte_bpe, op8_embedding_near_dedup, op9_minhash_near_dedup, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
