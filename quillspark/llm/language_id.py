@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.sampling import labelled_sample
-from quillspark.llm.texts import CACHE_ENTRIES, is_held_out, learnable, map_texts
+from quillspark.llm.texts import CACHE_ENTRIES, filter_texts, is_held_out, learnable, map_texts
 
 #: Order of the models, and documents of each language they are trained on (about).
 ORDER, SAMPLE = 5, 600
@@ -190,6 +190,41 @@ def train_models(docs: DataFrame, lang: str = "lang", bound: int = SAMPLE) -> La
     return LanguageModels(texts) if texts else None
 
 
+def _judge(model: LanguageModels | None, texts: list) -> dict:
+    """Prediction, score, cross-entropy and rejection of each text."""
+    if model is None:
+        n = len(texts)
+        return {"lang_pred": ["und"] * n, "score": [0.0] * n, "cross_entropy": [None] * n, "rejected": [True] * n}
+    known, vectors = model.known, model.vectors  # these outlive the task
+    if len(known) > CACHE_ENTRIES:
+        known.clear()
+        vectors = vectors[:1]
+    cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+    ids = [list(map(known.get, c)) for c in cut]
+    gaps = [k for k, x in enumerate(ids) if None in x]
+    new = list({w for k in gaps for w, i in zip(cut[k], ids[k]) if i is None})
+    found = [WORD.findall(w.lower()) for w in new]
+    fresh = np.zeros((len(new), vectors.shape[1]))
+    words = [x for f in found for x in f]
+    if words:
+        scores, n = model.score_words(words)
+        owner = np.repeat(np.arange(len(new)), [len(f) for f in found])
+        np.add.at(fresh, owner, np.column_stack([scores, n]))
+    known.update(zip(new, range(len(vectors), len(vectors) + len(new))))
+    vectors = model.vectors = np.concatenate([vectors, fresh])
+    for k in gaps:
+        ids[k] = [known[w] if i is None else i for w, i in zip(cut[k], ids[k])]
+    sums = np.array([vectors[i].sum(axis=0) if i else vectors[0] for i in ids]).reshape(len(ids), -1)
+    best, score, entropy, rejected = model.decide(sums[:, :-1], sums[:, -1])
+    empty = sums[:, -1] == 0
+    return {
+        "lang_pred": ["und" if e else model.langs[b] for b, e in zip(best, empty)],
+        "score": np.where(empty, 0.0, score),
+        "cross_entropy": pa.array(entropy, pa.float64(), mask=empty),
+        "rejected": rejected,
+    }
+
+
 def identify_languages(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, held_out, lang_pred, score, cross_entropy, rejected``.
 
@@ -206,45 +241,16 @@ def identify_languages(docs: DataFrame, models: LanguageModels | None, id_col: s
     shipped = docs.sparkSession.sparkContext.broadcast(models)
 
     def make():
-        model = shipped.value
-
-        def work(part: pa.RecordBatch, texts: list) -> dict:
-            if model is None:
-                n = len(texts)
-                return {"doc_id": part.column(0), "held_out": part.column(2), "lang_pred": ["und"] * n, "score": [0.0] * n, "cross_entropy": [None] * n, "rejected": [True] * n}
-            known, vectors = model.known, model.vectors  # these outlive the task
-            if len(known) > CACHE_ENTRIES:
-                known.clear()
-                vectors = vectors[:1]
-            cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-            ids = [list(map(known.get, c)) for c in cut]
-            gaps = [k for k, x in enumerate(ids) if None in x]
-            new = list({w for k in gaps for w, i in zip(cut[k], ids[k]) if i is None})
-            found = [WORD.findall(w.lower()) for w in new]
-            fresh = np.zeros((len(new), vectors.shape[1]))
-            words = [x for f in found for x in f]
-            if words:
-                scores, n = model.score_words(words)
-                owner = np.repeat(np.arange(len(new)), [len(f) for f in found])
-                np.add.at(fresh, owner, np.column_stack([scores, n]))
-            known.update(zip(new, range(len(vectors), len(vectors) + len(new))))
-            vectors = model.vectors = np.concatenate([vectors, fresh])
-            for k in gaps:
-                ids[k] = [known[w] if i is None else i for w, i in zip(cut[k], ids[k])]
-            sums = np.array([vectors[i].sum(axis=0) if i else vectors[0] for i in ids]).reshape(len(ids), -1)
-            best, score, entropy, rejected = model.decide(sums[:, :-1], sums[:, -1])
-            empty = sums[:, -1] == 0
-            return {
-                "doc_id": part.column(0),
-                "held_out": part.column(2),
-                "lang_pred": ["und" if e else model.langs[b] for b, e in zip(best, empty)],
-                "score": np.where(empty, 0.0, score),
-                "cross_entropy": pa.array(entropy, pa.float64(), mask=empty),
-                "rejected": rejected,
-            }
-
-        return work
+        return lambda part, texts: {"doc_id": part.column(0), "held_out": part.column(2)} | _judge(shipped.value, texts)
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), is_held_out(F.col(id_col)).alias("held_out"))
     return map_texts(rows, ["doc_id", "text", "held_out"], f"doc_id {kind}, held_out boolean, lang_pred string, score double, cross_entropy double, rejected boolean", make)
+
+
+def keep_identified(docs: DataFrame, models: LanguageModels | None, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that :func:`identify_languages` does not reject; all rows if nothing could be learned."""
+    if models is None:
+        return docs
+    shipped = docs.sparkSession.sparkContext.broadcast(models)
+    return filter_texts(docs, text_col, lambda: lambda texts: ~np.asarray(_judge(shipped.value, texts)["rejected"]))

@@ -11,6 +11,7 @@ from quillspark.llm.byte_bpe import byte_bpe_digests
 from quillspark.llm.embedding_dedup import near_embeddings
 from quillspark.llm.fingerprints import fingerprint_neighbours
 from quillspark.llm.language_id import identify_languages, train_models
+from quillspark.llm.licences import scan_licences, train_licences
 from quillspark.llm.minhash import near_duplicates
 from quillspark.llm.packing import pack_documents
 from quillspark.llm.token_counts import token_counts
@@ -48,6 +49,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(docs, train_models(docs))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scan_licences(docs, train_licences(docs))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -65,7 +71,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_toxicity, op4_fingerprints, op5_language_id, op7_byte_bpe, op8_embedding_near_dedup, op9_minhash_near_dedup, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_url_filters, op3_toxicity, op4_fingerprints, op5_language_id, op6_licences, op7_byte_bpe, op8_embedding_near_dedup, op9_minhash_near_dedup, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,6 +6,7 @@ the longest single text rather than the partition.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 #: Texts in a slice, and characters after which a slice ends early.
 SLICE_ROWS, SLICE_CHARS = 512, 4_000_000
-#: Entries after which a worker's cache of distinct words is dropped and begun anew.
+#: Entries of a generation of a worker's cache of distinct words.
 CACHE_ENTRIES = 400_000
 
 
@@ -37,8 +38,10 @@ def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[tuple[pa.Recor
 def map_texts(df: DataFrame, keep: list[str], schema: str, make: Callable[[], Callable[[pa.RecordBatch, list], dict]]) -> DataFrame:
     """Run a per-slice function over ``keep + text`` and return its columns.
 
-    ``make`` is called once per task and returns the function (with its caches);
-    that gets a slice and its texts and returns a dict of column values.
+    ``make`` is called once per task and returns the function, which gets a slice and
+    its texts and returns a dict of column values.  What a worker may keep from task
+    to task (vocabularies, caches) belongs to objects that ``make`` gets from a cached
+    function.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -47,6 +50,7 @@ def map_texts(df: DataFrame, keep: list[str], schema: str, make: Callable[[], Ca
     arrow = to_arrow_schema(spark_schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here makes reference cycles, and scanning large caches for them is dear
         work = make()
         for batch in batches:
             for part, texts in slices(batch):
@@ -56,11 +60,39 @@ def map_texts(df: DataFrame, keep: list[str], schema: str, make: Callable[[], Ca
     return df.select(*keep).mapInArrow(run, spark_schema)
 
 
+def filter_texts(df: DataFrame, text: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """The rows, with all their columns, for which a per-slice function of the texts gives true."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
+        keep = make()
+        for batch in batches:
+            for part, texts in slices(batch, text):
+                yield part.filter(pa.array(keep(texts), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 class Cache(dict):
-    """A dict that empties itself when it has grown beyond a bound."""
+    """A bounded dict of what is known of distinct words, in two generations.
+
+    When the young generation is full it becomes the old one, whose entries return
+    to the young one as they are asked for; what was rare is forgotten.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict = {}
+
+    def recall(self, key):
+        """The old generation's value, moved to the young one; None if there is none."""
+        value = self.old.get(key)
+        if value is not None:
+            self[key] = value
+        return value
 
     def trim(self) -> None:
         if len(self) > CACHE_ENTRIES:
+            self.old = dict(self)
             self.clear()
 
 

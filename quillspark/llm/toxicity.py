@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.sampling import labelled_sample
-from quillspark.llm.texts import Cache, is_held_out, learnable, map_texts
+from quillspark.llm.texts import Cache, filter_texts, is_held_out, learnable, map_texts
 
 #: Decay per gap, window, slots of the table of subsequences, landmarks, and labelled documents of each label used for training (about).
 DECAY, WINDOW, SLOTS, LANDMARKS, SAMPLE = 0.7, 6, 1 << 20, 288, 3000
@@ -264,6 +264,38 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> T
     return ToxicityModel([r[1] for r in rows], [r[2] for r in rows], shares) if rows else None
 
 
+def _scores(machine: ToxicityModel | None, texts: list) -> np.ndarray:
+    """Score of each text."""
+    if machine is None:
+        return np.zeros(len(texts))
+    known: Cache = machine.__dict__.setdefault("known", Cache())  # outlives the task
+    known.trim()
+    cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+    got = [list(map(known.get, c)) for c in cut]
+    gaps = [(c, g, [k for k, x in enumerate(g) if x is None]) for c, g in zip(cut, got) if None in g]
+    new = [w for w in {c[k] for c, _, at in gaps for k in at} if known.recall(w) is None]
+    for start in range(0, len(new), 20_000):
+        names = new[start : start + 20_000]
+        parts = [units_of(w) for w in names]
+        sizes = np.array([len(p) for p in parts])
+        best = np.full(len(names), np.nan)
+        full = np.flatnonzero(sizes)
+        if len(full):
+            values = machine.units([u for p in parts for u in p])
+            best[full] = np.maximum.reduceat(values, (np.cumsum(sizes) - sizes)[full])
+        known.update(zip(names, best.tolist()))
+    for c, g, at in gaps:
+        for k in at:
+            g[k] = known[c[k]]
+    rows = []
+    for t, g in zip(texts, got):
+        values = np.array(g)
+        if t and len(spaced := spaced_units(t)):
+            values = np.concatenate([values, machine.units(spaced)])
+        rows.append(summary(values[~np.isnan(values)]))
+    return machine.score(np.array(rows).reshape(len(rows), 4))
+
+
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, held_out, score, predicted`` (1 if the score is 0.5 or more).
 
@@ -276,37 +308,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, id_col: str = "
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        machine = shipped.value
-        known: Cache = machine.__dict__.setdefault("known", Cache()) if machine else Cache()  # outlives the task
-
         def work(part: pa.RecordBatch, texts: list) -> dict:
-            if machine is None:
-                return {"doc_id": part.column(0), "held_out": part.column(2), "score": [0.0] * len(texts), "predicted": [0] * len(texts)}
-            known.trim()
-            cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-            got = [list(map(known.get, c)) for c in cut]
-            gaps = [(c, g, [k for k, x in enumerate(g) if x is None]) for c, g in zip(cut, got) if None in g]
-            new = [w for w in {c[k] for c, _, at in gaps for k in at} if known.recall(w) is None]
-            for start in range(0, len(new), 20_000):
-                names = new[start : start + 20_000]
-                parts = [units_of(w) for w in names]
-                values = machine.units([u for p in parts for u in p]) if any(parts) else np.empty(0)
-                ends = np.cumsum([len(p) for p in parts])
-                best = np.full(len(names), np.nan)
-                full = np.flatnonzero([bool(p) for p in parts])
-                if len(full):
-                    best[full] = np.maximum.reduceat(values, (ends - [len(p) for p in parts])[full])
-                known.update(zip(names, best.tolist()))
-            for c, g, at in gaps:
-                for k in at:
-                    g[k] = known[c[k]]
-            rows = []
-            for t, g in zip(texts, got):
-                values = np.array(g)
-                if t and len(spaced := spaced_units(t)):
-                    values = np.concatenate([values, machine.units(spaced)])
-                rows.append(summary(values[~np.isnan(values)]))
-            scores = machine.score(np.array(rows).reshape(len(rows), 4))
+            scores = _scores(shipped.value, texts)
             return {"doc_id": part.column(0), "held_out": part.column(2), "score": scores, "predicted": (scores >= 0.5).astype(np.int32)}
 
         return work
@@ -314,3 +317,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, id_col: str = "
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), is_held_out(F.col(id_col)).alias("held_out"))
     return map_texts(rows, ["doc_id", "text", "held_out"], f"doc_id {kind}, held_out boolean, score double, predicted int", make)
+
+
+def keep_civil(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that :func:`score_toxicity` does not predict to be toxic."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_texts(docs, text_col, lambda: lambda texts: _scores(shipped.value, texts) < 0.5)
