@@ -20,9 +20,9 @@ left out.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -36,8 +36,8 @@ from quillspark.runtime import Stash
 COORDINATES, BANDS, ROWS = 160, 32, 5
 #: Share of agreeing coordinates below which a pair is not confirmed: 4.7 standard deviations under 0.8.
 PLAUSIBLE = 0.65
-#: Rows of a side of a block, and the candidates a row may name in the rounds over blocks (None: all).
-BLOCK, NAMED = 256, (4, 32, None)
+#: Rows of a side of a block, and the candidates a row may name in each round over blocks (None: all).
+BLOCK, NAMED = 256, (3, 24, None)
 #: Star rounds before blocks.
 STARS = 3
 
@@ -65,9 +65,14 @@ class Shingler:
             return np.empty(0, _U)
         self.known.trim()
         known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), _U, len(words))
+        found = list(map(known.get, words))
+        if None in found:
+            for k, w in enumerate(words):
+                if found[k] is None:
+                    if w not in known and known.recall(w) is None:
+                        known[w] = xxhash.xxh64_intdigest(w)
+                    found[k] = known[w]
+        h = np.array(found, _U)
         n = min(self.width, len(words))
         out = np.full(len(h) - n + 1, n, _U)
         for k in range(n):
@@ -75,6 +80,12 @@ class Shingler:
         return np.unique(mix(out))
 
 
+@lru_cache(2)
+def shingler_of(width: int) -> Shingler:
+    """The worker's shingler, which outlives a task."""
+    return Shingler(width)
+
+
 def sketch(shingles: np.ndarray, t: int = COORDINATES) -> np.ndarray:
     """``t`` coordinates of 16 bits each, for a set that is not empty."""
     least = np.full(t, np.iinfo(np.uint64).max, _U)
@@ -96,7 +107,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """Per row: ``doc_id, n_shingles, digest`` (of the set; null if empty) and ``sketch``."""
 
     def make():
-        shingler = Shingler(width)
+        shingler = shingler_of(width)
 
         def work(part: pa.RecordBatch, texts: list) -> dict:
             n, digests, sketches = [], [], []
@@ -118,7 +129,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, last, own = Shingler(width), None, None
+        shingler, last, own = shingler_of(width), None, None
         for batch in batches:
             keep = []
             for a, text_a, text_b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
@@ -132,27 +143,68 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def _block(pdf: pd.DataFrame, named: int | None) -> pd.DataFrame:
-    """Plausible pairs between rows of different components in one block, at most ``named`` for a row and component."""
-    left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-    out = []
-    if len(left) and len(right):
-        r_sketch = np.stack([np.frombuffer(s, np.uint16) for s in right["sketch"]])
-        r_id, r_comp, r_n = (right[c].to_numpy() for c in ("doc_id", "comp", "n_shingles"))
-        for i, comp, n, s in zip(left["doc_id"], left["comp"], left["n_shingles"], left["sketch"]):
-            agree = (r_sketch == np.frombuffer(s, np.uint16)).mean(axis=1)
-            at = np.flatnonzero((agree >= PLAUSIBLE) & (r_comp != comp) & (100 * np.minimum(r_n, n) >= pdf["percent"].iloc[0] * np.maximum(r_n, n)))
-            if len(at):
-                at = at[np.lexsort((r_id[at], -agree[at], r_comp[at]))]
-                rank = np.arange(len(at)) - np.searchsorted(r_comp[at], r_comp[at])
-                more = named is not None and bool((rank >= named).any())
-                at = at[rank < named] if named is not None else at
-                out.append(pd.DataFrame({"a": np.minimum(r_id[at], i), "b": np.maximum(r_id[at], i), "more": more}))
-    return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "more": []}).astype({"a": "int64", "b": "int64", "more": bool})
+def _name_pairs(group: dict[str, np.ndarray], percent: int, named: int | None) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Plausible pairs of a block's left and right rows that are in different components and have no earlier band in common.
 
+    At most ``named`` for each left row, most alike first; and whether there were more.
+    """
+    left, right = np.flatnonzero(group["side"] == 0), np.flatnonzero(group["side"] == 1)
+    s, comp, n, ids = group["sketch"], group["comp"], group["n_shingles"], group["doc_id"]
+    found_parts, more = [], False
+    for start in range(0, len(left), 64):
+        at = left[start : start + 64]
+        fits = comp[at][:, None] != comp[right][None, :]
+        small, large = np.minimum(n[at][:, None], n[right][None, :]), np.maximum(n[at][:, None], n[right][None, :])
+        i, j = np.nonzero(fits & (100 * small >= percent * large))
+        for part in range(0, len(i), 8192):
+            a, b = at[i[part : part + 8192]], right[j[part : part + 8192]]
+            same = s[a] == s[b]
+            agree = same.mean(axis=1)
+            first = same.reshape(len(a), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            on = (agree >= PLAUSIBLE) & (first == group["slot"][a])
+            found_parts.append(np.column_stack([a[on], b[on], np.rint(agree[on] * COORDINATES).astype(np.int64)]))
+    if not found_parts:
+        return ids[:0], ids[:0], False
+    found = np.concatenate(found_parts)
+    found = found[np.lexsort((ids[found[:, 1]], -found[:, 2], found[:, 0]))]
+    if named is not None and len(found):
+        rank = np.arange(len(found)) - np.searchsorted(found[:, 0], found[:, 0])
+        more = bool((rank >= named).any())
+        found = found[rank < named]
+    return ids[found[:, 0]], ids[found[:, 1]], more
+
+
+def _blocks(percent: int, named: int | None):
+    """Over rows in the order of their blocks: pairs ``a < b``, and whether their block had more."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def pairs(table: pa.Table) -> pa.RecordBatch:
+            columns = {c: table.column(c).to_numpy() for c in ("band", "l", "r", "slot", "doc_id", "comp", "n_shingles", "side")}
+            columns["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+            key = np.column_stack([columns[c] for c in ("band", "l", "r")])
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+            found = [_name_pairs({c: v[i:j] for c, v in columns.items()}, percent, named) for i, j in zip(cuts, cuts[1:])]
+            a, b = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
+            more = np.repeat([f[2] for f in found], [len(f[0]) for f in found]) if found else np.empty(0, bool)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64()), pa.array(more.astype(bool), pa.bool_())], names=["a", "b", "more"])
 
-def _named(named: int | None):
-    return lambda pdf: _block(pdf, named)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            last = [held.column(c)[-1].as_py() for c in ("band", "l", "r")]
+            tail = np.ones(held.num_rows, bool)
+            for c, v in zip(("band", "l", "r"), last):
+                tail &= held.column(c).to_numpy() == v
+            whole = held.num_rows - int(tail.sum())
+            if whole:
+                yield pairs(held.slice(0, whole))
+                held = held.slice(whole)
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    return run
 
 
 def _unsettled(bands: DataFrame, comp: DataFrame | None) -> DataFrame:
@@ -185,8 +237,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     linkable = signed.where("digest is not null and doc_id is not null")
     classes = stash.put(linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     size = 2 * ROWS
-    slots = F.explode(F.array(*[F.xxhash64(F.lit(k), F.expr(f"substring(sketch, {k * size + 1}, {size})")) for k in range(BANDS)]))
-    bands = classes.select("doc_id", slots.alias("band"))
+    slots = F.array(*[F.xxhash64(F.lit(k), F.expr(f"substring(sketch, {k * size + 1}, {size})")) for k in range(BANDS)])
+    bands = classes.select("doc_id", F.posexplode(slots).alias("slot", "band"))
     shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     bands = stash.put(bands.join(shared, "band"))
     members = bands.select("doc_id").distinct()
@@ -221,11 +273,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         largest = largest.select("band", F.col("m.comp").alias("main"), F.expr("cast(ceil((total - m.n) / {0}) as int)".format(BLOCK)).alias("lefts"), F.expr("cast(ceil(total / {0}) as int)".format(BLOCK)).alias("rights"))
         dealt = rows.join(largest, "band")
         cell = F.xxhash64("doc_id", "band")
-        common = ["band", "doc_id", "comp", "n_shingles", "sketch"]
+        common = ["band", "slot", "doc_id", "comp", "n_shingles", "sketch"]
         left = dealt.where("comp <> main").select(*common, F.pmod(cell, "lefts").cast("int").alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r"), F.lit(0).alias("side"))
         right = dealt.select(*common, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), F.pmod(cell, "rights").cast("int").alias("r"), F.lit(1).alias("side"))
-        sides = left.unionByName(right).withColumn("percent", F.lit(percent))
-        named_pairs = stash.put(sides.groupBy("band", "l", "r").applyInPandas(_named(named), "a long, b long, more boolean"))
+        blocks = left.unionByName(right).repartition("band", "l", "r").sortWithinPartitions("band", "l", "r")
+        named_pairs = stash.put(blocks.mapInArrow(_blocks(percent, named), "a long, b long, more boolean"))
         settle(named_pairs)
         if named_pairs.where("more").isEmpty():
             break
@@ -236,3 +288,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     out = signed.drop("sketch").join(grouped, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of which one stays for each group of near duplicates.
+
+    The one with the smallest id stays; of its repeated rows (same id and text) one.
+    Rows without words, and rows with a null id, all stay.
+    """
+    kept = near_duplicates(docs, width, percent, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
+    named = docs.where(F.col(id_col).isNotNull())
+    one = named.join(kept, named[id_col].cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates([id_col, text_col])
+    return one.unionByName(docs.where(F.col(id_col).isNull()))
