@@ -19,10 +19,12 @@ few highest unit values.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,6 +133,38 @@ def rising_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: flo
         use = use[w[:-1] >= 0]
 
 
+class Sentences:
+    """Units of the distinct sentences of some texts, as numbers."""
+
+    def __init__(self, texts: list[str | None]):
+        number: dict[str, int] = {}
+        owner, hashes, sizes, units = [], [], [], array("i")
+        for k, text in enumerate(texts):
+            for s in dict.fromkeys(SENTENCE.split(text or "")):
+                found = {u for c in s.split() for u in units_of(c)} | set(spaced_units(s))
+                owner.append(k)
+                hashes.append(xxhash.xxh3_64_intdigest(s) >> 1)
+                sizes.append(len(found))
+                units.extend(sorted(number.setdefault(u, len(number)) for u in found))
+        self.names = list(number)
+        self.owner, self.hashes = np.array(owner, np.int64), np.array(hashes, np.int64)
+        self.sizes, self.units = np.array(sizes, np.int64), np.array(units, np.int64)
+        self.of_unit = np.repeat(np.arange(len(owner)), self.sizes)
+
+    def counts(self, texts: np.ndarray) -> tuple[int, np.ndarray]:
+        """One more than the number of distinct sentences of the texts, and in how many of them each unit is."""
+        mine = np.flatnonzero(texts[self.owner]) if len(self.owner) else np.empty(0, np.int64)
+        _, first = np.unique(self.hashes[mine], return_index=True)
+        taken = np.zeros(len(self.owner), bool)
+        taken[mine[first]] = True
+        return len(first) + 1, np.bincount(self.units[taken[self.of_unit]], minlength=len(self.names))
+
+    def text_units(self) -> tuple[list[np.ndarray], np.ndarray]:
+        """Units of each text that has any, one for each sentence they are in; and the texts' numbers."""
+        texts = self.owner[self.of_unit]
+        return np.split(self.units, np.flatnonzero(np.diff(texts)) + 1), texts[np.append(0, np.flatnonzero(np.diff(texts)) + 1)] if len(texts) else texts
+
+
 class UnitMachine:
     """The string-kernel machine on units; its landmarks fold into one weight per subsequence.
 
@@ -138,18 +172,14 @@ class UnitMachine:
     text do not make its words look frequent.
     """
 
-    def __init__(self, features: Subsequences, texts: list[dict[str, list[str]]], labels: np.ndarray, seed: int = 5):
+    def __init__(self, features: Subsequences, corpus: Sentences, labels: np.ndarray, use: np.ndarray, seed: int = 5):
         self.features = features
         self.weights, self.bias = np.zeros(SLOTS, np.float32), -1.0
-        bad, good = Counter(), Counter()
-        sizes = []
-        for counts, label in ((bad, 1), (good, 0)):
-            sentences = {s: bag for text, y in zip(texts, labels) if y == label for s, bag in text.items()}
-            for bag in sentences.values():
-                counts.update(bag)
-            sizes.append(len(sentences) + 1)
-        n_bad, n_good = sizes
-        odds = {u: np.log((n + 0.5) / n_bad) - np.log((good[u] + 0.5) / n_good) for u, n in bad.items()}
+        n_bad, found = corpus.counts(use & (labels == 1))
+        bad = {corpus.names[k]: int(found[k]) for k in np.flatnonzero(found)}
+        n_good, found = corpus.counts(use & (labels == 0))
+        good = {corpus.names[k]: int(found[k]) for k in np.flatnonzero(found)}
+        odds = {u: np.log((n + 0.5) / n_bad) - np.log((good.get(u, 0) + 0.5) / n_good) for u, n in bad.items()}
         chosen = {u: bad[u] for u, o in odds.items() if bad[u] >= 3 and o > np.log(6)}
         if not chosen or not good:
             return
@@ -163,13 +193,13 @@ class UnitMachine:
             values = dict(zip(seen, self(seen)))
             chosen = {u: bad[u] for u in seen if values[u] > 0} or chosen
             against = [u for u in everything if u not in chosen]
-            values = np.concatenate([self(against[k : k + 20_000]) for k in range(0, len(against), 20_000)]) if against else np.empty(0)
+            values = np.concatenate([self(against[k : k + 4000]) for k in range(0, len(against), 4000)]) if against else np.empty(0)
             worst = np.argsort(-values, kind="stable")[:HARDEST]
             hard = [against[k] for k in worst if values[k] > -1]
             clean = sorted({*clean, *hard})
             self._fit(chosen, hard, [u for u in clean if u not in chosen], good, rng)
 
-    def _fit(self, chosen: dict[str, int], hard: list[str], clean: list[str], good: Counter, rng: np.random.Generator) -> None:
+    def _fit(self, chosen: dict[str, int], hard: list[str], clean: list[str], good: dict[str, int], rng: np.random.Generator) -> None:
         ranked = sorted(chosen, key=lambda u: (-chosen[u], u))
         landmarks = [*ranked[: LANDMARKS // 2], *hard[: LANDMARKS // 4]]
         landmarks += [clean[k] for k in rng.choice(len(clean), min(LANDMARKS - len(landmarks), len(clean)), replace=False)] if clean else []
@@ -233,21 +263,21 @@ class ToxicityModel:
 
     def __init__(self, texts: list[str | None], labels: list[int], shares: dict[int, float]):
         y = np.array(labels)
-        sentences = [{s: sorted({u for c in s.split() for u in units_of(c)} | set(spaced_units(s))) for s in SENTENCE.split(t or "")} for t in texts]
-        bags = [[u for b in text.values() for u in b] for text in sentences]
-        alphabet = "".join(c for c, _ in sorted(Counter("".join({u for b in bags for u in b})).items(), key=lambda x: (-x[1], x[0]))[:61])
+        corpus = Sentences(texts)
+        alphabet = "".join(c for c, _ in sorted(Counter("".join(corpus.names)).items(), key=lambda x: (-x[1], x[0]))[:61])
         features = Subsequences(alphabet)
         fold = np.zeros(len(y), int)  # either label in equal parts
         for label in (0, 1):
             fold[y == label] = np.arange((y == label).sum()) % 2
-        rows = np.zeros((len(y), 4))
+        rows = np.tile(summary(np.empty(0)), (len(y), 1))
+        bags, owners = corpus.text_units()
         for k in (0, 1):
-            part = UnitMachine(features, [b for b, f in zip(sentences, fold) if f != k], y[fold != k])
-            names = sorted({u for b, f in zip(bags, fold) if f == k for u in b})
-            known = dict(zip(names, part(names))) if names else {}
-            for i in np.flatnonzero(fold == k):
-                rows[i] = summary(np.array([known[u] for u in bags[i]]))
-        self.units = UnitMachine(features, sentences, y)
+            part = UnitMachine(features, corpus, y, fold != k)
+            values = np.concatenate([part(corpus.names[i : i + 4000]) for i in range(0, len(corpus.names), 4000)]) if corpus.names else np.empty(0)
+            for bag, i in zip(bags, owners):
+                if fold[i] == k:
+                    rows[i] = summary(values[bag])
+        self.units = UnitMachine(features, corpus, y, np.ones(len(y), bool))
         weight = np.array([1 / max(shares.get(int(v), 1.0), 1e-9) for v in y])
         self.coefficients = rising_logistic(rows, y, weight / weight.mean()) if len(set(labels)) > 1 else np.array([0, 0, 0, 0, -4.0 + 8.0 * bool(y.sum())])
 
