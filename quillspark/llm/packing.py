@@ -15,6 +15,8 @@ import os
 import re
 import zlib
 from array import array
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,8 +42,8 @@ def best_fit(lengths: np.ndarray, items, capacity: int, bins: list[list[int]] |
     bins = [] if bins is None else bins
     stacks: list[list[int]] = [[] for _ in range(capacity + 1)]
     bits = 0
-    for b, members in enumerate(bins):
-        room = capacity - int(lengths[members].sum())
+    for b, full in enumerate(filled(lengths, bins).tolist()):
+        room = capacity - full
         stacks[room].append(b)
         bits |= 1 << room
     for item, size in zip(items, lengths[items].tolist()):
@@ -62,34 +64,39 @@ def best_fit(lengths: np.ndarray, items, capacity: int, bins: list[list[int]] |
     return bins
 
 
+def filled(lengths: np.ndarray, bins: list[list[int]]) -> np.ndarray:
+    """Total length of each bin; no bin is empty."""
+    if not bins:
+        return np.empty(0, np.int64)
+    starts = np.cumsum([0, *map(len, bins[:-1])])
+    return np.add.reduceat(lengths[np.fromiter(chain.from_iterable(bins), np.int64)], starts)
+
+
 def fitness(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> tuple[int, float]:
     """Fewer bins first; then the packing whose bins are more unequally filled (mean square fill)."""
-    fill = np.array([lengths[b].sum() for b in bins]) / capacity
+    fill = filled(lengths, bins) / capacity
     return -len(bins), float((fill**2).mean()) if len(bins) else 0.0
 
 
 def crossover(lengths: np.ndarray, giver: list[list[int]], taker: list[list[int]], capacity: int, rng: np.random.Generator) -> list[list[int]]:
     """A child: well-filled bins of ``giver`` injected into ``taker``, the displaced pieces best-fitted."""
-    fill = np.array([lengths[b].sum() for b in giver])
+    fill = filled(lengths, giver)
     order = np.argsort(-fill - rng.random(len(fill)) * capacity * 0.02)
     injected = [list(giver[k]) for k in order[: max(1, len(giver) // 2)]]
-    held = np.zeros(len(lengths), bool)
-    for b in injected:
-        held[b] = True
+    held = set(chain.from_iterable(injected))
     kept, displaced = [], []
     for b in taker:
-        hit = held[b]
-        if not hit.any():
+        if held.isdisjoint(b):
             kept.append(list(b))
         else:
-            displaced += [i for i, h in zip(b, hit) if not h]
+            displaced += [i for i in b if i not in held]
     displaced.sort(key=lambda i: (-lengths[i], i))
     return best_fit(lengths, displaced, capacity, injected + kept)
 
 
 def mutate(lengths: np.ndarray, bins: list[list[int]], capacity: int, rng: np.random.Generator) -> list[list[int]]:
     """Empty the worst-filled bins and a few random ones, and best-fit their pieces again."""
-    fill = np.array([lengths[b].sum() for b in bins])
+    fill = filled(lengths, bins)
     emptied = {*np.argsort(fill)[: max(2, len(bins) // 20)].tolist(), *rng.integers(0, len(bins), 2).tolist()}
     loose = [i for k in emptied for i in bins[k]]
     loose.sort(key=lambda i: (-lengths[i], i))
@@ -109,17 +116,16 @@ def evolve(lengths: np.ndarray, capacity: int, seed: int, guests: list[list[list
         while len(people) < POPULATION and len(people[0]) > bound:
             noisy = np.argsort(-lengths * (1 + 0.3 * rng.random(len(lengths))), kind="stable")
             people.append(best_fit(lengths, noisy.tolist(), capacity))
-    rank = lambda p: fitness(lengths, p, capacity)
-    people.sort(key=rank, reverse=True)
+    people = sorted(((fitness(lengths, p, capacity), k, p) for k, p in enumerate(people)), key=lambda x: x[0], reverse=True)
     for _ in range(generations):
-        if len(people[0]) <= bound:
+        if len(people[0][2]) <= bound:
             break
         a, b = rng.integers(0, len(people), 2)
-        child = mutate(lengths, crossover(lengths, people[a], people[b], capacity, rng), capacity, rng)
-        people.append(child)
-        people.sort(key=rank, reverse=True)
+        child = mutate(lengths, crossover(lengths, people[a][2], people[b][2], capacity, rng), capacity, rng)
+        people.append((fitness(lengths, child, capacity), 0, child))
+        people.sort(key=lambda x: x[0], reverse=True)
         del people[POPULATION:]
-    return people[0]
+    return people[0][2]
 
 
 def _bins(of: np.ndarray) -> list[list[int]]:
@@ -196,18 +202,34 @@ class WordEncoder:
         self.library.no_padding()
         self.words: Cache = Cache()
         self.parts: Cache = Cache()
-        self.simple = re.compile(r"([^\W\d_]+)([.,!?;:#$%&*)]+)")
+        self.simple = re.compile(r"^([^\W\d_]+)([.,!?;:#$%&*)]*)$", re.M)
+        self.last = np.zeros(self.library.get_vocab_size(), bool)
+        self.last[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
 
     def learn(self, new: list[str]) -> None:
-        """Encode unseen chunks.  Letters and the ASCII punctuation after them never merge, so they are looked up apart."""
-        parts = {w: m.groups() for w in new if (m := self.simple.fullmatch(w))}
-        todo = [w for w in new if w not in parts]
-        todo += [w for w in {x for p in parts.values() for x in p} if w not in self.parts]
-        for w, e in zip(todo, self.library.encode_batch_fast(todo, add_special_tokens=False)):
-            self.parts[w] = array("I", e.ids).tobytes()
-        for w in new:
-            a, b = parts.get(w, (w, ""))
-            self.words[w] = self.parts[a] + self.parts[b]
+        """Encode unseen chunks.
+
+        Letters and the ASCII punctuation after them never merge, so they are looked up
+        apart.  Either is one word to the tokenizer and its last token an end of word, so
+        many are encoded as one spaced text and told apart at those tokens; any other
+        chunk is encoded alone.
+        """
+        new = self.words.unknown(new)
+        pairs = self.simple.findall("\n".join(new))
+        known = self.parts
+        todo = known.unknown([w for w in {x for p in pairs for x in p} if w not in known])
+        if todo:
+            ids = np.array(self.library.encode_batch_fast([" ".join(todo)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(todo):
+                raise AssertionError("a word was not one word to the tokenizer")
+            raw, ends = ids.tobytes(), (ends * 4).tolist()
+            known.update(zip(todo, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        got = {a + b: known[a] + known[b] for a, b in pairs}
+        self.words.update(got)
+        odd = [w for w in new if w not in got]
+        for w, e in zip(odd, self.library.encode_batch_fast(odd, add_special_tokens=False)):
+            self.words[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text, without special tokens added."""
@@ -225,6 +247,12 @@ class WordEncoder:
         return [b"".join(g) for g in got]
 
 
+@lru_cache(2)
+def word_encoder(path: str) -> WordEncoder:
+    """The worker's encoder, which outlives a task."""
+    return WordEncoder(path)
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Documents as pieces of at most ``capacity`` ids: ``doc_id, copy, piece, start, length, ids_crc32[, ids]``.
 
@@ -236,7 +264,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
     step = capacity * 4
 
     def make():
-        encoder = WordEncoder(tokenizer_path)
+        encoder = word_encoder(tokenizer_path)
 
         def work(part: pa.RecordBatch, texts: list) -> dict:
             rows = {k: [] for k in ("at", "piece", "start", "length", "ids_crc32", "ids")}
