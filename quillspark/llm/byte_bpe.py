@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -109,21 +110,31 @@ class MergeReplay:
         for kept in (self.chunks, self.pieces):
             kept.trim()
         cut = [chunks(t) if t else [] for t in texts]
-        new = set().union(*cut).difference(self.chunks)
-        split = {c: [p.encode() for p in self.pattern.findall(c)] for c in new}
-        unseen = [p for p in set().union(*split.values()) if p not in self.pieces]
+        got = [list(map(self.chunks.get, c)) for c in cut]
+        gaps = [(c, g, [k for k, x in enumerate(g) if x is None]) for c, g in zip(cut, got) if None in g]
+        new = [w for w in {c[k] for c, _, at in gaps for k in at} if self.chunks.recall(w) is None]
+        split = {w: [p.encode() for p in self.pattern.findall(w)] for w in new}
+        unseen = [p for p in set().union(*split.values()) if p not in self.pieces and self.pieces.recall(p) is None]
         for p, ids in zip(unseen, self.replay(unseen)):
             self.pieces[p] = array("I", ids).tobytes()
-        for c, pieces in split.items():
-            self.chunks[c] = b"".join([self.pieces[p] for p in pieces])
-        take = self.chunks.__getitem__
-        return [b"".join(map(take, c)) for c in cut]
+        for w, pieces in split.items():
+            self.chunks[w] = b"".join([self.pieces[p] for p in pieces])
+        for c, g, at in gaps:
+            for k in at:
+                g[k] = self.chunks[c[k]]
+        return [b"".join(g) for g in got]
 
     def decode(self, packed: bytes) -> bytes:
         """The bytes that packed ids stand for."""
         return b"".join(map(self.tokens.__getitem__, array("I", packed)))
 
 
+@lru_cache(2)
+def merge_replay(path: str, pattern: str) -> MergeReplay:
+    """The worker's encoder, which outlives a task."""
+    return MergeReplay(path, pattern)
+
+
 def byte_bpe(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``ids`` (packed, little-endian unsigned 32-bit), ``decoded`` bytes.
 
@@ -134,7 +145,7 @@ def byte_bpe(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     shuffle; a worker holds a block's texts and bounded caches.
     """
     def make():
-        replay = MergeReplay(ranks_path, pattern)
+        replay = merge_replay(ranks_path, pattern)
 
         def work(part: pa.RecordBatch, texts: list) -> dict:
             packed = replay.encode_block(texts)
@@ -150,7 +161,7 @@ def byte_bpe(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
 def byte_bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """:func:`byte_bpe` reduced to ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
     def make():
-        replay = MergeReplay(ranks_path, pattern)
+        replay = merge_replay(ranks_path, pattern)
 
         def work(part: pa.RecordBatch, texts: list) -> dict:
             packed = replay.encode_block(texts)

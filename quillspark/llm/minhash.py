@@ -57,7 +57,7 @@ class Shingler:
     def __init__(self, width: int):
         self.width = width
         self.factors = mix(np.arange(1, width + 1, dtype=_U)) | _U(1)
-        self.known: Cache = Cache()
+        self.known: Cache = Cache(100_000)
 
     def hashes(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().lower().split()

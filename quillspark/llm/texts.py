@@ -51,11 +51,14 @@ def map_texts(df: DataFrame, keep: list[str], schema: str, make: Callable[[], Ca
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here makes reference cycles, and scanning large caches for them is dear
-        work = make()
-        for batch in batches:
-            for part, texts in slices(batch):
-                got = work(part, texts)
-                yield pa.RecordBatch.from_arrays([x if isinstance(x := got[f.name], pa.Array) else pa.array(x, f.type) for f in arrow], schema=arrow)
+        try:
+            work = make()
+            for batch in batches:
+                for part, texts in slices(batch):
+                    got = work(part, texts)
+                    yield pa.RecordBatch.from_arrays([x if isinstance(x := got[f.name], pa.Array) else pa.array(x, f.type) for f in arrow], schema=arrow)
+        finally:
+            gc.enable()
 
     return df.select(*keep).mapInArrow(run, spark_schema)
 
@@ -64,10 +67,13 @@ def filter_texts(df: DataFrame, text: str, make: Callable[[], Callable[[list], l
     """The rows, with all their columns, for which a per-slice function of the texts gives true."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
-        keep = make()
-        for batch in batches:
-            for part, texts in slices(batch, text):
-                yield part.filter(pa.array(keep(texts), pa.bool_()))
+        try:
+            keep = make()
+            for batch in batches:
+                for part, texts in slices(batch, text):
+                    yield part.filter(pa.array(keep(texts), pa.bool_()))
+        finally:
+            gc.enable()
 
     return df.mapInArrow(run, df.schema)
 
@@ -79,8 +85,9 @@ class Cache(dict):
     to the young one as they are asked for; what was rare is forgotten.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, entries: int | None = None) -> None:
         super().__init__()
+        self.entries = entries or CACHE_ENTRIES
         self.old: dict = {}
 
     def recall(self, key):
@@ -90,8 +97,16 @@ class Cache(dict):
             self[key] = value
         return value
 
+    def unknown(self, keys) -> list:
+        """Those keys that neither generation has; what the old one has moves to the young one."""
+        old = self.old
+        if not old:
+            return list(keys)
+        self.update([(k, old[k]) for k in keys if k in old])
+        return [k for k in keys if k not in old]
+
     def trim(self) -> None:
-        if len(self) > CACHE_ENTRIES:
+        if len(self) > self.entries:
             self.old = dict(self)
             self.clear()
 
