@@ -1,15 +1,381 @@
-"""Queries over the driver's tables, one or more for each operator."""
+"""Queries over the driver's tables, one or more for each operator, with independent SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillspark.functions import scoring, text
+from quillspark.operators import aggregates, gates, ledger, scans, search, vectors
+from quillspark.operators.graph import connected_components
+from quillspark.plans import jobs
+from quillspark.runtime import Stash
+from quillspark.sources import adapters as A
+from quillspark.sources.tables import load
+
+#: The embeddings of the driver are nearly random; this threshold gives a graph worth clustering.
+THRESHOLD = 0.40
+
+#: The adapter rules in SQL, epoch seconds for times.
+ITEMS = """items AS (SELECT doc_id AS id, text AS content, CASE WHEN doc_id % 29 = 0 THEN 'summary' ELSE ['decision','architecture','preference','bug_fix','fact'][doc_id % 5 + 1] END AS source_type,
+ CASE WHEN doc_id % 13 = 0 THEN '' ELSE source END AS project, 1704067200 + (doc_id * 37 % 43200) * 60 AS created_s, 1704067200 + (doc_id * 37 % 43200) * 60 + doc_id % 7 * 3600 AS updated_s,
+ doc_id % 11 <> 0 AS is_active, doc_id % 17 = 0 AS archived, CASE WHEN doc_id % 19 = 0 THEN doc_id + 1 END AS superseded_by, md5(text) AS content_hash, doc_id % 9 AS recall_count,
+ CASE WHEN doc_id % 4 <> 0 THEN 1706659200 - (doc_id % 120) * 86400 END AS last_s, 1.0::DOUBLE + (doc_id % 6) * 0.2::DOUBLE AS recall_boost, 'class' || (doc_id % 8) AS problem_class, doc_id % 40 AS objective_id FROM documents)"""
+LIVE = "is_active AND NOT archived AND superseded_by IS NULL"
+SESSIONS = """sessions AS (SELECT conv_id AS id, 'src' || (conv_id % 20) AS project, count(*) AS messages_count, min_by(text, turn) FILTER (WHERE role = 'user') AS summary,
+ CASE WHEN conv_id % 23 <> 0 THEN 1706659200 - (conv_id % 100) * 3600 END AS ended_s, CASE WHEN conv_id % 5 <> 0 AND conv_id % 23 <> 0 THEN 1706659200 - (conv_id % 100) * 3600 - 3600 END AS started_s,
+ conv_id % 7 = 0 AS processed FROM conversations GROUP BY conv_id)"""
+PICKED = SESSIONS + """, picked AS (SELECT *, coalesce(started_s, ended_s) AS created_s FROM sessions WHERE NOT processed AND ended_s >= 1706659200 - 72 * 3600 AND messages_count >= 3
+ AND length(regexp_replace(coalesce(summary, ''), '^\\s+|\\s+$', '', 'g')) > 0)"""
+LOG = "log AS (SELECT user_id AS memory_id, event_type IN ('click','purchase') AS cited, epoch(ts) AS created_s, value AS score, event_type AS surface FROM events)"
+EDGES = """edges AS (SELECT doc_id AS source_id, doc_id + doc_id % 5 + 1 AS target_id, ['relates_to','elaborates','same_pattern_as'][doc_id % 3 + 1] AS relationship_type,
+ CASE WHEN doc_id % 10 <> 0 THEN (doc_id % 100) / 100.0::DOUBLE END AS weight, CASE WHEN doc_id % 8 <> 0 THEN 1706659200 - (doc_id % 20) * 86400 END AS inferred_s,
+ CASE WHEN doc_id % 2 = 0 THEN 'cron-2024-01-20' ELSE 'manual' END AS inferred_by, CASE WHEN doc_id % 6 = 0 THEN 1706659200 + (doc_id % 3 - 1) * 86400 END AS valid_s, doc_id % 15 = 0 AS invalid FROM documents)"""
+INBOX = """inbox AS (SELECT doc_id AS id, 1705708800 + (doc_id * 53 % 14400) * 60 AS created_s, ['web-one','web-two','web-three','web-four','desktop',' WEB-ONE '][doc_id % 6 + 1] AS source_agent,
+ CASE WHEN doc_id % 8 = 0 THEN '' WHEN doc_id % 8 = 1 THEN repeat('p', 130) ELSE ' ' || source END AS project_hint, text, CASE WHEN doc_id % 4 = 3 THEN 'promoted' ELSE 'pending' END AS status,
+ CASE WHEN doc_id % 10 = 0 THEN 1706659200 - (doc_id % 30) * 60 END AS claimed_s, doc_id % 31 = 0 AS big FROM documents)"""
+GOALS = """goals AS (SELECT item_id AS id, 'src' || (item_id % 20) AS project, CASE WHEN item_id % 7 <> 0 THEN item_id % 5 END AS rank, text AS content,
+ CASE WHEN item_id % 9 = 0 THEN 'superseded' ELSE 'active' END AS status, CASE WHEN item_id % 6 <> 0 THEN 1672531200 + item_id * 20 * 86400 END AS ratified_s FROM benchmark)"""
+LEDGER = "swept AS (SELECT doc_id AS memory_id, CASE WHEN doc_id % 5 = 0 THEN 'error' ELSE 'done' END AS status, doc_id % 4 + 1 AS attempts, doc_id % 3 AS yields FROM documents WHERE doc_id % 3 <> 0)"
+VECTORS = "unit AS (SELECT vec_id AS id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)"
+PAIRS = VECTORS + f""", near AS (SELECT a.id, b.id AS other, list_cosine_similarity(a.v, b.v) AS s, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.id) AS k FROM unit a JOIN unit b ON a.id <> b.id),
+ pairs AS (SELECT least(id, other) AS source_id, greatest(id, other) AS target_id, max(s) AS similarity FROM near WHERE k <= 8 AND s >= {THRESHOLD} GROUP BY 1, 2)"""
+COMPONENTS = """RECURSIVE reach(node, seen) AS (SELECT source_id, source_id FROM pairs UNION SELECT target_id, target_id FROM pairs UNION
+ SELECT CASE WHEN p.source_id = r.seen THEN r.node ELSE r.node END, CASE WHEN p.source_id = r.seen THEN p.target_id ELSE p.source_id END FROM reach r JOIN pairs p ON p.source_id = r.seen OR p.target_id = r.seen),
+ comp AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)"""
+KNOTS = scoring.RANK_SCORE_KNOTS
+NORMALIZED = lambda x: "CASE " + f"WHEN {x} IS NULL OR {x} <= {KNOTS[0][0]}::DOUBLE THEN 0.0::DOUBLE " + " ".join(f"WHEN {x} <= {b}::DOUBLE THEN {q}::DOUBLE + ({x} - {a}::DOUBLE) / ({b}::DOUBLE - {a}::DOUBLE) * ({r}::DOUBLE - {q}::DOUBLE)" for (a, q), (b, r) in zip(KNOTS, KNOTS[1:])) + " ELSE 1.0::DOUBLE END"
+BOOSTED = """, cand AS (SELECT * FROM items WHERE (recall_count > 0 AND last_s >= 1706659200 - 90 * 86400) OR recall_boost > 1.0),
+ tally AS (SELECT memory_id, count(*) FILTER (WHERE cited) AS c, count(*) AS s FROM log WHERE created_s >= 1706659200 - 90 * 86400 GROUP BY 1),
+ calc AS (SELECT id, coalesce(c, 0) AS c, coalesce(s, 0) AS s, recall_boost AS previous, 1 - exp(-(3 * coalesce(c, 0) + greatest(0, coalesce(s, 0) - coalesce(c, 0)) + 0.5 * greatest(0, recall_count - coalesce(s, 0)))::DOUBLE / 12) AS u,
+  CASE WHEN last_s IS NULL THEN 0 ELSE pow(0.5, greatest(0, (1706659200 - last_s) / 86400.0::DOUBLE) / 30) END AS rec FROM cand LEFT JOIN tally ON memory_id = id),
+ boost AS (SELECT id, c AS cited_count, s AS surfaced_count, previous, least(2.0, greatest(1.0, least(2.0, previous) + 0.5 * (1 + u * rec - least(2.0, previous)))) AS boost FROM calc)"""
+TOKENS = lambda x: f"list_distinct(list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda t: t <> ''))"
+HITS = PICKED + ", " + ITEMS + f""", signals AS (SELECT 'session:' || id AS signal_key, left(regexp_replace(summary, '^\\s+|\\s+$', '', 'g'), 2000) AS search_text FROM picked ORDER BY ended_s DESC, id LIMIT 10),
+ asked AS (SELECT signal_key, unnest({TOKENS('search_text')}) AS word FROM signals), words AS (SELECT id, unnest({TOKENS('content')}) AS word FROM items),
+ shared AS (SELECT signal_key, id, count(*) AS shared FROM asked JOIN words USING (word) GROUP BY 1, 2),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY signal_key ORDER BY shared DESC, id) AS rank FROM shared),
+ hits AS (SELECT signal_key, id, 1.0::DOUBLE / (60 + rank) AS similarity, rank AS place FROM ranked WHERE rank <= 5)"""
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        _QUERIES[name] = f
+        if sql:
+            _SQL[name] = sql
+        return f
+
+    return add
+
+
+def _s(c: str, name: str | None = None):
+    return F.unix_timestamp(c).alias(name or c)
+
+
+def _edges(spark: SparkSession, d: str) -> DataFrame:
+    """Similar pairs of the embeddings, as an edge table."""
+    e = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    near = vectors.nearest_neighbours(e, e, 8).where(F.col("similarity") >= THRESHOLD)
+    return near.groupBy(F.least("id", "neighbour").alias("source_id"), F.greatest("id", "neighbour").alias("target_id")).agg(F.max("similarity").alias("similarity"))
+
+
+@query("A1_session_picker", f"WITH {PICKED} SELECT id, project, messages_count, ended_s, created_s FROM picked ORDER BY ended_s DESC NULLS LAST, id LIMIT 10")
+def _(spark, d):
+    return scans.pick_sessions(A.memory_sessions(spark, d), A.at()).select("id", "project", F.col("messages_count").cast("long").alias("messages_count"), _s("ended_at", "ended_s"), _s("created_at", "created_s"))
+
+
+@query("C10_signals", f"WITH {PICKED}, t AS (SELECT *, regexp_replace(summary, '^\\s+|\\s+$', '', 'g') AS x FROM picked) SELECT 'session:' || id AS signal_key, md5(left(x, 2000)) AS search_md5, left(x, 240) AS description, messages_count AS event_count FROM t")
+def _(spark, d):
+    s = scans.build_signals(scans.pick_sessions(A.memory_sessions(spark, d), A.at(), max_sessions=None))
+    return s.select("signal_key", F.md5("search_text").alias("search_md5"), "description", F.col("event_count").cast("long").alias("event_count"))
+
+
+@query("B2_mark_processed", f"WITH {PICKED} SELECT s.id, s.processed OR p.id IS NOT NULL AS processed FROM sessions s LEFT JOIN (SELECT id FROM picked ORDER BY ended_s DESC, id LIMIT 10) p ON s.id = p.id")
+def _(spark, d):
+    s = A.memory_sessions(spark, d)
+    return scans.mark_processed(s, scans.pick_sessions(s, A.at()), A.at()).select("id", F.col("processed_at").isNotNull().alias("processed"))
+
+
+@query("A2_pool_size", f"WITH {ITEMS} SELECT count(*) AS pool_size FROM items WHERE {LIVE} AND source_type IN ('decision','architecture','preference','bug_fix')")
+def _(spark, d):
+    return scans.pool_size(A.memory_items(spark, d))
+
+
+_POOL = f"SELECT id FROM items WHERE {LIVE} AND source_type IN ('decision','architecture','preference','bug_fix')"
+
+
+@query("A3_cluster_edges", f"WITH {ITEMS}, {EDGES} SELECT source_id, target_id, relationship_type, weight FROM edges WHERE relationship_type IN ('relates_to','elaborates') AND source_id IN ({_POOL}) AND target_id IN ({_POOL})")
+def _(spark, d):
+    return scans.cluster_edges(A.memory_relationships(spark, d), A.memory_items(spark, d))
+
+
+_ALIVE = f"SELECT id FROM items WHERE {LIVE} AND source_type <> 'summary'"
+
+
+@query("A5_live_edges", f"WITH {ITEMS}, {EDGES} SELECT source_id, target_id, relationship_type, weight FROM edges WHERE coalesce(weight, 0.5) >= 0.5 AND NOT invalid AND (valid_s IS NULL OR valid_s <= 1706659200) AND source_id IN ({_ALIVE}) AND target_id IN ({_ALIVE})")
+def _(spark, d):
+    return scans.live_edges(A.memory_relationships(spark, d), A.memory_items(spark, d), A.at(), max_edges=None)
+
+
+@query("A8_reinforce_candidates", f"WITH {ITEMS} SELECT id, recall_count, last_s, recall_boost FROM items WHERE (recall_count > 0 AND last_s >= 1706659200 - 90 * 86400) OR recall_boost > 1.0 ORDER BY last_s DESC NULLS LAST, id LIMIT 500")
+def _(spark, d):
+    return scans.reinforce_candidates(A.memory_items(spark, d), A.at()).select("id", F.col("recall_count").cast("long").alias("recall_count"), _s("last_recalled_at", "last_s"), "recall_boost")
+
+
+@query("A9_sweep_backlog", f"WITH {ITEMS}, {LEDGER} SELECT id, project, created_s, problem_class FROM items LEFT JOIN swept ON memory_id = id WHERE is_active AND NOT archived AND created_s > 1706659200 - 30 * 86400 AND source_type <> 'summary' AND length(trim(content)) >= 80 AND (status IS NULL OR (status = 'error' AND attempts < 3)) ORDER BY created_s DESC, id LIMIT 150")
+def _(spark, d):
+    return scans.sweep_backlog(A.memory_items(spark, d), A.sweep_ledger(spark, d), A.at()).select("id", "project", _s("created_at", "created_s"), "problem_class")
+
+
+@query("A10_contradiction_backlog", f"WITH {ITEMS}, {LEDGER}, {GOALS}, h AS (SELECT project, 'h' || count(*) AS objectives_hash FROM goals GROUP BY 1) SELECT id, project, objectives_hash FROM items JOIN h USING (project) LEFT JOIN swept ON memory_id = id WHERE {LIVE} AND source_type IN ('decision','architecture','preference') AND created_s > 1706659200 - 14 * 86400 AND length(trim(content)) >= 40 AND (status IS NULL OR (status = 'error' AND attempts < 3) OR 'h' || yields IS DISTINCT FROM objectives_hash) ORDER BY created_s DESC, id LIMIT 60")
+def _(spark, d):
+    hashes = A.memory_objectives(spark, d).groupBy("project").agg(F.concat(F.lit("h"), F.count("*").cast("string")).alias("objectives_hash"))
+    scanned = A.sweep_ledger(spark, d).withColumn("objectives_hash", F.concat(F.lit("h"), F.col("yields").cast("string")))
+    return scans.contradiction_backlog(A.memory_items(spark, d), scanned, hashes, A.at()).select("id", "project", "objectives_hash")
+
+
+@query("A11_objectives", f"WITH {GOALS} SELECT id, project, rank, left(regexp_replace(content, '^\\s+|\\s+$', '', 'g'), 1000) AS content, status, ratified_s FROM goals")
+def _(spark, d):
+    return scans.normalize_objectives(A.memory_objectives(spark, d)).select("id", "project", F.col("rank").cast("long").alias("rank"), "content", "status", _s("ratified_at", "ratified_s"))
+
+
+@query("A12_objective_projects", f"WITH {GOALS} SELECT DISTINCT project FROM goals WHERE project IS NOT NULL")
+def _(spark, d):
+    return A.memory_objectives(spark, d).where(F.col("project").isNotNull()).select("project").distinct()
+
+
+@query("A16_claim_batch", f"WITH {INBOX} SELECT id, created_s, source_agent FROM inbox WHERE status = 'pending' AND (claimed_s IS NULL OR claimed_s < 1706659200 - 600) ORDER BY created_s, id LIMIT 25")
+def _(spark, d):
+    return scans.claim_batch(A.memory_inbox(spark, d), A.at()).select("id", _s("created_at", "created_s"), "source_agent")
+
+
+@query("A17_promoted_counts", f"WITH {INBOX} SELECT lower(trim(source_agent)) AS agent, count(*) AS promoted FROM inbox WHERE status = 'promoted' AND created_s >= 1706659200 - 24 * 3600 GROUP BY 1")
+def _(spark, d):
+    return scans.promoted_counts(A.memory_inbox(spark, d), A.at())
+
+
+@query("A18_nearest_centroid", f"WITH {VECTORS} SELECT r.id, x.registry_id, round(x.s, 6) AS similarity FROM unit r, LATERAL (SELECT g.id AS registry_id, list_cosine_similarity(r.v, g.v) AS s FROM unit g WHERE g.id % 25 = 0 ORDER BY s DESC, g.id DESC LIMIT 1) x WHERE r.id % 25 = 1")
+def _(spark, d):
+    e = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("centroid"))
+    return vectors.nearest_in_registry(e.where("id % 25 = 1"), e.where("id % 25 = 0")).select("id", "registry_id", F.round("similarity", 6).alias("similarity"))
+
+
+@query("A19_watermark", f"WITH {EDGES} SELECT max(inferred_s) AS since_s FROM edges WHERE inferred_by ILIKE 'cron-%'")
+def _(spark, d):
+    return scans.incremental_watermark(A.memory_relationships(spark, d)).select(_s("since", "since_s"))
+
+
+@query("B8_edge_upsert", f"WITH {EDGES}, p AS (SELECT doc_id AS source_id, doc_id + doc_id % 4 + 1 AS target_id, 0.5::DOUBLE + (doc_id % 10) / 100.0::DOUBLE AS similarity FROM documents) SELECT p.source_id, p.target_id, 'relates_to' AS relationship_type, CASE WHEN e.source_id IS NULL THEN 'inserted' WHEN e.weight IS NULL OR inferred_s IS NULL OR inferred_s < 1706659200 - 7 * 86400 THEN 'refreshed' ELSE 'skipped' END AS outcome FROM p LEFT JOIN edges e ON e.source_id = p.source_id AND e.target_id = p.target_id AND e.relationship_type = 'relates_to'")
+def _(spark, d):
+    i = F.col("doc_id")
+    pairs = load(spark, d, "documents").select(i.alias("source_id"), (i + i % 4 + 1).alias("target_id"), (0.5 + (i % 10) / 100).alias("similarity"))
+    return ledger.upsert_edges(A.memory_relationships(spark, d), pairs, A.at())[1]
+
+
+@query("B11_apply_boosts", f"WITH {LOG}, {ITEMS}{BOOSTED} SELECT items.id, round(coalesce(b.boost, items.recall_boost), 6) AS recall_boost FROM items LEFT JOIN (SELECT * FROM boost WHERE abs(boost - previous) >= 0.005) b ON b.id = items.id")
+def _(spark, d):
+    items = A.memory_items(spark, d)
+    updates = jobs.reinforce_job(items, A.memory_recall_log(spark, d), A.at(), batch=None)
+    return ledger.apply_boosts(items, updates).select("id", F.round("recall_boost", 6).alias("recall_boost"))
+
+
+@query("B12_append_new", f"WITH {GOALS} SELECT 'k' || (id % 11) AS dedup_key FROM goals WHERE id % 11 >= 4 GROUP BY 1")
+def _(spark, d):
+    g = A.memory_objectives(spark, d)
+    key = F.concat(F.lit("k"), (F.col("id") % 11).cast("string")).alias("dedup_key")
+    return ledger.append_new(g.where("id % 11 < 4").select(key), g.select(key))
+
+
+@query("B15_ledger_upsert", f"WITH {LEDGER}, n AS (SELECT doc_id AS memory_id, doc_id % 2 AS yields FROM documents WHERE doc_id % 4 = 0) SELECT coalesce(n.memory_id, s.memory_id) AS memory_id, CASE WHEN n.memory_id IS NOT NULL THEN 'done' ELSE s.status END AS status, coalesce(s.attempts, 0) + CASE WHEN n.memory_id IS NOT NULL THEN 1 ELSE 0 END AS attempts, CASE WHEN n.memory_id IS NOT NULL THEN n.yields ELSE s.yields END AS yields FROM swept s FULL JOIN n ON n.memory_id = s.memory_id")
+def _(spark, d):
+    i = F.col("doc_id")
+    new = load(spark, d, "documents").where(i % 4 == 0).select(i.alias("memory_id"), F.lit("done").alias("status"), (i % 2).cast("int").alias("yields"))
+    out = ledger.upsert_ledger(A.sweep_ledger(spark, d), new)
+    return out.select("memory_id", "status", F.col("attempts").cast("long").alias("attempts"), F.col("yields").cast("long").alias("yields"))
+
+
+@query("B17_violations", f"WITH {INBOX} SELECT id, 'agent' AS violation FROM inbox WHERE NOT (source_agent IN ('web-one','web-two','web-three','web-four')) UNION ALL SELECT id, 'hint' FROM inbox WHERE NOT (length(project_hint) <= 128)")
+def _(spark, d):
+    rows = A.memory_inbox(spark, d).select("id", "source_agent", "project_hint")
+    checks = {"agent": F.col("source_agent").isin("web-one", "web-two", "web-three", "web-four"), "hint": F.length("project_hint") <= 128}
+    return ledger.violations(rows, checks).select("id", "violation")
+
+
+@query("C1_C2_liveness", f"WITH {ITEMS} SELECT source_type, count(*) FILTER (WHERE {LIVE}) AS live, count(*) FILTER (WHERE is_active AND NOT archived) AS active, count(*) AS n FROM items GROUP BY 1")
+def _(spark, d):
+    return A.memory_items(spark, d).groupBy("source_type").agg(F.count_if(scans.live()).alias("live"), F.count_if(scans.active()).alias("active"), F.count("*").alias("n"))
+
+
+_GATED = INBOX + """, claimed AS (SELECT * FROM inbox WHERE status = 'pending' AND (claimed_s IS NULL OR claimed_s < 1706659200 - 600)),
+ g AS (SELECT *, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') AS content, lower(trim(source_agent)) AS agent, CASE WHEN length(trim(project_hint)) BETWEEN 1 AND 128 THEN trim(project_hint) ELSE 'global' END AS project FROM claimed),
+ h AS (SELECT *, CASE WHEN length(content) = 0 THEN 'empty-after-redaction' WHEN length(content) > 4000 THEN 'text-over-4000' WHEN big THEN 'metadata-over-8192' END AS "check" FROM g),
+ r AS (SELECT *, CASE WHEN "check" IS NOT NULL THEN 'oversize' WHEN agent NOT IN ('web-one','web-two','web-three','web-four') THEN 'invalid-source-agent' END AS reason FROM h)"""
+
+
+@query("J18_gates", f"WITH {_GATED} SELECT id, agent, project, reason, \"check\" FROM r")
+def _(spark, d):
+    batch = scans.claim_batch(A.memory_inbox(spark, d), A.at(), batch=10**9)
+    return gates.gate_rows(batch, ("web-one", "web-two", "web-three", "web-four")).select("id", "agent", "project", "reason", "check")
+
+
+@query("F4_P2_promotion_outcomes", f"""WITH {_GATED}, b AS (SELECT * FROM r ORDER BY created_s, id LIMIT 200), p AS (SELECT lower(trim(source_agent)) AS agent, count(*) AS promoted FROM inbox WHERE status = 'promoted' AND created_s >= 1706659200 - 24 * 3600 GROUP BY 1),
+ w AS (SELECT b.*, coalesce(promoted, 0) + coalesce(sum(CASE WHEN reason IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY b.agent ORDER BY created_s, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 20 AS late FROM b LEFT JOIN p ON p.agent = b.agent)
+ SELECT CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN late THEN 'deferred' ELSE 'promoted' END AS outcome, reason, count(*) AS n FROM w GROUP BY 1, 2""")
+def _(spark, d):
+    out = jobs.promote_job(A.memory_inbox(spark, d), A.memory_items(spark, d), A.at(), jobs.PromoteOptions(batch=200, cap=20))
+    return out.groupBy("outcome", "reason").agg(F.count("*").alias("n"))
+
+
+@query("C15_duplicate_band", f"WITH {LOG} SELECT CASE WHEN score / 100 > 0.95 THEN 'duplicate' WHEN score / 100 >= 0.88 THEN 'near-duplicate' END AS verdict, count(*) AS n FROM log GROUP BY 1")
+def _(spark, d):
+    return A.memory_recall_log(spark, d).groupBy(gates.duplicate_verdict(F.col("score") / 100).alias("verdict")).agg(F.count("*").alias("n"))
+
+
+@query("D3_knn_pairs", f"WITH {PAIRS} SELECT source_id, target_id, round(similarity, 6) AS similarity FROM pairs")
+def _(spark, d):
+    return _edges(spark, d).select("source_id", "target_id", F.round("similarity", 6).alias("similarity"))
+
+
+@query("D9_same_class_edges", f"WITH {ITEMS}, c AS (SELECT * FROM items WHERE is_active AND NOT archived), k AS (SELECT a.id AS source_id, b.id AS target_id, row_number() OVER (PARTITION BY a.id ORDER BY b.created_s DESC, b.id) AS k FROM c a JOIN c b ON a.project = b.project AND a.problem_class = b.problem_class AND a.id <> b.id) SELECT source_id, target_id, 'same_pattern_as' AS relationship_type, 0.9::DOUBLE AS weight FROM k WHERE k <= 5")
+def _(spark, d):
+    items = A.memory_items(spark, d).where(scans.active()).withColumn("problem_class", F.get_json_object("metadata", "$.problem_signature.class"))
+    return aggregates.same_class_edges(items)
+
+
+@query("E1_recall_tally", f"WITH {LOG} SELECT memory_id, count(*) FILTER (WHERE cited) AS cited_count, count(*) AS surfaced_count FROM log WHERE created_s >= 1706659200 - 10 * 86400 AND memory_id IS NOT NULL GROUP BY 1")
+def _(spark, d):
+    return aggregates.recall_tally(A.memory_recall_log(spark, d), A.at(), 10)
+
+
+@query("E2_J14_coverage", f"""WITH {ITEMS}, {GOALS}, per AS (SELECT project, count(*) AS objective_count FROM goals WHERE status = 'active' GROUP BY 1),
+ w AS (SELECT i.project, count(*) AS writes, count(*) FILTER (WHERE g.id IS NOT NULL) AS linked FROM items i LEFT JOIN goals g ON g.id = i.objective_id AND g.project = i.project AND g.status = 'active' WHERE is_active AND NOT archived AND created_s > 1706659200 - 30 * 86400 GROUP BY 1)
+ SELECT per.project, objective_count, coalesce(writes, 0) AS writes, coalesce(linked, 0) AS linked_writes, CASE WHEN writes > 0 THEN round(linked / writes::DOUBLE, 4) END AS coverage_ratio, CASE WHEN coalesce(writes, 0) < 20 THEN false ELSE linked = 0 END AS drift FROM per LEFT JOIN w ON w.project = per.project""")
+def _(spark, d):
+    items = A.memory_items(spark, d)
+    ids = F.from_json(F.get_json_object("metadata", "$.objectives"), "array<string>")
+    links = items.select(F.col("id").alias("memory_id"), F.explode(ids).alias("objective_id")).withColumn("objective_id", F.col("objective_id").cast("long"))
+    return aggregates.coverage(items, scans.normalize_objectives(A.memory_objectives(spark, d)), links, A.at()).drop("note")
+
+
+@query("E4_J13_entity_merges", "WITH e AS (SELECT c_custkey AS id, c_mktsegment AS t, c_nationkey % 7 AS k, c_custkey * 7919 % 1000 AS s FROM customer), m AS (SELECT t, k, min_by(id, s * 10000000 + id) AS canonical_id FROM e GROUP BY 1, 2 HAVING count(*) > 1) SELECT id, canonical_id, e.t AS entity_type, 'k' || e.k AS entity_key FROM e JOIN m ON m.t = e.t AND m.k = e.k WHERE id <> canonical_id")
+def _(spark, d):
+    c = load(spark, d, "customer")
+    e = c.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("entity_type"), F.concat(F.lit("k"), (F.col("c_nationkey") % 7).cast("string")).alias("entity_key"), (F.col("c_custkey") * 7919 % 1000).alias("first_seen_at"))
+    return aggregates.duplicate_entities(e, limit=None)
+
+
+@query("E8_E9_communities", f"WITH {PAIRS}, {COMPONENTS}, z AS (SELECT component, count(*) AS n FROM comp GROUP BY 1) SELECT n, CASE WHEN n < 4 THEN 'too_small' WHEN n > 60 THEN 'too_large' ELSE 'qualifying' END AS verdict, count(*) AS communities FROM z GROUP BY 1, 2".replace("WITH", "WITH RECURSIVE", 1).replace(", RECURSIVE", ",", 1))
+def _(spark, d):
+    return jobs.communities(_edges(spark, d)).groupBy("n", "verdict").agg(F.count("*").alias("communities"))
+
+
+@query("J8_components", f"WITH {PAIRS}, {COMPONENTS} SELECT node, component FROM comp".replace("WITH", "WITH RECURSIVE", 1).replace(", RECURSIVE", ",", 1))
+def _(spark, d):
+    return connected_components(_edges(spark, d), "source_id", "target_id")
+
+
+@query("E12_E13_centroids", """WITH e AS (SELECT label, vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS p FROM embeddings), n AS (SELECT label, vec_id, sqrt(sum(x * x)) AS norm FROM e GROUP BY 1, 2),
+ s AS (SELECT e.label, p, sum(x) AS s, sum(x / norm) AS u, count(*) AS n FROM e JOIN n ON n.vec_id = e.vec_id GROUP BY 1, 2), t AS (SELECT label, max(n) AS n, sqrt(sum((s / n) * (s / n))) AS size, sum(u * u) AS sq, max(CASE WHEN p = 1 THEN s / n END) AS first FROM s GROUP BY 1)
+ SELECT label, n, round((sq - n) / (n * (n - 1)), 6) AS mean_similarity, round(first / size, 6) AS first_component FROM t""")
+def _(spark, d):
+    out = vectors.group_centroids(load(spark, d, "embeddings").select("label", "embedding"), "label")
+    return out.select("label", "n", F.round("mean_similarity", 6).alias("mean_similarity"), F.round(F.col("centroid")[0], 6).alias("first_component"))
+
+
+@query("E15_score_quantiles", f"WITH {LOG}, l AS (SELECT score FROM log WHERE score < 40 AND surface <> 'error') " + " UNION ALL ".join(f"SELECT {q}::DOUBLE AS q, round(quantile_cont(score, {q}), 6) AS score FROM l" for q in (0, 0.25, 0.5, 0.9, 1.0)))
+def _(spark, d):
+    return aggregates.score_quantiles(A.memory_recall_log(spark, d), (0, 0.25, 0.5, 0.9, 1.0), 40.0, "error").select("q", F.round("score", 6).alias("score"))
+
+
+@query("E17_cross_project", f"WITH {ITEMS} SELECT source_type, count(DISTINCT project) AS projects, count(*) AS n FROM items WHERE project <> '' GROUP BY 1 HAVING count(DISTINCT project) >= 2")
+def _(spark, d):
+    return aggregates.cross_project_patterns(A.memory_items(spark, d))
+
+
+@query("E18_sweep_board", f"WITH {LEDGER} SELECT status, count(*) AS n, sum(yields)::BIGINT AS yields, max(attempts) AS max_attempts FROM swept GROUP BY 1")
+def _(spark, d):
+    return aggregates.sweep_board(A.sweep_ledger(spark, d)).withColumn("max_attempts", F.col("max_attempts").cast("long"))
+
+
+@query("I_text_functions", """WITH t AS (SELECT doc_id, left(text, 40) AS x FROM documents) SELECT doc_id, trim(regexp_replace(lower(x), '\\s+', ' ', 'g')) AS collapsed, CASE WHEN length(x) > 20 THEN left(x, 20) || '…' ELSE x END AS short,
+ lower(printf('%08x', list_reduce(list_prepend(2166136261::BIGINT, list_transform(string_split(x, ''), lambda c: unicode(c)::BIGINT)), lambda h, c: (xor(h, c) * 16777619) & 4294967295))) AS fnv FROM t""")
+def _(spark, d):
+    x = F.substring("text", 1, 40)
+    return load(spark, d, "documents").select("doc_id", text.collapsed(x).alias("collapsed"), text.truncated(x, 20).alias("short"), text.fnv1a(x).alias("fnv"))
+
+
+@query("J1_hybrid_search", f"WITH {HITS} SELECT signal_key, id, round(similarity, 9) AS similarity, place FROM hits")
+def _(spark, d):
+    signals = scans.build_signals(scans.pick_sessions(A.memory_sessions(spark, d), A.at()))
+    out = search.fused(search.lexical_hits(signals, A.memory_items(spark, d)), None)
+    return out.select("signal_key", "id", F.round("similarity", 9).alias("similarity"), F.col("place").cast("long").alias("place"))
+
+
+@query("J3_J4_normalized", f"WITH {LOG} SELECT surface, count(*) AS n, round(sum({NORMALIZED('score / 3000')}), 6) AS total, round(sum(least(1, greatest(0, score / 300)) * CASE WHEN memory_id % 20 < 2 THEN 0.4 WHEN memory_id % 20 < 5 THEN 0.7 WHEN memory_id % 20 < 15 THEN 0.9 ELSE 1 END), 6) AS sized FROM log GROUP BY 1")
+def _(spark, d):
+    log = A.memory_recall_log(spark, d)
+    return log.groupBy("surface").agg(F.count("*").alias("n"), F.round(F.sum(scoring.normalized_rank_score(F.col("score") / 3000)), 6).alias("total"), F.round(F.sum(scoring.sized_score(F.col("score") / 300, F.col("memory_id") % 20)), 6).alias("sized"))
+
+
+@query("P1_J5_insights", f"""WITH {HITS}, rel AS (SELECT signal_key, h.id, similarity, project, created_s, trim(regexp_replace(lower(content), '\\s+', ' ', 'g')) AS t, {TOKENS('content')} AS w FROM hits h JOIN items USING (id)),
+ link AS (SELECT a.signal_key, a.id AS x, b.id AS y FROM rel a JOIN rel b ON a.signal_key = b.signal_key AND a.id < b.id AND (a.t = b.t OR len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w)))::DOUBLE >= 0.85)),
+ reach(signal_key, node, seen) AS (SELECT signal_key, id, id FROM rel UNION SELECT r.signal_key, r.node, CASE WHEN l.x = r.seen THEN l.y ELSE l.x END FROM reach r JOIN link l ON l.signal_key = r.signal_key AND (l.x = r.seen OR l.y = r.seen)),
+ c AS (SELECT signal_key, count(DISTINCT m) AS distinct_n FROM (SELECT signal_key, node, min(seen) AS m FROM reach GROUP BY 1, 2) GROUP BY 1),
+ s AS (SELECT signal_key, max(similarity) AS best, count(DISTINCT CASE WHEN project <> '' THEN project END) AS projects, (max(created_s) - min(created_s)) / 86400.0::DOUBLE AS spread, count(*) AS n, string_agg(id::VARCHAR, ',' ORDER BY id) AS ids FROM rel GROUP BY 1),
+ f AS (SELECT s.*, (0.55::DOUBLE * {NORMALIZED('best')} + CASE WHEN projects >= 2 THEN 0.3::DOUBLE ELSE 0 END + 0.15::DOUBLE * CASE WHEN n < 2 THEN 0 ELSE least(1, spread / 14) END) * CASE WHEN n <= 1 THEN 1 ELSE 0.5 + 0.5 * distinct_n / n::DOUBLE END AS raw FROM s JOIN c USING (signal_key))
+ SELECT signal_key, ids, floor(least(1, greatest(0, raw)) * 1000 + 0.5) / 1000 AS confidence FROM f""".replace("WITH", "WITH RECURSIVE", 1))
+def _(spark, d):
+    out = jobs.insight_job(A.memory_sessions(spark, d), A.memory_items(spark, d), A.at())
+    return out.select("signal_key", F.array_join(F.transform("source_ids", lambda x: x.cast("string")), ",").alias("ids"), "confidence")
+
+
+@query("P5_reinforce_boosts", f"WITH {LOG}, {ITEMS}{BOOSTED} SELECT id, cited_count, surfaced_count, previous, round(boost, 6) AS boost FROM boost WHERE abs(boost - previous) >= 0.005")
+def _(spark, d):
+    return jobs.reinforce_job(A.memory_items(spark, d), A.memory_recall_log(spark, d), A.at(), batch=None).withColumn("boost", F.round("boost", 6))
+
+
+@query("J15_staleness", f"WITH {GOALS}, a AS (SELECT *, greatest(0, floor((1706659200 - ratified_s) / 86400.0))::BIGINT AS age FROM goals WHERE status = 'active') SELECT 'staleness:' || project || ':' || id || ':' || coalesce(ratified_s::VARCHAR, 'never') AS dedup_key, project, id AS objective_id, CASE WHEN ratified_s IS NULL THEN 'unratified' ELSE 'stale' END AS kind, CASE WHEN ratified_s IS NOT NULL THEN age END AS age_days, CASE WHEN ratified_s IS NOT NULL AND age >= 360 THEN 'high' ELSE 'medium' END AS severity FROM a WHERE ratified_s IS NULL OR age >= 180")
+def _(spark, d):
+    return aggregates.stale_objectives(scans.normalize_objectives(A.memory_objectives(spark, d)), A.at(), flag_unratified=True)
+
+
+@query("K_tumbling_windows", "SELECT epoch(time_bucket(INTERVAL '6 hours', ts))::BIGINT AS start_s, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def _(spark, d):
+    e = load(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return e.groupBy(F.window("ts", "6 hours").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.unix_timestamp("w.start").alias("start_s"), "event_type", "n", "total")
+
+
+@query("P4_J9_clusters")
+def _(spark, d):
+    e = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    edges = _edges(spark, d)
+    edges = Stash(spark, "clusters").put(edges)
+    comp = connected_components(edges, "source_id", "target_id").select(F.col("node").alias("id"), "component")
+    of = comp.select(F.col("id").alias("source_id"), F.col("component").alias("c"))
+    inner = edges.join(of, "source_id").select(F.col("c").alias("component"), "source_id", "target_id", F.col("similarity").alias("weight"))
+    return vectors.split_components(comp.join(e, "id"), inner, threshold=0.30)
+
+
+@query("P6_consolidation")
+def _(spark, d):
+    items, edges = A.memory_items(spark, d), A.memory_relationships(spark, d)
+    none = spark.createDataFrame([], "community_key long, members array<long>, owned boolean")
+    return jobs.consolidate_job(items, edges, none, A.at())
+
+
+@query("P7_sweep_edges")
+def _(spark, d):
+    return jobs.sweep_job(A.memory_items(spark, d), A.sweep_ledger(spark, d), A.at())[0]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
