@@ -12,20 +12,21 @@ from quillspark.operators.vectors import nearest_neighbours
 RANK_CONSTANT, TEXT_WEIGHT, VECTOR_WEIGHT, TOP = 60, 0.4, 0.6, 5
 
 
-def lexical_hits(signals: DataFrame, items: DataFrame, depth: int = 50, common: int = 100_000) -> DataFrame:
+def lexical_hits(signals: DataFrame, items: DataFrame, depth: int = 50) -> DataFrame:
     """The ``depth`` items that share most search words with each signal: ``signal_key, id, shared, rank``.
 
-    Candidates come from an equi-join on words.  Words in more than ``common`` items
-    say nothing and would join a large part of the corpus with every signal that has
-    them, so they do not select candidates.
+    An equi-join on words.  The few signals of a run ask for few words, so their side
+    is small enough for the planner to ship; a frequent word then costs no shuffle, and
+    counts are added up in map tasks first.  A signal's best are found in salted groups
+    and then among those, as any item may share a word with it.
     """
     words = items.select("id", F.explode(token_set(F.col("content"))).alias("word"))
     wanted = signals.select("signal_key", F.explode(token_set(F.col("search_text"))).alias("word"))
-    asked = words.join(wanted.select("word").distinct(), "word", "left_semi")
-    telling = asked.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") <= common).select("word")
-    shared = wanted.join(telling, "word").join(words, "word").groupBy("signal_key", "id").agg(F.count("*").alias("shared"))
-    order = Window.partitionBy("signal_key").orderBy(F.desc("shared"), "id")
-    return shared.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= depth)
+    shared = words.join(wanted, "word").groupBy("signal_key", "id").agg(F.count("*").alias("shared"))
+    best = (F.desc("shared"), F.asc("id"))
+    salted = Window.partitionBy("signal_key", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy(*best)
+    few = shared.withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= depth)
+    return few.withColumn("rank", F.row_number().over(Window.partitionBy("signal_key").orderBy(*best))).where(F.col("rank") <= depth)
 
 
 def vector_hits(signals: DataFrame, items: DataFrame, depth: int = 50) -> DataFrame:
