@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.operators.graph import connected_components
-from quillspark.runtime import Stash
+from quillspark.runtime import Stash, ship
 
 #: Tables, blocks of eight dimensions in each, neighbouring cells probed, and cells' scale in units of the typical distance of a linked pair.
 TABLES, BLOCKS, PROBES, SCALE = 5, 2, 3, 2.24
@@ -187,6 +187,7 @@ def near_embeddings(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     empty table gives an empty one.
     """
     stash = Stash(vectors.sparkSession, "lattice")
+    ship(vectors.sparkSession)
     plain = F.transform(vector_col, lambda x: x.cast("double") + F.lit(0.0))  # -0.0 becomes 0.0
     good = usable(F.col("embedding")) & F.col("vec_id").isNotNull()
     keys = [F.when(good, F.xxhash64(F.lit(k), "embedding")).alias(f"h{k}") for k in (1, 2)]

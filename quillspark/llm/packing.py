@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.texts import Cache, map_texts
-from quillspark.runtime import Stash
+from quillspark.runtime import Stash, ship
 
 #: Pieces in a shard (expected), islands of a shard, epochs, generations in an epoch, size of a population.
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 32_768, 2, 3, 12, 4
@@ -156,6 +156,7 @@ def pack(pieces: DataFrame, capacity: int, stash: Stash | None = None) -> DataFr
     an empty one.
     """
     stash = stash or Stash(pieces.sparkSession, "packing")
+    ship(pieces.sparkSession)
     todo, done, level = pieces, None, 0
     while True:
         n = todo.count()

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.runtime import ship
+
 #: Texts in a slice, and characters after which a slice ends early.
 SLICE_ROWS, SLICE_CHARS = 512, 4_000_000
 #: Entries of a generation of a worker's cache of distinct words.
@@ -46,6 +48,7 @@ def map_texts(df: DataFrame, keep: list[str], schema: str, make: Callable[[], Ca
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    ship(df.sparkSession)
     spark_schema = _parse_datatype_string(schema)
     arrow = to_arrow_schema(spark_schema)
 
@@ -75,6 +78,7 @@ def filter_texts(df: DataFrame, text: str, make: Callable[[], Callable[[list], l
         finally:
             gc.enable()
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 
 
