@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import redacted, trimmed
+from quillspark.runtime import ship
 
 #: The longest text and metadata, project hint, and similarity bands.
 MAX_TEXT, MAX_METADATA, MAX_HINT, NEAR, EXACT = 4000, 8192, 128, 0.88, 0.95
@@ -24,6 +25,7 @@ def duplicate_verdict(similarity: Column) -> Column:
 
 def gate_rows(batch: DataFrame, agents: tuple[str, ...], redact: bool = True) -> DataFrame:
     """Rows with redacted ``content``, ``agent``, ``project``, and the first cheap gate that rejects them (``reason``, ``check``)."""
+    ship(batch.sparkSession)
     content = trimmed(redacted(F.coalesce("text", F.lit(""))) if redact else F.coalesce("text", F.lit("")))
     rows = batch.withColumn("content", content).withColumn("agent", F.lower(trimmed(F.coalesce("source_agent", F.lit("")))))
     size = F.length("content")

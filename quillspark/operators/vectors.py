@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.runtime import ship
+
 #: Rows of a side of a block.
 SIDE = 1024
 
@@ -20,6 +22,7 @@ def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int
     right rows in one matrix product, which passes on only each row's best ``k``; rows
     of either side travel once per block of the other.
     """
+    ship(left.sparkSession)
     good = lambda d: d.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0)).select("id", "embedding")
     left, right = good(left), good(right)
     n_left, n_right = (max(1, -(-d.count() // side)) for d in (left, right))
@@ -149,6 +152,7 @@ def split_components(members: DataFrame, edges: DataFrame, threshold: float = 0.
     ``members`` holds ``component, id, embedding``; ``edges`` ``component, source_id,
     target_id, weight``.
     """
+    ship(members.sparkSession)
     sizes = members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n").between(least, largest)).select("component")
     m, e = members.join(sizes, "component"), edges.join(sizes, "component")
 

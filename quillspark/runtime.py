@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +72,23 @@ class Stash:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def package_parent() -> str:
-    """The folder that holds the package, for shipping it with ``--py-files``."""
-    return os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+def ship(spark: SparkSession) -> None:
+    """Make the package importable for Python workers, once per application.
+
+    Local masters inherit ``PYTHONPATH``; where that doesn't lead to the package, or
+    executors are elsewhere, it goes to them as a zip by way of Spark's own files.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    known = os.path.dirname(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if getattr(sc, "_quillspark_shipped", False) or (sc.master.startswith("local") and known):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="quillspark-"), "quillspark.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._quillspark_shipped = True
