@@ -13,6 +13,7 @@ from quillspark.llm.fingerprints import fingerprint_neighbours
 from quillspark.llm.language_id import identify_languages, train_models
 from quillspark.llm.licences import scan_licences, train_licences
 from quillspark.llm.minhash import near_duplicates
+from quillspark.llm.oracles import judge_urls_sql, near_duplicates_sql, near_embeddings_sql
 from quillspark.llm.packing import pack_documents
 from quillspark.llm.token_counts import token_counts
 from quillspark.llm.toxicity import score_toxicity, train_toxicity
@@ -75,4 +76,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_url_filters": judge_urls_sql(URL_RULES),
+        "op8_embedding_near_dedup": near_embeddings_sql(0.95),
+        "op9_minhash_near_dedup": near_duplicates_sql(4, 80),
+    }
