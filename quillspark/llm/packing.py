@@ -201,7 +201,7 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.words: Cache = Cache()
+        self.words: Cache = Cache(700_000)
         self.parts: Cache = Cache()
         self.simple = re.compile(r"^([^\W\d_]+)([.,!?;:#$%&*)]*)$", re.M)
         self.last = np.zeros(self.library.get_vocab_size(), bool)
