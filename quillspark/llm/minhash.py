@@ -12,9 +12,11 @@ shingle sets.
 No bucket is ever expanded into all its pairs.  Equal sets are one class with one
 representative.  In a bucket, members are first compared with a centre; what that
 links is one component, and only members of *different* components still need
-comparing, in blocks of bounded size, most alike first.  So a group of thousands of
-near copies costs a few comparisons a member, yet no link between components is
-left out.
+comparing.  Each of those names the few most alike others, which settles nearly all
+buckets.  What is left of large ones goes, with its full sets, through blocks of
+bounded size that compare everything that still matters and pass on only who is
+joined.  So a group of thousands of near copies costs a few comparisons a member, yet
+no link between components is left out.
 """
 
 from __future__ import annotations
@@ -36,10 +38,10 @@ from quillspark.runtime import Stash
 COORDINATES, BANDS, ROWS = 160, 32, 5
 #: Share of agreeing coordinates below which a pair is not confirmed: 4.7 standard deviations under 0.8.
 PLAUSIBLE = 0.65
-#: Rows of a side of a block, and the candidates a row may name in each round over blocks (None: all).
-BLOCK, NAMED = 256, (3, 24, None)
-#: Star rounds before blocks.
-STARS = 3
+#: Rows of a side of a block, and the candidates a row names before the exact blocks.
+BLOCK, NAMED = 256, 3
+#: Star rounds before blocks, and distinct shingles up to which a block is compared by one matrix product.
+STARS, VOCABULARY = 2, 100_000
 
 _U = np.uint64
 
@@ -123,6 +125,15 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return map_texts(docs, ["doc_id", "text"], "doc_id long, n_shingles long, digest binary, sketch binary", make)
 
 
+def _shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """Per row: ``doc_id`` and the sorted hashes of its shingles."""
+
+    def make():
+        return lambda part, some: {"doc_id": part.column(0), "shingles": [shingler_of(width).hashes(t).tobytes() for t in some]}
+
+    return map_texts(texts, ["doc_id", "text"], "doc_id long, shingles binary", make)
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Of pairs ``(a, b)`` those whose full sets have a resemblance of ``percent`` or more."""
     with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -143,70 +154,121 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return both.mapInArrow(run, "a long, b long")
 
 
-def _name_pairs(group: dict[str, np.ndarray], percent: int, named: int | None) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Plausible pairs of a block's left and right rows that are in different components and have no earlier band in common.
-
-    At most ``named`` for each left row, most alike first; and whether there were more.
-    """
+def _plausible(group: dict[str, np.ndarray], percent: int) -> Iterator[np.ndarray]:
+    """Rows ``(left, right, agreeing)`` of pairs of a block in different components whose first common band is this one."""
     left, right = np.flatnonzero(group["side"] == 0), np.flatnonzero(group["side"] == 1)
-    s, comp, n, ids = group["sketch"], group["comp"], group["n_shingles"], group["doc_id"]
-    found_parts, more = [], False
+    s, comp, n = group["sketch"], group["comp"], group["n_shingles"]
     for start in range(0, len(left), 64):
         at = left[start : start + 64]
-        fits = comp[at][:, None] != comp[right][None, :]
         small, large = np.minimum(n[at][:, None], n[right][None, :]), np.maximum(n[at][:, None], n[right][None, :])
-        i, j = np.nonzero(fits & (100 * small >= percent * large))
+        i, j = np.nonzero((comp[at][:, None] != comp[right][None, :]) & (100 * small >= percent * large))
         for part in range(0, len(i), 8192):
             a, b = at[i[part : part + 8192]], right[j[part : part + 8192]]
             same = s[a] == s[b]
-            agree = same.mean(axis=1)
+            agree = same.sum(axis=1)
             first = same.reshape(len(a), BANDS, ROWS).all(axis=2).argmax(axis=1)
-            on = (agree >= PLAUSIBLE) & (first == group["slot"][a])
-            found_parts.append(np.column_stack([a[on], b[on], np.rint(agree[on] * COORDINATES).astype(np.int64)]))
-    if not found_parts:
-        return ids[:0], ids[:0], False
-    found = np.concatenate(found_parts)
+            on = (agree >= PLAUSIBLE * COORDINATES) & (first == group["slot"][a])
+            yield np.column_stack([a[on], b[on], agree[on]])
+
+
+def _name_pairs(group: dict[str, np.ndarray], percent: int) -> dict[str, np.ndarray]:
+    """At most ``NAMED`` plausible pairs of each left row, most alike first, and whether its block had more."""
+    ids = group["doc_id"]
+    found = np.concatenate([np.empty((0, 3), np.int64), *_plausible(group, percent)]).astype(np.int64)
     found = found[np.lexsort((ids[found[:, 1]], -found[:, 2], found[:, 0]))]
-    if named is not None and len(found):
-        rank = np.arange(len(found)) - np.searchsorted(found[:, 0], found[:, 0])
-        more = bool((rank >= named).any())
-        found = found[rank < named]
-    return ids[found[:, 0]], ids[found[:, 1]], more
+    rank = np.arange(len(found)) - np.searchsorted(found[:, 0], found[:, 0])
+    more, found = bool((rank >= NAMED).any()), found[rank < NAMED]
+    a, b = ids[found[:, 0]], ids[found[:, 1]]
+    return {"band": np.full(len(a), group["band"][0]), "a": np.minimum(a, b), "b": np.maximum(a, b), "more": np.full(len(a), more)}
+
+
+def _join_all(group: dict[str, np.ndarray], percent: int) -> dict[str, np.ndarray]:
+    """Links that join a block's components: all plausible pairs are confirmed on the full sets, those that join nothing new are not passed on."""
+    sets = [np.frombuffer(x, _U) for x in group["shingles"]]
+    ids, comp = group["doc_id"], group["comp"]
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    matrix = None
+    words = np.unique(np.concatenate(sets)) if sets else np.empty(0, _U)
+    if len(words) <= VOCABULARY:
+        matrix = np.zeros((len(sets), len(words)), np.float32)
+        for k, x in enumerate(sets):
+            matrix[k, np.searchsorted(words, x)] = 1
+        left, right = np.flatnonzero(group["side"] == 0), np.flatnonzero(group["side"] == 1)
+        common = matrix[left] @ matrix[right].T
+        row, column = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
+        row[left], column[right] = np.arange(len(left)), np.arange(len(right))
+    a_out, b_out = [], []
+    for pairs in _plausible(group, percent):
+        for a, b in zip(*pairs[:, :2].T.tolist()) if len(pairs) else ():
+            p, q = find(int(comp[a])), find(int(comp[b]))
+            if p == q:
+                continue
+            both = int(common[row[a], column[b]]) if matrix is not None else len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                parent[max(p, q)] = min(p, q)
+                a_out.append(ids[a])
+                b_out.append(ids[b])
+    return {"a": np.array(a_out, np.int64), "b": np.array(b_out, np.int64)}
+
 
+def _blocks(work, percent: int, columns: list[str], schema: pa.Schema):
+    """Over rows in the order of their blocks ``(band, l, r)``: what ``work`` gives for each block."""
+    key = ("band", "l", "r")
 
-def _blocks(percent: int, named: int | None):
-    """Over rows in the order of their blocks: pairs ``a < b``, and whether their block had more."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
-        def pairs(table: pa.Table) -> pa.RecordBatch:
-            columns = {c: table.column(c).to_numpy() for c in ("band", "l", "r", "slot", "doc_id", "comp", "n_shingles", "side")}
-            columns["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDINATES)
-            key = np.column_stack([columns[c] for c in ("band", "l", "r")])
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
-            found = [_name_pairs({c: v[i:j] for c, v in columns.items()}, percent, named) for i, j in zip(cuts, cuts[1:])]
-            a, b = (np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in (0, 1))
-            more = np.repeat([f[2] for f in found], [len(f[0]) for f in found]) if found else np.empty(0, bool)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64()), pa.array(more.astype(bool), pa.bool_())], names=["a", "b", "more"])
+        def done(table: pa.Table) -> pa.RecordBatch:
+            data = {c: table.column(c).to_numpy() for c in (*key, "slot", "doc_id", "comp", "n_shingles", "side")}
+            data["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDINATES)
+            for c in columns:
+                data[c] = np.array([*table.column(c).to_pylist(), None], object)[:-1]
+            place = np.column_stack([data[c] for c in key])
+            cuts = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), len(place)]
+            found = [work({c: v[i:j] for c, v in data.items()}, percent) for i, j in zip(cuts, cuts[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[c.name] for f in found]), c.type) for c in schema], schema=schema)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            last = [held.column(c)[-1].as_py() for c in ("band", "l", "r")]
             tail = np.ones(held.num_rows, bool)
-            for c, v in zip(("band", "l", "r"), last):
-                tail &= held.column(c).to_numpy() == v
+            for c in key:
+                values = held.column(c).to_numpy()
+                tail &= values == values[-1]
             whole = held.num_rows - int(tail.sum())
             if whole:
-                yield pairs(held.slice(0, whole))
+                yield done(held.slice(0, whole))
                 held = held.slice(whole)
         if held is not None and held.num_rows:
-            yield pairs(held)
+            yield done(held)
 
     return run
 
 
+def _dealt(rows: DataFrame, everywhere: bool) -> DataFrame:
+    """Rows of buckets dealt to blocks ``(band, l, r)``: left those outside the bucket's largest component, right all.
+
+    A left row meets every block of right rows, or (not ``everywhere``) only one.
+    """
+    counts = rows.groupBy("band", "comp").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("total"))
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    largest = largest.select("band", F.col("m.comp").alias("main"), blocks(F.col("total") - F.col("m.n")).alias("lefts"), blocks(F.col("total")).alias("rights"))
+    dealt = rows.join(largest, "band")
+    place = lambda n, salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = dealt.where("comp <> main").select(*rows.columns, "rights", place(F.col("lefts"), 1).alias("l"), (every("rights") if everywhere else place(F.col("rights"), 3)).alias("r"), F.lit(0).alias("side"))
+    right = dealt.select(*rows.columns, "rights", every("lefts").alias("l"), place(F.col("rights"), 2).alias("r"), F.lit(1).alias("side"))
+    return left.unionByName(right).repartition("band", "l", "r").sortWithinPartitions("band", "l", "r")
+
+
 def _unsettled(bands: DataFrame, comp: DataFrame | None) -> DataFrame:
     """Band rows with their components, of buckets that hold two components or more."""
     if comp is None:
@@ -264,23 +326,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         centres = rows.groupBy("band").agg(F.min(order).alias("c")).select("band", F.col("c.doc_id").alias("centre"), F.col("c.comp").alias("centre_comp"))
         pairs = rows.join(centres, "band").where("comp <> centre_comp")
         settle(pairs.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")))
-    for named in NAMED:
-        rows = stash.put(_unsettled(bands, comp).join(classes.select("doc_id", "n_shingles", "sketch"), "doc_id"))
-        if rows.isEmpty():
-            break
-        counts = rows.groupBy("band", "comp").agg(F.count("*").alias("n"))
-        largest = counts.groupBy("band").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("total"))
-        largest = largest.select("band", F.col("m.comp").alias("main"), F.expr("cast(ceil((total - m.n) / {0}) as int)".format(BLOCK)).alias("lefts"), F.expr("cast(ceil(total / {0}) as int)".format(BLOCK)).alias("rights"))
-        dealt = rows.join(largest, "band")
-        cell = F.xxhash64("doc_id", "band")
-        common = ["band", "slot", "doc_id", "comp", "n_shingles", "sketch"]
-        left = dealt.where("comp <> main").select(*common, F.pmod(cell, "lefts").cast("int").alias("l"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("r"), F.lit(0).alias("side"))
-        right = dealt.select(*common, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("l"), F.pmod(cell, "rights").cast("int").alias("r"), F.lit(1).alias("side"))
-        blocks = left.unionByName(right).repartition("band", "l", "r").sortWithinPartitions("band", "l", "r")
-        named_pairs = stash.put(blocks.mapInArrow(_blocks(percent, named), "a long, b long, more boolean"))
-        settle(named_pairs)
-        if named_pairs.where("more").isEmpty():
-            break
+    rows = stash.put(_unsettled(bands, comp).join(classes.select("doc_id", "n_shingles", "sketch"), "doc_id"))
+    if not rows.isEmpty():
+        kind = pa.schema([("band", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+        named = stash.put(_dealt(rows, False).drop("rights").mapInArrow(_blocks(_name_pairs, percent, [], kind), "band long, a long, b long, more boolean"))
+        settle(named)
+        large = rows.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("band")
+        again = named.where("more").select("band").union(large).distinct()
+        rows = stash.put(_unsettled(bands.join(again, "band"), comp))
+        if not rows.isEmpty():
+            sets = stash.put(_shingle_sets(texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), width))
+            rows = rows.join(classes.select("doc_id", "n_shingles", "sketch"), "doc_id").join(sets, "doc_id")
+            kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+            joined = stash.put(_dealt(rows, True).drop("rights").mapInArrow(_blocks(_join_all, percent, ["shingles"], kind), "a long, b long"))
+            comp = connected_components(links.unionByName(joined) if links is not None else joined, "a", "b")
     if comp is None:
         grouped = classes.select("digest", F.col("doc_id").alias("component_id"))
     else:

@@ -68,6 +68,24 @@ def test_components_like_brute_force(spark):
         assert got == brute(rows, width)
 
 
+def test_large_buckets_go_through_exact_blocks(spark, monkeypatch):
+    from quillspark.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK", 12)
+    monkeypatch.setattr(minhash, "STARS", 1)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(900)}" for _ in range(110)]
+    rows = []
+    for k in range(160):  # copies that are often under 0.8 of each other
+        copy = list(base)
+        for _ in range(rng.randint(1, 5)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df, 4).collect()}
+    assert got == brute(rows, 4)
+
+
 def test_chain_and_edges_of_the_threshold(spark):
     words = [f"v{k}" for k in range(400)]
     rows = [(k, " ".join(words[k * 8 : k * 8 + 80])) for k in range(30)]
