@@ -157,12 +157,12 @@ def _longs(values: Sequence[int]) -> Column:
 
 
 def scan_licences(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id, n_paragraphs, licence, probability, confirmed, families, paragraphs, probabilities, alike``.
+    """Per row: ``doc_id, n_paragraphs, licence, candidate, probability, confirmed, families, paragraphs, probabilities, alike``.
 
     Paragraphs are lines, numbered from 0.  ``families``, ``paragraphs``,
     ``probabilities`` and ``alike`` list every paragraph that a family is predicted for.
-    ``licence`` is the most probable confirmed family, else the most probable one with
-    ``confirmed`` false, else null.  A null text has no paragraphs.  Null ids, ties and
+    ``candidate`` is the most probable confirmed family, else the most probable one (with
+    ``confirmed`` false), else null; ``licence`` is it if it is confirmed.  A null text has no paragraphs.  Null ids, ties and
     repeated rows pass through, one row out for each row in; other columns are not
     looked at; an empty table gives an empty one.
     """
@@ -227,6 +227,6 @@ def scan_licences(docs: DataFrame, model: LicenceModel, id_col: str = "doc_id",
     )
     best = F.get(ranked, F.lit(0))
     return rows.select(
-        "doc_id", F.greatest("n", F.lit(0)).cast("long").alias("n_paragraphs"), best["family"].alias("licence"), (-best["order"]).alias("probability"), (~best["loose"]).alias("confirmed"),
+        "doc_id", F.greatest("n", F.lit(0)).cast("long").alias("n_paragraphs"), F.when(~best["loose"], best["family"]).alias("licence"), best["family"].alias("candidate"), (-best["order"]).alias("probability"), (~best["loose"]).alias("confirmed"),
         *[F.col(f"hits.{k}").alias(name) for k, name in (("family", "families"), ("paragraph", "paragraphs"), ("probability", "probabilities"), ("alike", "alike"))],
     )

@@ -46,7 +46,7 @@ def test_scan_matches_plain_form(spark, model):
         assert (r.paragraphs, r.families) == ([w[0] for w in want], [w[1] for w in want]), text
         assert r.probabilities == pytest.approx([w[2] for w in want]) and r.alike == pytest.approx([w[3] for w in want])
         best = min(((w[3] < 0.5, -w[2], w[1]) for w in want), default=None)
-        assert r.licence == (best[2] if best else None) and r.confirmed == (None if best is None else not best[0])
+        assert r.candidate == (best[2] if best else None) and r.licence == (r.candidate if r.confirmed else None) and r.confirmed == (None if best is None else not best[0])
     by_id = {r.doc_id: r.licence for r in got}
     assert [by_id[k] for k in (3, 4, 5, 6, 7)] == ["CC-BY-NC", "MIT", "GPL", "Apache-2.0", "MIT"]
     assert scan_licences(df.limit(0), model).collect() == []
