@@ -335,8 +335,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         again = named.where("more").select("band").union(large).distinct()
         rows = stash.put(_unsettled(bands.join(again, "band"), comp))
         if not rows.isEmpty():
-            sets = stash.put(_shingle_sets(texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), width))
-            rows = rows.join(classes.select("doc_id", "n_shingles", "sketch"), "doc_id").join(sets, "doc_id")
+            sets = _shingle_sets(texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), width)
+            sets = stash.put(sets.join(classes.select("doc_id", "n_shingles", "sketch"), "doc_id"))
+            rows = rows.join(sets, "doc_id")
             kind = pa.schema([("a", pa.int64()), ("b", pa.int64())])
             joined = stash.put(_dealt(rows, True).drop("rights").mapInArrow(_blocks(_join_all, percent, ["shingles"], kind), "a long, b long"))
             comp = connected_components(links.unionByName(joined) if links is not None else joined, "a", "b")
