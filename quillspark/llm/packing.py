@@ -217,8 +217,9 @@ class WordEncoder:
         """
         new = self.words.unknown(new)
         pairs = self.simple.findall("\n".join(new))
+        folded = [a.lower() if a.isascii() else a for a, _ in pairs]  # the tokenizer lower-cases too
         known = self.parts
-        todo = known.unknown([w for w in {x for p in pairs for x in p} if w not in known])
+        todo = known.unknown([w for w in {*folded, *(b for _, b in pairs)} if w not in known])
         if todo:
             ids = np.array(self.library.encode_batch_fast([" ".join(todo)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.last[ids]) + 1
@@ -226,7 +227,7 @@ class WordEncoder:
                 raise AssertionError("a word was not one word to the tokenizer")
             raw, ends = ids.tobytes(), (ends * 4).tolist()
             known.update(zip(todo, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-        got = {a + b: known[a] + known[b] for a, b in pairs}
+        got = {a + b: known[f] + known[b] for (a, b), f in zip(pairs, folded)}
         self.words.update(got)
         odd = [w for w in new if w not in got]
         for w, e in zip(odd, self.library.encode_batch_fast(odd, add_special_tokens=False)):
