@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.pretokens import chunks, load_ranks
-from quillspark.llm.texts import Cache, map_texts
+from quillspark.llm.texts import Cache, held, map_texts
 
 
 class MergeReplay:
@@ -129,10 +128,9 @@ class MergeReplay:
         return b"".join(map(self.tokens.__getitem__, array("I", packed)))
 
 
-@lru_cache(2)
 def merge_replay(path: str, pattern: str) -> MergeReplay:
     """The worker's encoder, which outlives a task."""
-    return MergeReplay(path, pattern)
+    return held((MergeReplay, path, pattern), lambda: MergeReplay(path, pattern))
 
 
 def byte_bpe(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,6 +11,7 @@ over its words by the number of characters, so each distinct word is looked up o
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.sampling import labelled_sample
-from quillspark.llm.texts import CACHE_ENTRIES, filter_texts, is_held_out, learnable, map_texts
+from quillspark.llm.texts import CACHE_ENTRIES, filter_texts, held, is_held_out, learnable, map_texts
 
 #: Order of the models, and documents of each language they are trained on (about).
 ORDER, SAMPLE = 5, 600
@@ -89,6 +90,7 @@ class LanguageModels:
     """The models of all languages in sorted hash arrays."""
 
     def __init__(self, samples: dict[str, list[str]], order: int = ORDER):
+        self.token = uuid.uuid4().hex  # names the caches of its results
         self.order, self.langs = order, sorted(samples)
         words = {g: Counter(w for t in samples[g] for w in WORD.findall(t.lower())) for g in self.langs}
         self.letters = letters = len({c for ws in words.values() for w in ws for c in w}) + 2
@@ -116,8 +118,6 @@ class LanguageModels:
                 keys.append(h[at])
                 columns.append(np.log(np.array([fill(g) for g in names], np.float64).reshape(len(names), -1))[at].astype(np.float32))
         self.calibrate(samples)
-        self.known: dict[str, int] = {}
-        self.vectors = np.zeros((1, len(self.langs) + 1))
 
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +195,8 @@ def _judge(model: LanguageModels | None, texts: list) -> dict:
     if model is None:
         n = len(texts)
         return {"lang_pred": ["und"] * n, "score": [0.0] * n, "cross_entropy": [None] * n, "rejected": [True] * n}
-    known, vectors = model.known, model.vectors  # these outlive the task
+    state = held((LanguageModels, model.token), lambda: {"known": {}, "vectors": np.zeros((1, len(model.langs) + 1))})
+    known, vectors = state["known"], state["vectors"]
     if len(known) > CACHE_ENTRIES:
         known.clear()
         vectors = vectors[:1]
@@ -211,7 +212,7 @@ def _judge(model: LanguageModels | None, texts: list) -> dict:
         owner = np.repeat(np.arange(len(new)), [len(f) for f in found])
         np.add.at(fresh, owner, np.column_stack([scores, n]))
     known.update(zip(new, range(len(vectors), len(vectors) + len(new))))
-    vectors = model.vectors = np.concatenate([vectors, fresh])
+    vectors = state["vectors"] = np.concatenate([vectors, fresh])
     for k in gaps:
         ids[k] = [known[w] if i is None else i for w, i in zip(cut[k], ids[k])]
     sums = np.array([vectors[i].sum(axis=0) if i else vectors[0] for i in ids]).reshape(len(ids), -1)

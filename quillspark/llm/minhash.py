@@ -22,7 +22,6 @@ no link between components is left out.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.texts import Cache, map_texts
+from quillspark.llm.texts import Cache, held, map_texts
 from quillspark.operators.graph import connected_components
 from quillspark.runtime import Stash
 
@@ -82,10 +81,9 @@ class Shingler:
         return np.unique(mix(out))
 
 
-@lru_cache(2)
 def shingler_of(width: int) -> Shingler:
     """The worker's shingler, which outlives a task."""
-    return Shingler(width)
+    return held((Shingler, width), lambda: Shingler(width))
 
 
 def sketch(shingles: np.ndarray, t: int = COORDINATES) -> np.ndarray:

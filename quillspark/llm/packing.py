@@ -15,7 +15,6 @@ import os
 import re
 import zlib
 from array import array
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.texts import Cache, map_texts
+from quillspark.llm.texts import Cache, held, map_texts
 from quillspark.runtime import Stash, ship
 
 #: Pieces in a shard (expected), islands of a shard, epochs, generations in an epoch, size of a population.
@@ -249,10 +248,9 @@ class WordEncoder:
         return [b"".join(g) for g in got]
 
 
-@lru_cache(2)
 def word_encoder(path: str) -> WordEncoder:
     """The worker's encoder, which outlives a task."""
-    return WordEncoder(path)
+    return held((WordEncoder, path), lambda: WordEncoder(path))
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

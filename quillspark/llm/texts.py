@@ -42,8 +42,8 @@ def map_texts(df: DataFrame, keep: list[str], schema: str, make: Callable[[], Ca
 
     ``make`` is called once per task and returns the function, which gets a slice and
     its texts and returns a dict of column values.  What a worker may keep from task
-    to task (vocabularies, caches) belongs to objects that ``make`` gets from a cached
-    function.
+    to task (vocabularies, caches) belongs to an object that ``make`` gets from
+    :func:`held`.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -115,6 +115,17 @@ class Cache(dict):
             self.clear()
 
 
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable[[], object]):
+    """The one object that a worker keeps from task to task; asking for another drops it, so caches of several operators never add up."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def learnable(doc_id: Column) -> Column:
     """True for rows a model may learn from: crc32 of the id as text, mod 5, is not 0."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.pretokens import chunks, load_json_ranks
-from quillspark.llm.texts import Cache, map_texts
+from quillspark.llm.texts import Cache, held, map_texts
 
 #: The split pattern of the byte-level vocabularies (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -229,10 +228,9 @@ class PrefixCounter:
         return chars
 
 
-@lru_cache(2)
 def prefix_counter(path: str) -> PrefixCounter:
     """The worker's counter, which outlives a task."""
-    return PrefixCounter(path)
+    return held((PrefixCounter, path), lambda: PrefixCounter(path))
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, budget: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,6 +19,7 @@ few highest unit values.
 from __future__ import annotations
 
 import re
+import uuid
 from array import array
 from collections import Counter
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.sampling import labelled_sample
-from quillspark.llm.texts import Cache, filter_texts, is_held_out, learnable, map_texts
+from quillspark.llm.texts import Cache, filter_texts, held, is_held_out, learnable, map_texts
 
 #: Decay per gap, window, slots of the table of subsequences, landmarks, and labelled documents of each label used for training (about).
 DECAY, WINDOW, SLOTS, LANDMARKS, SAMPLE = 0.7, 6, 1 << 20, 288, 3000
@@ -145,7 +146,7 @@ class Sentences:
                 owner.append(k)
                 hashes.append(xxhash.xxh3_64_intdigest(s) >> 1)
                 sizes.append(len(found))
-                units.extend(sorted(number.setdefault(u, len(number)) for u in found))
+                units.extend(sorted(number.setdefault(u, len(number)) for u in sorted(found)))
         self.names = list(number)
         self.owner, self.hashes = np.array(owner, np.int64), np.array(hashes, np.int64)
         self.sizes, self.units = np.array(sizes, np.int64), np.array(units, np.int64)
@@ -262,6 +263,7 @@ class ToxicityModel:
     """Unit machine and calibration, learned from labelled texts."""
 
     def __init__(self, texts: list[str | None], labels: list[int], shares: dict[int, float]):
+        self.token = uuid.uuid4().hex  # names the caches of its results
         y = np.array(labels)
         corpus = Sentences(texts)
         alphabet = "".join(c for c, _ in sorted(Counter("".join(corpus.names)).items(), key=lambda x: (-x[1], x[0]))[:61])
@@ -298,7 +300,7 @@ def _scores(machine: ToxicityModel | None, texts: list) -> np.ndarray:
     """Score of each text."""
     if machine is None:
         return np.zeros(len(texts))
-    known: Cache = machine.__dict__.setdefault("known", Cache())  # outlives the task
+    known: Cache = held((ToxicityModel, machine.token), Cache)
     known.trim()
     cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
     got = [list(map(known.get, c)) for c in cut]
