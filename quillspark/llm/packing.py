@@ -6,7 +6,8 @@ crossover puts whole well-filled bins of one parent into the other, removes the
 bins that held duplicates of their pieces, and best-fits the displaced pieces.
 Between epochs each island's elite migrates to the next island of its shard.  The
 badly filled bins that shards end with are pooled and packed again, so the share
-of wasted room does not depend on the number of shards.
+of wasted room does not depend on the number of shards.  Where pooling no longer
+gets on (most pieces cannot fill bins better), a level's bins are final as they are.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from quillspark.runtime import Stash, ship
 SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 32_768, 2, 3, 12, 4
 #: A finished bin less full than this is opened again and its pieces pooled.
 OPEN_BELOW = 0.98
+#: A level that reopens more than this share of its pieces is the last: packing them again would hardly close more.
+REOPEN_MOST = 0.9
 
 
 def best_fit(lengths: np.ndarray, items, capacity: int, bins: list[list[int]] | None = None) -> list[list[int]]:
@@ -156,9 +159,8 @@ def pack(pieces: DataFrame, capacity: int, stash: Stash | None = None) -> DataFr
     """
     stash = stash or Stash(pieces.sparkSession, "packing")
     ship(pieces.sparkSession)
-    todo, done, level = pieces, None, 0
+    todo, done, level, n = pieces, None, 0, pieces.count()
     while True:
-        n = todo.count()
         shards = max(1, round(n / SHARD_PIECES))
         shard = F.pmod(F.xxhash64("key", F.lit(level)), F.lit(shards))
         islands = F.explode(F.array(*map(F.lit, range(ISLANDS))))
@@ -179,11 +181,13 @@ def pack(pieces: DataFrame, capacity: int, stash: Stash | None = None) -> DataFr
         opened = (F.col("fill") < int(capacity * OPEN_BELOW)) if shards > 1 else F.lit(False)
         packed = stash.put(best.select("key", "length", "shard", "bin", "offset", opened.alias("opened")))
         number = (F.lit(level).cast("long") * (1 << 56)) + F.col("shard") * (1 << 26) + F.col("bin")
-        closed = packed.where("not opened").select("key", "length", number.alias("sequence_id"), "offset")
+        left = packed.where("opened").count() if shards > 1 else 0
+        last = not left or left > n * REOPEN_MOST
+        closed = (packed if last else packed.where("not opened")).select("key", "length", number.alias("sequence_id"), "offset")
         done = closed if done is None else done.unionByName(closed)
-        if shards == 1:
+        if last:
             return done
-        todo, level = packed.where("opened").select("key", "length"), level + 1
+        todo, level, n = packed.where("opened").select("key", "length"), level + 1, left
 
 
 class WordEncoder:

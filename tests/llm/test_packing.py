@@ -3,12 +3,13 @@ from array import array
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from quillspark.llm import packing
-from quillspark.llm.packing import WordEncoder, best_fit, crossover, evolve, pack_documents
+from quillspark.llm.packing import WordEncoder, best_fit, crossover, evolve, pack, pack_documents
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
@@ -69,3 +70,26 @@ def test_rows(spark, monkeypatch):
         assert mine == sorted(want * sum(d == doc for d, _, _ in rows))
     assert len(by_seq) <= -(-total // 1000) * 1.1
     assert pack_documents(df.limit(0), PATH).collect() == []
+
+
+@pytest.mark.parametrize("lengths", [[610] * 150, [610] * 140 + [300, 700, 990, 1000] * 10])
+def test_pieces_that_cannot_fill_bins(spark, monkeypatch, lengths):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 40)
+    put = packing.Stash.put
+    puts = []
+
+    def counted(self, df):
+        puts.append(1)
+        assert len(puts) < 60, "pack does not end"
+        return put(self, df)
+
+    monkeypatch.setattr(packing.Stash, "put", counted)
+    pieces = spark.createDataFrame([(str(k), n) for k, n in enumerate(lengths)], "key string, length long")
+    rows = pack(pieces, 1000).collect()
+    assert sorted((r.key, r.length) for r in rows) == sorted((str(k), n) for k, n in enumerate(lengths))
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spans in bins.values():
+        spans.sort()
+        assert [o for o, _ in spans] == [sum(n for _, n in spans[:k]) for k in range(len(spans))] and sum(n for _, n in spans) <= 1000
