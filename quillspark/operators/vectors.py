@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.runtime import ship
+from quillspark.functions.vectors import norm
+from quillspark.runtime import Stash, ship
 
 #: Rows of a side of a block.
 SIDE = 1024
@@ -108,52 +109,101 @@ def split_incoherent(members: list[int], edges: list[tuple[int, int, float | Non
     A part is accepted if the mean similarity of its pairs reaches the threshold, and
     dropped if it has fewer than ``least`` members or no edge left to cut.  Edges
     without a weight are the weakest.
+
+    Cutting the weakest edges one by one splits a part just where the edges merge it
+    when they are taken strongest first, so the tree of merges holds every part that
+    can arise, and a part's mean similarity follows from the sum of its unit vectors:
+    one sort and one pass, whatever the size.
     """
-    remaining = sorted(edges, key=lambda e: -1.0 if e[2] is None else e[2])
-    waiting, accepted = [list(members)], []
-    while waiting:
-        part = waiting.pop(0)
-        if len(part) < least:
+    if len(members) < least:
+        return []
+    at = {i: k for k, i in enumerate(members)}
+    n = len(members)
+    sums = np.array([np.asarray(vectors[i], float) / max(np.linalg.norm(vectors[i]), 1e-300) for i in members])
+    squares = (sums**2).sum(axis=1)
+    rising = sorted(((w, at[a], at[b]) for a, b, w in edges if a in at and b in at), key=lambda e: -1.0 if e[0] is None else e[0])
+    up, node, count = list(range(n)), list(range(n)), [1] * n
+    children: list[tuple[int, int]] = []
+    made_by: list[int] = []
+    sizes, means = [1] * n, [float("nan")] * n
+
+    def root(k: int) -> int:
+        while up[k] != k:
+            up[k] = up[up[k]]
+            k = up[k]
+        return k
+
+    def mean(total: np.ndarray, own: float, m: int) -> float:
+        return (float((total**2).sum()) - own) / (m * (m - 1)) if m > 1 else float("nan")
+
+    for at_edge in range(len(rising) - 1, -1, -1):
+        a, b = root(rising[at_edge][1]), root(rising[at_edge][2])
+        if a == b:
             continue
-        unit = np.array([vectors[i] / max(np.linalg.norm(vectors[i]), 1e-300) for i in part])
-        n = len(part)
-        if ((unit.sum(axis=0) ** 2).sum() - (unit**2).sum()) / (n * (n - 1)) >= threshold:
-            accepted.append(part)
+        if count[a] < count[b]:
+            a, b = b, a
+        up[b] = a
+        sums[a] += sums[b]
+        squares[a] += squares[b]
+        count[a] += count[b]
+        children.append((node[a], node[b]))
+        made_by.append(at_edge)
+        node[a] = n + len(children) - 1
+        sizes.append(count[a])
+        means.append(mean(sums[a], squares[a], count[a]))
+    tops = [k for k in range(n) if up[k] == k]
+    waiting = [node[k] for k in tops]
+    if len(tops) > 1:  # members that no edges hold together are one part at first
+        if mean(sums[tops].sum(axis=0), squares[tops].sum(), n) >= threshold:
+            return [list(members)]
+        if not rising:
+            return []
+        if made_by and made_by[-1] == 0:  # the first cut takes the weakest edge of all, with which its part was made
+            last = n + len(children) - 1
+            waiting = [k for k in waiting if k != last] + [*children[-1]]
+    accepted = []
+    while waiting:
+        part = waiting.pop()
+        if sizes[part] < least or part < n:
             continue
-        inside = set(part)
-        weakest = next((k for k, (a, b, _) in enumerate(remaining) if a in inside and b in inside), None)
-        if weakest is None:
+        if means[part] < threshold:
+            waiting += children[part - n]
             continue
-        del remaining[weakest]
-        near: dict[int, list[int]] = {i: [] for i in part}
-        for a, b, _ in remaining:
-            if a in inside and b in inside:
-                near[a].append(b)
-                near[b].append(a)
-        seen: set[int] = set()
-        for start in part:
-            if start not in seen:
-                group, todo = [], [start]
-                seen.add(start)
-                while todo:
-                    i = todo.pop()
-                    group.append(i)
-                    for j in near[i]:
-                        if j not in seen:
-                            seen.add(j)
-                            todo.append(j)
-                waiting.append([i for i in part if i in set(group)])
+        leaves, todo = [], [part]
+        while todo:
+            k = todo.pop()
+            if k < n:
+                leaves.append(k)
+            else:
+                todo += children[k - n]
+        accepted.append([members[k] for k in sorted(leaves)])
     return accepted
 
 
 def split_components(members: DataFrame, edges: DataFrame, threshold: float = 0.85, least: int = 3, largest: int = 20_000) -> DataFrame:
-    """Coherent groups ``component, group, id`` of components of up to ``largest`` members; larger ones are not judged.
+    """Coherent groups ``component, group, id`` of the components.
 
     ``members`` holds ``component, id, embedding``; ``edges`` ``component, source_id,
-    target_id, weight``.
+    target_id, weight``.  Components above ``largest`` members are first judged as
+    tables, and those that are coherent never meet in a task; the others are cut in one
+    task each, like the smaller ones.
     """
     ship(members.sparkSession)
-    sizes = members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n").between(least, largest)).select("component")
+    stash = Stash(members.sparkSession, "split")
+    sizes = stash.put(members.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") >= least))
+    big = sizes.where(F.col("n") > largest)
+    whole = None
+    if not big.isEmpty():
+        mine = members.join(big.select("component"), "component")
+        # group_centroids takes the product of a vector with itself as 1, which for a zero vector is 0
+        zeros = mine.groupBy("component").agg(F.count_if(norm(F.col("embedding")) == 0).alias("zeros"))
+        pairs = F.col("n") * (F.col("n") - 1)
+        judged = group_centroids(mine, "component").join(zeros, "component").withColumn("mean", F.col("mean_similarity") + F.col("zeros") / pairs)
+        coherent = stash.put(judged.where(F.col("mean") >= threshold).select("component"))
+        held = mine.join(coherent, "component")
+        whole = held.join(held.groupBy("component").agg(F.min("id").alias("group")), "component").select("component", "group", "id")
+        sizes = sizes.join(coherent, "component", "left_anti")
+    sizes = sizes.select("component")
     m, e = members.join(sizes, "component"), edges.join(sizes, "component")
 
     def run(key: tuple, mine: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
@@ -164,4 +214,5 @@ def split_components(members: DataFrame, edges: DataFrame, threshold: float = 0.
         groups = split_incoherent(mine["id"].tolist(), rows, vectors, threshold, least)
         return pd.DataFrame([(key[0], min(g), i) for g in groups for i in g], columns=["component", "group", "id"]).astype("int64")
 
-    return m.groupBy("component").cogroup(e.groupBy("component")).applyInPandas(run, "component long, group long, id long")
+    cut = m.groupBy("component").cogroup(e.groupBy("component")).applyInPandas(run, "component long, group long, id long")
+    return cut if whole is None else cut.unionByName(whole)

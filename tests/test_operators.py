@@ -108,6 +108,51 @@ def test_splitting():
     assert vectors.combined_centroid([1.0, 0.0], 1, [[0.0, 1.0]]) == pytest.approx([0.5**0.5] * 2)
 
 
+def cut_one_by_one(members, edges, v, threshold, least=3):
+    """The plain form: each cut removes the weakest inner edge and looks for the parts anew."""
+    rest, waiting, accepted = sorted(edges, key=lambda e: -1.0 if e[2] is None else e[2]), [list(members)], []
+    while waiting:
+        part = waiting.pop(0)
+        if len(part) < least:
+            continue
+        u = np.array([v[i] / max(np.linalg.norm(v[i]), 1e-300) for i in part])
+        if ((u.sum(axis=0) ** 2).sum() - (u**2).sum()) / (len(part) * (len(part) - 1)) >= threshold:
+            accepted.append(part)
+            continue
+        weakest = next((e for e in rest if e[0] in part and e[1] in part), None)
+        if weakest is None:
+            continue
+        rest.remove(weakest)
+        left = set(part)
+        while left:
+            group = {left.pop()}
+            while more := {x for a, b, _ in rest for x, y in ((a, b), (b, a)) if y in group and x in left}:
+                group |= more
+                left -= more
+            waiting.append([i for i in part if i in group])
+    return accepted
+
+
+def test_splitting_like_cutting_one_by_one():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rng.integers(3, 14))
+        v = {k: rng.normal(size=2) * (rng.random() > 0.05) for k in range(n)}
+        edges = [(int(a), int(b), None if w > 0.9 else round(w, 1)) for a, b, w in zip(rng.integers(0, n, 2 * n), rng.integers(0, n, 2 * n), rng.random(2 * n))][: int(rng.integers(0, 2 * n))]
+        for threshold in (0.1, 0.6):
+            assert sorted(vectors.split_incoherent(list(range(n)), edges, v, threshold)) == sorted(cut_one_by_one(list(range(n)), edges, v, threshold))
+
+
+def test_components_above_the_bound_are_judged_too(spark):
+    rows = [(0, k, [1.0, 0.01 * k]) for k in range(6)] + [(10, 10 + k, [1.0, 0.0] if k < 3 else [0.0, 1.0]) for k in range(6)] + [(20, 20 + k, [1.0, 1.0]) for k in range(3)]
+    m = spark.createDataFrame(rows, "component long, id long, embedding array<double>")
+    e = [(c, a, a + 1, 0.1 if a == 12 else 0.9) for c, a, b in ((c, a, b) for c, a, _ in rows for b in [a + 1]) if (c, a + 1) in {(x, y) for x, y, _ in rows}]
+    e = spark.createDataFrame(e, "component long, source_id long, target_id long, weight double")
+    want = [(0, 0, k) for k in range(6)] + [(10, 10, k) for k in (10, 11, 12)] + [(10, 13, k) for k in (13, 14, 15)] + [(20, 20, k) for k in (20, 21, 22)]
+    for largest in (4, 20_000):
+        assert sorted(tuple(r) for r in vectors.split_components(m, e, largest=largest).collect()) == want
+
+
 def test_qualification_by_days(spark):
     for days, n in ((20, 0), (21, 1)):
         df = items(spark, [{"id": k, "embedding": [1.0, 0.01 * k], "created_at": NOW - (k % 2) * days * DAY} for k in (1, 2, 3)])
