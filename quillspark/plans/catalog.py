@@ -373,6 +373,13 @@ def _(spark, d):
     return jobs.sweep_job(A.memory_items(spark, d), A.sweep_ledger(spark, d), A.at())[0]
 
 
+@query("I_text_functions_whole", """SELECT doc_id, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS collapsed, CASE WHEN length(text) > 20 THEN left(text, 20) || '…' ELSE text END AS short,
+ lower(printf('%08x', list_reduce(list_prepend(2166136261::BIGINT, list_transform(string_split(text, ''), lambda c: unicode(c)::BIGINT)), lambda h, c: (xor(h, c) * 16777619) & 4294967295))) AS fnv FROM documents""")
+def _(spark, d):
+    x = F.col("text")
+    return load(spark, d, "documents").select("doc_id", text.collapsed(x).alias("collapsed"), text.truncated(x, 20).alias("short"), text.fnv1a(x).alias("fnv"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
