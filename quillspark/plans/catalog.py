@@ -380,6 +380,15 @@ def _(spark, d):
     return load(spark, d, "documents").select("doc_id", text.collapsed(x).alias("collapsed"), text.truncated(x, 20).alias("short"), text.fnv1a(x).alias("fnv"))
 
 
+@query("A18_nearest_label_centroid", f"""WITH {VECTORS}, x AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM unit), m AS (SELECT label, p, avg(x) AS x FROM x GROUP BY 1, 2),
+ g AS (SELECT label AS registry_id, list(x ORDER BY p) AS v FROM m GROUP BY 1) SELECT r.id, round(max(list_cosine_similarity(r.v, g.v)), 6) AS similarity, arg_max(g.registry_id, list_cosine_similarity(r.v, g.v)) AS registry_id FROM unit r, g GROUP BY 1""")
+def _(spark, d):
+    e = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("centroid"), "label")
+    registry = vectors.group_centroids(e.select("label", F.col("centroid").alias("embedding")), "label").select(F.col("label").cast("long").alias("id"), "centroid")
+    near = vectors.nearest_in_registry(e, Stash(spark, "registry").put(registry))
+    return near.select("id", F.round("similarity", 6).alias("similarity"), "registry_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
