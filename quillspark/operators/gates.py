@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,10 +51,40 @@ def rate_capped(rows: DataFrame, promoted: DataFrame, cap: int = 50) -> DataFram
     return both.withColumn("deferred", F.col("reason").isNull() & (F.coalesce("promoted", F.lit(0)) + before >= cap)).drop("promoted")
 
 
+def batch_similarity(rows: DataFrame) -> DataFrame:
+    """The similarity that decides of each row: to stored items or to rows of its project promoted before it, whichever is higher.
+
+    ``rows`` holds ``id, project, created_at, embedding, similarity`` (to the nearest
+    stored item, or null) and ``level``.  A promoted row is at once compared with those
+    after it, a rejected one is not, so a project's rows are taken in order; a claimed
+    batch is small by its limit.
+    """
+    ship(rows.sparkSession)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["created_at", "id"])
+        kept, best = [], []
+        for e, stored, level in zip(pdf["embedding"], pdf["similarity"], pdf["level"]):
+            near = float("-inf") if pd.isna(stored) else stored
+            u = None
+            if e is not None and len(e):
+                u = np.asarray(e, float)
+                u = u / max(np.linalg.norm(u), 1e-300)
+                if kept:
+                    near = max(near, float((np.array(kept) @ u).max()))
+            if u is not None and near < NEAR and level == "kitchen":
+                kept.append(u)
+            best.append(near)
+        found = pd.DataFrame({"id": pdf["id"].to_numpy(), "similarity": best})
+        return found[found["similarity"] > float("-inf")]
+
+    return rows.groupBy("project").applyInPandas(run, "id long, similarity double")
+
+
 def outcomes(rows: DataFrame, matches: DataFrame, kinds: DataFrame | None = None) -> DataFrame:
     """Each row's ``outcome`` (promoted, rejected, deferred) and ``reason``.
 
-    ``matches`` holds ``id, similarity`` of the nearest stored item of the row's project;
+    ``matches`` holds ``id, similarity`` of what is nearest to the row in its project;
     ``kinds`` an injected classifier's ``id, level`` (``kitchen`` passes, anything else is
     rejected; a row without a verdict is rejected too).
     """

@@ -16,21 +16,22 @@ from quillspark.runtime import Stash, ship
 SIDE = 1024
 
 
-def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int = SIDE) -> DataFrame:
+def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int = SIDE, within: str | None = None) -> DataFrame:
     """The ``k`` nearest rows of ``right`` to each of ``left`` by cosine, itself left out: ``id, neighbour, similarity, rank``.
 
-    Both hold ``id, embedding``.  Exact: every block of left rows meets every block of
+    Both hold ``id, embedding``, and the column ``within``, if given, which must be equal (a null equals nothing).  Exact: every block of left rows meets every block of
     right rows in one matrix product, which passes on only each row's best ``k``; rows
     of either side travel once per block of the other.
     """
     ship(left.sparkSession)
-    good = lambda d: d.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0)).select("id", "embedding")
+    own = [within] if within else []
+    good = lambda d: d.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0)).select("id", "embedding", *own)
     left, right = good(left), good(right)
     n_left, n_right = (max(1, -(-d.count() // side)) for d in (left, right))
     chunk = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    a = left.select("id", "embedding", chunk(n_left).alias("l"), every(n_right).alias("r"), F.lit(0).alias("side"))
-    b = right.select("id", "embedding", every(n_left).alias("l"), chunk(n_right).alias("r"), F.lit(1).alias("side"))
+    a = left.select("id", "embedding", *own, chunk(n_left).alias("l"), every(n_right).alias("r"), F.lit(0).alias("side"))
+    b = right.select("id", "embedding", *own, every(n_left).alias("l"), chunk(n_right).alias("r"), F.lit(1).alias("side"))
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
@@ -40,6 +41,10 @@ def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int
         u, v = (m / np.maximum(np.linalg.norm(m, axis=1), 1e-300)[:, None] for m in (u, v))
         s = u @ v.T
         s[x["id"].to_numpy()[:, None] == y["id"].to_numpy()[None, :]] = -np.inf
+        if within:
+            codes = pd.factorize(pd.concat([x[within], y[within]]))[0]  # -1 for null
+            mine, theirs = codes[: len(x)], codes[len(x) :]
+            s[(mine[:, None] != theirs[None, :]) | (mine < 0)[:, None]] = -np.inf
         take = min(k, s.shape[1])
         at = np.argpartition(-s, take - 1, axis=1)[:, :take] if take < s.shape[1] else np.tile(np.arange(take), (len(s), 1))
         found = np.take_along_axis(s, at, axis=1)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from quillspark.functions import scoring, text
 from quillspark.operators import aggregates, gates, ledger, scans, search, vectors
 from quillspark.operators.graph import connected_components
 from quillspark.plans import jobs
-from quillspark.runtime import Stash
+from quillspark.runtime import Stash, ship
 from quillspark.sources import adapters as A
 from quillspark.sources.tables import load
 
@@ -77,6 +80,11 @@ def _s(c: str, name: str | None = None):
     return F.unix_timestamp(c).alias(name or c)
 
 
+def _hashed_words(texts: pd.Series) -> pd.Series:
+    """An embedding without a model: counts of words by their hash."""
+    return texts.map(lambda t: np.bincount([zlib.crc32(w.encode()) % 256 for w in t.lower().split()] if t and t.strip() else [0], minlength=256).astype(np.float32))
+
+
 def _edges(spark: SparkSession, d: str) -> DataFrame:
     """Similar pairs of the embeddings, as an edge table."""
     e = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
@@ -389,6 +397,16 @@ def _(spark, d):
     return near.select("id", F.round("similarity", 6).alias("similarity"), "registry_id")
 
 
+@query("P2_promotion_duplicates")
+def _(spark, d):
+    ship(spark)
+    hashed = F.pandas_udf(_hashed_words, "array<float>", F.PandasUDFType.SCALAR)
+    inbox = A.memory_inbox(spark, d)
+    items = A.memory_items(spark, d).withColumn("embedding", hashed("content"))
+    out = jobs.promote_job(inbox, items, A.at(), jobs.PromoteOptions(batch=200, cap=20), embed=lambda rows: rows.withColumn("embedding", hashed("content")))
+    return out.select("id", "project", "outcome", "reason")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

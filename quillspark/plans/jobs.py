@@ -46,19 +46,27 @@ class PromoteOptions:
 
 
 def promote_job(inbox: DataFrame, items: DataFrame, as_of: Column, options: PromoteOptions | None = None, embed: Callable[[DataFrame], DataFrame] | None = None, classify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Outcomes of a claimed batch.  ``embed`` adds ``embedding`` to rows (without it nothing is compared), ``classify`` gives ``id, level``."""
+    """Outcomes of a claimed batch.
+
+    ``embed`` adds ``embedding`` to rows (without it nothing is compared), ``classify``
+    gives ``id, level``.  Rows are compared with the live items of their project and with
+    rows of it that the batch promotes before them.
+    """
     o = options or PromoteOptions()
+    stash = Stash(items.sparkSession, "promote")
     batch = gates.gate_rows(scans.claim_batch(inbox, as_of, o.batch, o.lease_minutes), o.agents)
-    batch = Stash(items.sparkSession, "promote").put(gates.rate_capped(batch, scans.promoted_counts(inbox, as_of), o.cap))
+    batch = stash.put(gates.rate_capped(batch, scans.promoted_counts(inbox, as_of), o.cap))
+    kinds = stash.put(classify(batch)) if classify else None
     if embed is None:
         matches = batch.where("false").select("id", F.lit(0.0).alias("similarity"))
     else:
-        mine = embed(batch.where("reason is null and not deferred"))
+        mine = stash.put(embed(batch.where("reason is null and not deferred")).select("id", "project", "created_at", "embedding"))
         pool = items.where(scans.live() & F.col("embedding").isNotNull()).join(mine.select("project").distinct(), "project", "left_semi")
-        near = vectors.nearest_neighbours(mine.select((-F.col("id") - 1).alias("id"), "embedding"), pool.select("id", "embedding"), 50)
-        near = near.select((-F.col("id") - 1).alias("id"), "neighbour", "similarity").join(mine.select("id", "project"), "id")
-        matches = near.join(pool.select(F.col("id").alias("neighbour"), "project"), ["neighbour", "project"]).groupBy("id").agg(F.max("similarity").alias("similarity"))
-    return gates.outcomes(batch, matches, classify(batch) if classify else None)
+        near = vectors.nearest_neighbours(mine.select((-F.col("id") - 1).alias("id"), "embedding", "project"), pool.select("id", "embedding", "project"), 1, within="project")
+        rows = mine.join(near.select((-F.col("id") - 1).alias("id"), "similarity"), "id", "left")
+        rows = rows.join(kinds.select("id", "level"), "id", "left") if kinds is not None else rows.withColumn("level", F.lit("kitchen"))
+        matches = gates.batch_similarity(rows)
+    return gates.outcomes(batch, matches, kinds)
 
 
 def graph_job(items: DataFrame, edges: DataFrame, as_of: Column, threshold: float = 0.85, k: int = 8, since: Column | None = None) -> tuple[DataFrame, DataFrame]:

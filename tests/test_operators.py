@@ -78,6 +78,28 @@ def test_promotion_compares_within_the_project(spark):
     assert {r.id: r.reason for r in out.collect()} == {1: "duplicate", 2: None}
 
 
+def promoted(spark, rows, pool, classify=None):
+    df = spark.createDataFrame([(i, NOW + k * DAY, "web-one", h, "text", "pending", None, None, "{}", None, 0) for k, (i, h, _) in enumerate(rows)], SCHEMAS["memory_inbox"])
+    e = spark.createDataFrame([(i, v) for i, _, v in rows], "id long, embedding array<double>")
+    out = jobs.promote_job(df, pool, A.at(), jobs.PromoteOptions(agents=("web-one",)), embed=lambda d: d.join(e, "id"), classify=classify)
+    return {r.id: r.reason for r in out.collect()}
+
+
+def test_promotion_finds_a_duplicate_behind_other_projects(spark):
+    pool = items(spark, [{"id": k, "project": "q", "embedding": [1.0, 0.0]} for k in range(60)] + [{"id": 99, "project": "p", "embedding": [1.0, 0.1]}, {"id": 98, "project": None, "embedding": [0.0, 1.0]}])
+    assert promoted(spark, [(1, "p", [1.0, 0.0]), (2, "q", [0.0, 1.0]), (3, "p", [0.0, 1.0])], pool) == {1: "duplicate", 2: None, 3: None}
+
+
+def test_promotion_compares_a_batch_with_itself(spark):
+    at = lambda degrees: [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))]
+    pool = items(spark, [{"id": 99, "project": "z", "embedding": at(0)}])
+    # cos 20 is 0.94: 5 is near 9, which is promoted; 2 is near 5 only, which is not
+    rows = [(9, "p", at(0)), (5, "p", at(20)), (2, "p", at(40)), (1, "p", at(0)), (3, "q", at(0)), (4, "q", None), (6, "q", None)]
+    assert promoted(spark, rows, pool) == {9: None, 5: "near-duplicate", 2: None, 1: "duplicate", 3: None, 4: None, 6: None}
+    levels = lambda d: d.select("id", F.when(F.col("id") == 9, "street").otherwise("kitchen").alias("level"))
+    assert promoted(spark, rows[:4], pool, levels) == {9: "recipe-level", 5: None, 2: "near-duplicate", 1: "near-duplicate"}
+
+
 def test_edge_upsert_outcomes(spark):
     old = spark.createDataFrame([(1, 2, "relates_to", 0.9, NOW - DAY, "m"), (1, 3, "relates_to", None, NOW, "m"), (1, 4, "relates_to", 0.9, NOW - 8 * DAY, "m"), (1, 5, "other", 0.9, NOW, "m")], "source_id long, target_id long, relationship_type string, weight double, inferred_at timestamp, inferred_by string")
     pairs = spark.createDataFrame([(1, k, 0.95) for k in (2, 3, 4, 5)], "source_id long, target_id long, similarity double")

@@ -32,3 +32,12 @@ def test_every_vector_gets_its_nearest_centroid(spark, tmp_path):
     s = (v / np.linalg.norm(v, axis=1)[:, None]) @ (c / np.linalg.norm(c, axis=1)[:, None]).T
     assert {k: x[0] for k, x in got.items()} == {k: int(j) for k, j in enumerate(s.argmax(axis=1))}
     assert np.allclose([got[k][1] for k in range(60)], s.max(axis=1), atol=1e-5)
+
+
+def test_registered_promotion_finds_duplicates(spark, tmp_path):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    # every row is also a stored live item of its project
+    rows = [(k, text(k), "en", "s", 10) for k in (2, 10)] + [(4, text(4), "en", "t", 10)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.id: r.reason for r in __spark_entry__.queries()["P2_promotion_duplicates"](spark, str(tmp_path)).collect()}
+    assert "duplicate" in got.values()
