@@ -39,16 +39,17 @@ def vector_hits(signals: DataFrame, items: DataFrame, depth: int = 50) -> DataFr
 def fused(text: DataFrame, vectors: DataFrame | None, top: int = TOP) -> DataFrame:
     """Reciprocal-rank fusion of the branches: ``signal_key, id, similarity, place``.
 
-    Without vectors the lexical branch has all the weight.
+    For a signal without vectors the lexical branch has all the weight.
     """
-    w = (TEXT_WEIGHT, VECTOR_WEIGHT) if vectors is not None else (1.0, 0.0)
-    score = lambda c, weight: F.coalesce(weight / (RANK_CONSTANT + F.col(c)), F.lit(0.0))
     rows = text.select("signal_key", "id", F.col("rank").alias("t"))
     if vectors is not None:
         rows = rows.join(vectors.select("signal_key", "id", F.col("rank").alias("v")), ["signal_key", "id"], "full_outer")
+        both = F.max("v").over(Window.partitionBy("signal_key")).isNotNull()
+        rows = rows.withColumn("weight", F.when(both, TEXT_WEIGHT).otherwise(1.0))
     else:
-        rows = rows.withColumn("v", F.lit(None).cast("int"))
-    rows = rows.withColumn("similarity", score("t", w[0]) + score("v", w[1]))
+        rows = rows.withColumn("v", F.lit(None).cast("int")).withColumn("weight", F.lit(1.0))
+    score = lambda c, weight: F.coalesce(weight / (RANK_CONSTANT + F.col(c)), F.lit(0.0))
+    rows = rows.withColumn("similarity", score("t", F.col("weight")) + score("v", F.lit(VECTOR_WEIGHT)))
     order = Window.partitionBy("signal_key").orderBy(F.desc("similarity"), "id")
     return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).select("signal_key", "id", "similarity", "place")
 

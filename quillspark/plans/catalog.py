@@ -407,6 +407,20 @@ def _(spark, d):
     return out.select("id", "project", "outcome", "reason")
 
 
+@query("J1_fused_search", f"""WITH {HITS}, {VECTORS}, close AS (SELECT signal_key, b.id, row_number() OVER (PARTITION BY signal_key ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.id) AS rank
+ FROM signals JOIN unit a ON signal_key = 'session:' || a.id CROSS JOIN unit b WHERE b.id IN (SELECT id FROM items)),
+ fused AS (SELECT signal_key, id, coalesce(CASE WHEN signal_key IN (SELECT signal_key FROM close) THEN 0.4::DOUBLE ELSE 1.0::DOUBLE END / (60 + t.rank), 0) + coalesce(0.6::DOUBLE / (60 + c.rank), 0) AS similarity
+  FROM (SELECT * FROM ranked WHERE rank <= 50) t FULL JOIN (SELECT * FROM close WHERE rank <= 50) c USING (signal_key, id)),
+ best AS (SELECT *, row_number() OVER (PARTITION BY signal_key ORDER BY similarity DESC, id) AS place FROM fused)
+ SELECT signal_key, id, round(similarity, 9) AS similarity, place FROM best WHERE place <= 5""")
+def _(spark, d):
+    signals = scans.build_signals(scans.pick_sessions(A.memory_sessions(spark, d), A.at()))
+    items = A.memory_items(spark, d, embeddings=True)
+    near = search.vector_hits(signals.join(A.session_embeddings(spark, d), "session_id"), items)
+    out = search.fused(search.lexical_hits(signals, items), near)
+    return out.select("signal_key", "id", F.round("similarity", 9).alias("similarity"), F.col("place").cast("long").alias("place"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

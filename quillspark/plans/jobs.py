@@ -22,12 +22,18 @@ class InsightOptions:
     depth: int = 50
 
 
-def insight_job(sessions: DataFrame, items: DataFrame, as_of: Column, options: InsightOptions | None = None, write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Sessions to insights: pick, search, score.  ``write`` may replace the placeholder texts (it gets and returns the rows)."""
+def insight_job(sessions: DataFrame, items: DataFrame, as_of: Column, options: InsightOptions | None = None, write: Callable[[DataFrame], DataFrame] | None = None, embeddings: DataFrame | None = None) -> DataFrame:
+    """Sessions to insights: pick, search, score.
+
+    ``write`` may replace the placeholder texts (it gets and returns the rows).
+    ``embeddings`` (``session_id, embedding``) adds the vector branch, over the items'
+    ``embedding``; sessions without one are searched by words alone.
+    """
     o = options or InsightOptions()
     stash = Stash(items.sparkSession, "insights")
     signals = stash.put(scans.build_signals(scans.pick_sessions(sessions, as_of, o.lookback_hours, o.min_messages, o.max_sessions)))
-    hits = search.fused(search.lexical_hits(signals, items, o.depth), None).where(~F.isnan("similarity") & (F.col("similarity") >= o.min_similarity))
+    near = None if embeddings is None else search.vector_hits(signals.join(embeddings, "session_id"), items, o.depth)
+    hits = search.fused(search.lexical_hits(signals, items, o.depth), near).where(~F.isnan("similarity") & (F.col("similarity") >= o.min_similarity))
     related = stash.put(hits.join(items.select("id", "content", "project", "created_at"), "id"))
     scored = aggregates.insight_confidence(related)
     cited = related.groupBy("signal_key").agg(F.array_sort(F.collect_set("id")).alias("source_ids"), F.array_sort(F.collect_set(F.when(F.col("project") != "", F.col("project")))).alias("projects"))

@@ -59,6 +59,11 @@ def memory_sessions(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def session_embeddings(spark: SparkSession, base: str) -> DataFrame:
+    """A session's embedding is the vector of its id; sessions of other ids have none."""
+    return load(spark, base, "embeddings").select(F.col("vec_id").alias("session_id"), "embedding")
+
+
 def memory_recall_log(spark: SparkSession, base: str) -> DataFrame:
     e = load(spark, base, "events")
     return e.select(F.col("user_id").alias("memory_id"), F.col("event_type").isin("click", "purchase").alias("cited"), F.col("ts").cast("timestamp").alias("created_at"), F.col("value").alias("score"), F.col("event_type").alias("surface"))

@@ -221,6 +221,22 @@ def test_fusion(spark):
     assert [r.v for r in s.select(search.keyword_score(F.col("q"), F.col("c")).alias("v")).collect()] == [0.80, 0.92, 0.75, 0.75]
 
 
+def test_signals_without_vectors_have_the_lexical_weight(spark):
+    t = spark.createDataFrame([("s", 1, 1), ("u", 1, 1)], "signal_key string, id long, rank int")
+    v = spark.createDataFrame([("s", 2, 1)], "signal_key string, id long, rank int")
+    assert {(r.signal_key, r.id): r.similarity for r in search.fused(t, v).collect()} == pytest.approx({("s", 1): 0.4 / 61, ("s", 2): 0.6 / 61, ("u", 1): 1 / 61})
+
+
+def test_insights_use_both_branches(spark):
+    sessions = spark.createDataFrame([(7, "p", "alpha beta", NOW, NOW, 5, None), (8, "p", "alpha", NOW, NOW, 5, None)], SCHEMAS["memory_sessions"])
+    df = items(spark, [{"id": 1, "content": "alpha beta", "embedding": [0.0, 1.0]}, {"id": 2, "content": "no shared word", "embedding": [1.0, 0.0]}, {"id": 3, "content": "neither"}])
+    e = spark.createDataFrame([(7, [1.0, 0.1])], "session_id long, embedding array<double>")
+    options = jobs.InsightOptions(min_similarity=0.0)
+    found = lambda **more: {r.signal_key: r.source_ids for r in jobs.insight_job(sessions, df, A.at(), options, **more).collect()}
+    assert found() == {"session:7": [1], "session:8": [1]}
+    assert found(embeddings=e) == {"session:7": [1, 2], "session:8": [1]}
+
+
 def test_schema_alignment_and_checks(spark):
     df = align(spark.createDataFrame([(1, "text")], "id int, content string"), "memory_items")
     assert df.schema == schema("memory_items") and df.first().is_active is None
