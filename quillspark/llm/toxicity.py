@@ -302,7 +302,7 @@ def _scores(machine: ToxicityModel | None, texts: list) -> np.ndarray:
         return np.zeros(len(texts))
     known: Cache = held((ToxicityModel, machine.token), Cache)
     known.trim()
-    cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+    cut = [t.split() if t else [] for t in texts]
     got = [list(map(known.get, c)) for c in cut]
     gaps = [(c, g, [k for k, x in enumerate(g) if x is None]) for c, g in zip(cut, got) if None in g]
     new = [w for w in {c[k] for c, _, at in gaps for k in at} if known.recall(w) is None]
@@ -321,7 +321,7 @@ def _scores(machine: ToxicityModel | None, texts: list) -> np.ndarray:
             g[k] = known[c[k]]
     rows = []
     for t, g in zip(texts, got):
-        values = np.array(g)
+        values = np.array(g, float)
         if t and len(spaced := spaced_units(t)):
             values = np.concatenate([values, machine.units(spaced)])
         rows.append(summary(values[~np.isnan(values)]))

@@ -103,3 +103,12 @@ def test_nothing_to_learn_from(spark):
     assert train_toxicity(docs, marks.limit(0)) is None
     assert {(r.score, r.predicted) for r in score_toxicity(docs, None).collect()} == {(0.0, 0)}
     assert score_toxicity(docs.limit(0), None).collect() == []
+
+
+def test_scoring_cuts_at_all_white_space(model):
+    from quillspark.llm.toxicity import _scores
+
+    text = "kalo mi grobnik san wuzzock ver flimpet lo"
+    texts = [text] + [text.replace(" ", gap) for gap in ("\t", "\u00a0", "\r\n", "\u2003")] + ["", " \t ", None]
+    got = _scores(model, texts)
+    assert np.allclose(got[1:5], got[0], atol=1e-12) and np.allclose(got[5:], got[5])
