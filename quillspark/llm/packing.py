@@ -13,7 +13,6 @@ gets on (most pieces cannot fill bins better), a level's bins are final as they
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from itertools import chain
@@ -21,6 +20,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +33,8 @@ SHARD_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 32_768, 2, 3, 12, 4
 OPEN_BELOW = 0.98
 #: A level that reopens more than this share of its pieces is the last: packing them again would hardly close more.
 REOPEN_MOST = 0.9
+#: Bytes (about) of a generation of a worker's cache of encoded words.
+CACHE_BYTES = 64_000_000
 
 
 def best_fit(lengths: np.ndarray, items, capacity: int, bins: list[list[int]] | None = None) -> list[list[int]]:
@@ -190,66 +192,70 @@ def pack(pieces: DataFrame, capacity: int, stash: Stash | None = None) -> DataFr
         todo, level, n = packed.where("opened").select("key", "length"), level + 1, left
 
 
+#: ASCII punctuation that no token joins to a letter before it (fixed value).
+AFTER = ".,!?;:#$%&*)"
+
+
 class WordEncoder:
-    """Ids by the tokenizers library, word by word with a cache.
+    """Ids by the tokenizers library, each distinct word of a slice looked up once.
 
-    White space is dropped by the tokenizer and nothing crosses it, so a text may be
-    cut at spaces and line ends and each distinct word encoded once.
+    White space is dropped by the tokenizer and nothing crosses it, so Arrow cuts the
+    texts at ASCII white space and numbers the distinct chunks; their ids are gathered
+    by those numbers.  A chunk is a word of letters and punctuation after it, which are
+    looked up apart, or else it is looked up whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.words: Cache = Cache(700_000)
-        self.parts: Cache = Cache()
-        self.simple = re.compile(r"^([^\W\d_]+)([.,!?;:#$%&*)]*)$", re.M)
+        self.words: Cache = Cache(nbytes=cache_bytes or CACHE_BYTES)
         self.last = np.zeros(self.library.get_vocab_size(), bool)
         self.last[[i for t, i in self.library.get_vocab().items() if t.endswith("</w>")]] = True
 
     def learn(self, new: list[str]) -> None:
-        """Encode unseen chunks.
+        """Encode unseen words.
 
-        Letters and the ASCII punctuation after them never merge, so they are looked up
-        apart.  Either is one word to the tokenizer and its last token an end of word, so
-        many are encoded as one spaced text and told apart at those tokens; any other
-        chunk is encoded alone.
+        Words of letters alone are one word to the tokenizer, and its last token an end of
+        word, so they are encoded as one spaced text and told apart at those tokens; all
+        others are encoded alone, as are all where that count doesn't fit.
         """
-        new = self.words.unknown(new)
-        pairs = self.simple.findall("\n".join(new))
-        folded = [a.lower() if a.isascii() else a for a, _ in pairs]  # the tokenizer lower-cases too
-        known = self.parts
-        todo = known.unknown([w for w in {*folded, *(b for _, b in pairs)} if w not in known])
-        if todo:
-            ids = np.array(self.library.encode_batch_fast([" ".join(todo)], add_special_tokens=False)[0].ids, np.uint32)
+        plain = [w for w in new if w.isalpha()]
+        if plain:
+            ids = np.array(self.library.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(todo):
-                raise AssertionError("a word was not one word to the tokenizer")
-            raw, ends = ids.tobytes(), (ends * 4).tolist()
-            known.update(zip(todo, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-        got = {a + b: known[f] + known[b] for (a, b), f in zip(pairs, folded)}
-        self.words.update(got)
-        odd = [w for w in new if w not in got]
-        for w, e in zip(odd, self.library.encode_batch_fast(odd, add_special_tokens=False)):
+            if len(ends) == len(plain):
+                raw, ends = ids.tobytes(), (ends * 4).tolist()
+                self.words.update(zip(plain, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+                new = [w for w in new if not w.isalpha()]
+        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
             self.words[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text, without special tokens added."""
         self.words.trim()
-        self.parts.trim()
-        self.parts[""] = b""
-        cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        get = self.words.get
-        got = [list(map(get, c)) for c in cut]
-        gaps = [(c, g, [k for k, x in enumerate(g) if x is None]) for c, g in zip(cut, got) if None in g]
-        self.learn(list({c[k] for c, _, at in gaps for k in at}))
-        for c, g, at in gaps:
-            for k in at:
-                g[k] = self.words[c[k]]
-        return [b"".join(g) for g in got]
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()).fill_null(""))
+        coded = cut.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        heads = [h if (h := c.rstrip(AFTER)).isalpha() else c for c in chunks]
+        tails = [(k, c[len(h) :]) for k, (c, h) in enumerate(zip(chunks, heads)) if len(h) < len(c)]
+        keys = [h.lower() if h.isascii() and h.isalpha() else h for h in heads]  # the tokenizer lower-cases too
+        words = self.words
+        ids = list(map(words.get, keys))
+        gaps = [k for k, x in enumerate(ids) if x is None]
+        self.learn(words.unknown({keys[k] for k in gaps} | {t for t in {t for _, t in tails} if t not in words}))
+        for k in gaps:
+            ids[k] = words[keys[k]]
+        for k, t in tails:
+            ids[k] += words[t]
+        packed = pa.array(ids, pa.large_binary()).take(coded.indices)
+        at = np.frombuffer(packed.buffers()[1], np.int64, len(packed) + 1, packed.offset * 8)
+        ends = at[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        raw = memoryview(packed.buffers()[2] or b"")
+        return [bytes(raw[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 def word_encoder(path: str) -> WordEncoder:

@@ -6,8 +6,11 @@ the longest single text rather than the partition.
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -86,12 +89,14 @@ class Cache(dict):
     """A bounded dict of what is known of distinct words, in two generations.
 
     When the young generation is full it becomes the old one, whose entries return
-    to the young one as they are asked for; what was rare is forgotten.
+    to the young one as they are asked for; what was rare is forgotten.  It is full by
+    its entries or, where ``nbytes`` is given, by the bytes of its keys and values.
     """
 
-    def __init__(self, entries: int | None = None) -> None:
+    def __init__(self, entries: int | None = None, nbytes: int | None = None) -> None:
         super().__init__()
-        self.entries = entries or CACHE_ENTRIES
+        self.entries = entries or (sys.maxsize if nbytes else CACHE_ENTRIES)
+        self.nbytes, self.spent, self.seen = nbytes, 0, 0
         self.old: dict = {}
 
     def recall(self, key):
@@ -110,9 +115,20 @@ class Cache(dict):
         return [k for k in keys if k not in old]
 
     def trim(self) -> None:
-        if len(self) > self.entries:
+        """Retire the young generation if it is full.
+
+        An entry's place in the table is taken as 100 bytes; values are taken as flat.
+        """
+        if self.nbytes:
+            new = len(self) - self.seen
+            for part in (self.keys(), self.values()):
+                self.spent += sum(map(sys.getsizeof, islice(reversed(part), new)))
+            self.spent += 100 * new
+            self.seen = len(self)
+        if len(self) > self.entries or (self.nbytes and self.spent > self.nbytes):
             self.old = dict(self)
             self.clear()
+            self.spent = self.seen = 0
 
 
 _held: dict = {}
@@ -121,7 +137,11 @@ _held: dict = {}
 def held(key: tuple, make: Callable[[], object]):
     """The one object that a worker keeps from task to task; asking for another drops it, so caches of several operators never add up."""
     if key not in _held:
-        _held.clear()
+        if _held:
+            _held.clear()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc keeps freed memory otherwise
+                trim(0)
         _held[key] = make()
     return _held[key]
 

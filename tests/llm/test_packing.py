@@ -17,11 +17,21 @@ ENCODER = WordEncoder(PATH)
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from([*"abcdetsTHEÉ'   \n\t.!#19ß漢Σ", "the", " and", "'ll", "ing", "<|endoftext|>", "\x1c", " ", "é", "́"]), max_size=40).map("".join))
+@given(st.lists(st.sampled_from([*"abcdetsTHEÉ'   \n\t.!#19ß漢Σ", "the", " and", "'ll", "ing", "<|endoftext|>", "<|ENDOFTEXT|>", "İst", ".", "&)", "½", "\x1c", " ", "é", "́"]), max_size=40).map("".join))
 def test_words_like_the_library(text):
     assert array("I", ENCODER.encode([text])[0]).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_a_small_cache_changes_nothing():
+    small = WordEncoder(PATH, 4000)
+    texts = [" ".join(f"{a}{b}{c}." for a in "xyz" for b in "abcdef"[: k % 7]) + " İzmir DON'T 3rd" for k in range(40) for c in "qrst"] + [None, "", "   "]
+    for at in range(0, len(texts), 9):
+        part = texts[at : at + 9]
+        assert small.encode(part) == ENCODER.encode(part)
+        assert [array("I", x).tolist() for x in small.encode(part)] == [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in part]
+    assert small.words.old and small.encode([]) == []
+
+
 def whole(bins, n):
     return sorted(i for b in bins for i in b) == list(range(n))
 
