@@ -10,12 +10,12 @@ over its words by the number of characters, so each distinct word is looked up o
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ ORDER, SAMPLE = 5, 600
 #: Characters of evidence that the score counts at most; a text is rejected that strays from its language by more than so many times the usual, and by more than so many nats a character.
 EVIDENCE, REJECT, APART = 60, 4.0, 1.3
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 

@@ -287,13 +287,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     in a hundred or more; ``component_id`` is the smallest id reachable.
 
     Repeated rows and ties are members of one class; where an id repeats with another
-    text, each row takes the component of its own text.  Rows with a null id are counted
+    set, each row takes the component of its own text (:func:`_row_by_row`).  Rows with a null id are counted
     but linked with nothing (``component_id`` null, ``kept`` true).  Ids must fit a
     long.  Other columns are not looked at.  An empty table gives an empty one.
     """
     stash = Stash(docs.sparkSession, "near")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stash.put(signatures(source, width))
+    same = F.xxhash64("digest")
+    clashes = signed.where("doc_id is not null").groupBy("doc_id").agg(F.min(same).alias("lo"), F.max(same).alias("hi")).where("lo <> hi")
+    if not clashes.isEmpty():
+        return _row_by_row(source, width, percent, stash)
     linkable = signed.where("digest is not null and doc_id is not null")
     classes = stash.put(linkable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     size = 2 * ROWS
@@ -348,10 +352,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _row_by_row(source: DataFrame, width: int, percent: int, stash: Stash) -> DataFrame:
+    """:func:`near_duplicates` where ids repeat with other sets: rows are numbered, linked by number, and named by their ids at the end."""
+    rows = stash.put(source.withColumn("row", F.monotonically_increasing_id()))
+    linked = near_duplicates(rows.where("doc_id is not null"), width, percent, "row").drop("kept").withColumnRenamed("doc_id", "row")
+    named = stash.put(linked.join(rows.select("row", "doc_id"), "row"))
+    least = named.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    out = named.join(least, "component_id").select("doc_id", "n_shingles", F.col("least").alias("component_id"), (F.col("doc_id") == F.col("least")).alias("kept"))
+    nameless = rows.where("doc_id is null")
+    if nameless.isEmpty():
+        return out
+    return out.unionByName(near_duplicates(nameless.select("doc_id", "text"), width, percent))
+
+
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, of which one stays for each group of near duplicates.
 
     The one with the smallest id stays; of its repeated rows (same id and text) one.
+    Where an id repeats with other texts, all of them stay if one of them does.
     Rows without words, and rows with a null id, all stay.
     """
     kept = near_duplicates(docs, width, percent, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()

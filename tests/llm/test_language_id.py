@@ -60,13 +60,13 @@ def test_held_out_accuracy_and_rejection(models):
 def test_rows(spark):
     rng = random.Random(3)
     rows = [(k * 3 + j, t, g) for j, g in enumerate(SYLLABLES) for k, t in enumerate(texts(g, 50, rng))]
-    odd = [(900, None, "aa"), (901, "", None), (902, "123 +++", "bb"), (None, rows[0][1], "aa"), rows[5], (903, rows[7][1] * 400, None)]
+    odd = [(900, None, "aa"), (901, "", None), (902, "123 +++", "bb"), (904, "½ ² Ⅷ ①", None), (None, rows[0][1], "aa"), rows[5], (903, rows[7][1] * 400, None)]
     df = spark.createDataFrame([(*r, "clash") for r in rows + odd], "doc_id long, text string, lang string, score string")
     got = identify_languages(df, train_models(df)).collect()
     assert len(got) == len(rows) + len(odd)
     by_id = {r.doc_id: r for r in got}
     assert all(by_id[i].lang_pred == g for i, _, g in rows)
-    for i in (900, 901, 902):
+    for i in (900, 901, 902, 904):
         assert (by_id[i].lang_pred, by_id[i].score, by_id[i].cross_entropy, by_id[i].rejected) == ("und", 0.0, None, True)
     assert by_id[None].lang_pred == "aa" and by_id[None].held_out is False
     empty = df.limit(0)

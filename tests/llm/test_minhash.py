@@ -99,3 +99,11 @@ def test_nulls_repeats_empty(spark):
     got = sorted((r.doc_id or -1, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(df).collect())
     assert got == [(-1, 1, None, True), (7, 1, 7, True), (7, 1, 7, True), (8, 0, 8, True), (9, 1, 7, False)]
     assert near_duplicates(df.limit(0)).collect() == []
+
+
+def test_an_id_that_repeats_with_another_text_loses_no_link(spark):
+    a, b = ([f"{x}{k}" for k in range(60)] for x in "ab")
+    rows = [(4, a), (4, b), (2, [*a[:-1], "x"]), (3, [*b[:-1], "y"]), (4, []), (9, ["alone"] * 3), (None, a)]
+    df = spark.createDataFrame([(i, " ".join(t), "clash") for i, t in rows], "doc_id long, text string, row string")
+    got = sorted(((r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in near_duplicates(df, 4).collect()))
+    assert got == [(-1, 57, -1, True), (2, 57, 2, True), (3, 57, 3, True), (4, 0, 4, True), (4, 57, 2, False), (4, 57, 3, False), (9, 1, 9, True)]
