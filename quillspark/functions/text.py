@@ -89,12 +89,12 @@ def tolerant_json(text: str | None) -> list[dict]:
     candidates += [re.sub(r",\s*([\]}])", r"\1", c) for c in candidates[1:]]
     for c in candidates:
         try:
-            value = json.loads(c)
+            value = json.loads(c, strict=False)  # line ends inside strings are let pass
         except ValueError:
             continue
         rows = value if isinstance(value, list) else next((v for v in value.values() if isinstance(v, list)), [value]) if isinstance(value, dict) else []
         return [r for r in rows if isinstance(r, dict)]
-    saved, decoder, at = [], json.JSONDecoder(), 0
+    saved, decoder, at = [], json.JSONDecoder(strict=False), 0
     while (at := body.find("{", at)) >= 0:
         try:
             value, end = decoder.raw_decode(body, at)

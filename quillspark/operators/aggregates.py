@@ -41,13 +41,11 @@ def distinct_clusters(related: DataFrame, key: str, content: str = "content", th
     """
     order = Window.partitionBy(key).orderBy("id")
     rows = related.select(F.col(key).alias("key"), F.row_number().over(order).alias("at"), collapsed(F.col(content)).alias("text"), token_set(F.col(content)).alias("tokens"))
-    node = lambda at: F.struct("key", at.alias("at"))
     a, b = rows.alias("a"), rows.alias("b")
     same = (F.col("a.text") == F.col("b.text")) | (jaccard(F.col("a.tokens"), F.col("b.tokens")) >= threshold)
     links = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.at") < F.col("b.at")) & same).select(F.struct("a.key", "a.at").alias("src"), F.struct("b.key", "b.at").alias("dst"))
     merged = connected_components(links).groupBy(F.col("node.key").alias("key")).agg((F.count("*") - F.countDistinct("component")).alias("merged"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
-    del node
     return sizes.join(merged, "key", "left").select("key", "n", (F.col("n") - F.coalesce("merged", F.lit(0))).alias("distinct"))
 
 
@@ -84,12 +82,8 @@ def coverage(items: DataFrame, objectives: DataFrame, links: DataFrame, as_of: C
     rows = per.join(counted, "project", "left").withColumn("writes", F.coalesce("writes", F.lit(0))).withColumn("linked", F.coalesce("linked", F.lit(0)))
     sure = F.lit(linkage) & (F.col("with_id") > 0)
     drift = F.when(~sure, F.lit(None).cast("boolean")).when(F.col("writes") < min_writes, False).when(F.col("linked") == 0, True).otherwise(False)
-    note = (
-        F.when(F.lit(not linkage), "undetermined: no linkage substrate").when(~sure, "undetermined: objectives carry no ids to link against")
-        .when(F.col("writes") < min_writes, F.concat(F.lit("below min_writes ("), F.col("writes").cast("string"), F.lit(f" < {min_writes})")))
-        .when(F.col("linked") == 0, F.concat(F.col("writes").cast("string"), F.lit(" writes in window, zero linked to any of "), F.col("objective_count").cast("string"), F.lit(" objectives")))
-        .otherwise(F.concat(F.col("linked").cast("string"), F.lit("/"), F.col("writes").cast("string"), F.lit(" writes linked")))
-    )
+    reason = F.when(F.lit(not linkage), "links are not kept").when(~sure, "objectives lack ids").when(F.col("writes") < min_writes, f"fewer than {min_writes} new items").when(F.col("linked") == 0, "nothing new serves an objective").otherwise("in use")
+    note = F.format_string("%s (%d new, %d linked, %d objectives)", reason, "writes", "linked", "objective_count")
     ratio = F.when(sure & (F.col("writes") > 0), F.round(F.col("linked") / F.col("writes"), 4))
     return rows.select("project", "objective_count", "writes", F.col("linked").alias("linked_writes"), ratio.alias("coverage_ratio"), drift.alias("drift"), note.alias("note"))
 

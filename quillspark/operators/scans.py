@@ -103,11 +103,11 @@ def contradiction_backlog(items: DataFrame, scanned: DataFrame, hashes: DataFram
     return rows.orderBy(F.desc("created_at"), "id").limit(limit) if limit else rows
 
 
-def claim_batch(inbox: DataFrame, as_of: Column, batch: int = 25, lease_minutes: int = 10) -> DataFrame:
-    """The oldest pending rows without a running lease, stamped with a new one."""
+def claim_batch(inbox: DataFrame, as_of: Column, batch: int | None = 25, lease_minutes: int = 10) -> DataFrame:
+    """The oldest pending rows without a running lease, stamped with a new one; all of them, unordered, where ``batch`` is None."""
     before = F.timestamp_seconds(F.unix_timestamp(as_of) - lease_minutes * 60)
     free = inbox.where((F.col("status") == "pending") & (F.col("claimed_at").isNull() | (F.col("claimed_at") < before)))
-    return free.orderBy("created_at", "id").limit(batch).withColumn("claimed_at", as_of)
+    return (free if batch is None else free.orderBy("created_at", "id").limit(batch)).withColumn("claimed_at", as_of)
 
 
 def promoted_counts(inbox: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
@@ -121,7 +121,10 @@ def incremental_watermark(edges: DataFrame, prefix: str = "cron-") -> DataFrame:
 
 
 def normalize_objectives(objectives: DataFrame) -> DataFrame:
-    """Objectives with text, cut to 1000 characters, whole-number ranks and a status; by project, rank (nulls last) and text."""
+    """Objectives with text, cut to 1000 characters, whole-number ranks and a status.
+
+    The rows have no order; a reader that shows them sorts by project, rank (nulls last) and text.
+    """
     text = F.substring(trimmed(F.col("content")), 1, 1000)
     rank = F.expr("try_cast(rank as int)")
     return objectives.where(F.length(text) > 0).select("id", "project", rank.alias("rank"), text.alias("content"), F.coalesce("status", F.lit("active")).alias("status"), "ratified_at")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -34,11 +35,14 @@ def build_session(app_name: str = "quillspark", master: str | None = None, **con
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    ``spark.checkpoint.dir`` is the cluster's answer.  Where it is unset (tests,
-    single-machine runs) a temporary folder is made and recorded in it.
+    ``spark.checkpoint.dir`` is the cluster's answer.  Where it is unset on a local
+    master (tests, single-machine runs) a temporary folder is made and recorded in it;
+    on a cluster that is an error, since executors would write to disks of their own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="quillspark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

@@ -52,3 +52,9 @@ def test_imports_without_the_optional_part(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
+
+
+def test_imports_without_a_library_of_the_optional_part():
+    root = os.path.dirname(os.path.abspath(__spark_entry__.__file__))
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') for n in q)"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

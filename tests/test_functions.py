@@ -93,3 +93,8 @@ def test_vectors(spark):
     assert value(spark, vectors.cosine(a(0, 0), a(1, 1))) == 0.0
     assert value(spark, vectors.cosine(a(1, 2, 3), a(1, 2))) == pytest.approx(5 / math.sqrt(14 * 5))
     assert value(spark, vectors.normalized(a(3, 4))) == pytest.approx([0.6, 0.8])
+
+
+def test_tolerant_json_lets_line_ends_in_strings_pass():
+    assert text.tolerant_json('[{"title": "two\nlines", "n": 1},]') == [{"title": "two\nlines", "n": 1}]
+    assert text.tolerant_json('first {"a": "x\ny"} then {"b": 2} {"c": ') == [{"a": "x\ny"}, {"b": 2}]

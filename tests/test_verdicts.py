@@ -15,6 +15,11 @@ def test_levels_fail_closed(spark):
     assert got == {1: ("kitchen", "decision"), 2: ("recipe", "fact"), 3: (None, "fact"), 4: (None, "fact"), 5: (None, "fact"), 6: ("kitchen", "fact")}
 
 
+def test_replies_with_small_faults(spark):
+    df = replies(spark, [(1, '{"verdict": "kitchen", "rationale": "two\nlines",}'), (2, '{"verdict": "recipe", "rationale": "a, ]b",\n}'), (3, '{"verdict": "recipe", "rationale": "keeps ,} this"}')])
+    assert {r.id: (r.level, r.rationale) for r in v.levels(df).collect()} == {1: ("kitchen", "two\nlines"), 2: ("recipe", "a]b"), 3: ("recipe", "keeps ,} this")}
+
+
 def test_edge_kinds(spark):
     got = {r.id: r.kind for r in v.edge_kinds(replies(spark, [(1, " Contradicts because"), (2, "unknown"), (3, ""), (4, None)])).collect()}
     assert got == {1: "contradicts", 2: None, 3: None, 4: None}
