@@ -34,7 +34,7 @@ OPEN_BELOW = 0.98
 #: A level that reopens more than this share of its pieces is the last: packing them again would hardly close more.
 REOPEN_MOST = 0.9
 #: Bytes (about) of a generation of a worker's cache of encoded words.
-CACHE_BYTES = 64_000_000
+CACHE_BYTES = 100_000_000
 
 
 def best_fit(lengths: np.ndarray, items, capacity: int, bins: list[list[int]] | None = None) -> list[list[int]]:
