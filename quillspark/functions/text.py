@@ -44,6 +44,44 @@ def fnv1a(x: Column) -> Column:
     return F.lpad(F.lower(F.hex(F.aggregate(F.filter(F.split(x, ""), lambda c: c != ""), F.lit(2166136261).cast("bigint"), step))), 8, "0")
 
 
+def poly31(x: Column) -> Column:
+    """31-polynomial hash over UTF-16 code units in 32 signed bits, as ``fallback:`` and signed hexadecimal digits."""
+    more = lambda h, u: (h * 31 + u).bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))
+    high = lambda c: F.lit(0xD800) + F.shiftright(c - 0x10000, 10)
+    low = lambda c: F.lit(0xDC00) + (c - 0x10000).bitwiseAND(F.lit(0x3FF).cast("bigint"))
+    points = F.transform(F.filter(F.split(x, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("bigint"))
+    units = F.flatten(F.transform(points, lambda c: F.when(c < 0x10000, F.array(c)).otherwise(F.array(high(c), low(c)))))
+    h = F.aggregate(units, F.lit(0).cast("bigint"), more)
+    signed = F.when(h >= 0x80000000, h - 0x100000000).otherwise(h)
+    return F.concat(F.lit("fallback:"), F.when(signed < 0, "-").otherwise(""), F.lower(F.hex(F.abs(signed))))
+
+
+def objective_key(id_: Column, project: Column, content: Column) -> Column:
+    """An objective's id, or where it has none a hash of its project and text."""
+    own = F.nullif(id_.cast("string"), F.lit(""))
+    return F.coalesce(own, F.concat(F.lit("text:"), fnv1a(F.concat(F.coalesce(project, F.lit("")), F.lit("|"), F.coalesce(content, F.lit(""))))))
+
+
+def epoch_ms(x: Column) -> Column:
+    """Milliseconds since the epoch of a time given as text, null where it is none."""
+    return F.unix_millis(F.try_to_timestamp(x))
+
+
+def json_fields(x: Column) -> Column:
+    """A JSON object's fields as a map of variants; empty where there is no object."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json(x), "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+
+
+def json_merged(a: Column, b: Column) -> Column:
+    """The object ``a`` with the fields of ``b``, which replace its own (one level deep)."""
+    old, new = json_fields(a), json_fields(b)
+    return F.to_json(F.map_concat(F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(new), k)), new))
+
+
+def json_without(x: Column, key: str) -> Column:
+    return F.to_json(F.map_filter(json_fields(x), lambda k, _: k != key))
+
+
 def without_fence(x: Column) -> Column:
     """From the first brace to the last, as a model's reply may be fenced or chatty."""
     return F.regexp_extract(x, r"(?s)(\{.*\})", 1)

@@ -23,3 +23,15 @@ def cosine(a: Column, b: Column) -> Column:
 def normalized(a: Column) -> Column:
     n = norm(a)
     return F.when(n == 0, F.transform(a, lambda x: x.cast("double"))).otherwise(F.transform(a, lambda x: x.cast("double") / n))
+
+
+def vector_literal(a: Column) -> Column:
+    """A vector as text, ``[1.0,2.5]``."""
+    return F.concat(F.lit("["), F.array_join(F.transform(a, lambda x: x.cast("string")), ","), F.lit("]"))
+
+
+def parsed_vector(x: Column) -> Column:
+    """The vector that such a text holds; null if any part is no number."""
+    body = F.regexp_replace(x, r"[\[\]\s]", "")
+    parts = F.transform(F.filter(F.split(body, ","), lambda t: t != ""), lambda t: t.try_cast("double"))
+    return F.when(~F.exists(parts, lambda v: v.isNull()), parts)

@@ -67,6 +67,22 @@ def objective_fingerprints(objectives: DataFrame) -> DataFrame:
     return grouped.select("project", F.concat(fnv1a(F.array_join("lines", "\n")), F.lit(":"), F.size("lines").cast("string")).alias("objectives_hash"))
 
 
+def linkage(items: DataFrame, edges: DataFrame, objectives: DataFrame, source: str = "both") -> DataFrame:
+    """Links ``memory_id, objective_id`` by edges (either end), by ``objectives`` in metadata, by both, or by none."""
+    goals = objectives.where(F.col("id").isNotNull()).select(F.col("id").alias("objective_id")).distinct()
+    ends = lambda a, b: edges.select(F.col(a).alias("memory_id"), F.col(b).alias("objective_id"))
+    own = items.select(F.col("id").alias("memory_id"), F.explode(F.from_json(F.get_json_object("metadata", "$.objectives"), "array<string>")).alias("v")).select("memory_id", F.expr("try_cast(v as bigint)").alias("objective_id"))
+    by_edges = ends("source_id", "target_id").unionByName(ends("target_id", "source_id")).join(items.select(F.col("id").alias("memory_id")), "memory_id", "left_semi")
+    rows = {"edges": by_edges, "metadata": own, "both": by_edges.unionByName(own), "none": own.where("false")}[source]
+    return rows.join(goals, "objective_id", "left_semi").select("memory_id", "objective_id").distinct()
+
+
+def ranked_objectives(objectives: DataFrame) -> DataFrame:
+    """Active objectives of each project in the order they are shown: by rank, those without one last, then by text."""
+    order = Window.partitionBy("project").orderBy(F.asc_nulls_last("rank"), "content", "id")
+    return objectives.where(F.col("status") == "active").withColumn("place", F.row_number().over(order))
+
+
 def coverage(items: DataFrame, objectives: DataFrame, links: DataFrame, as_of: Column, window_days: int = 30, min_writes: int = 20, linkage: bool = True) -> DataFrame:
     """Coverage and drift of each project with active objectives.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import trimmed
@@ -120,6 +122,18 @@ def incremental_watermark(edges: DataFrame, prefix: str = "cron-") -> DataFrame:
     return edges.where(F.col("inferred_by").ilike(prefix + "%")).agg(F.max("inferred_at").alias("since"))
 
 
+def safe_identifier(name: str | None, default: str) -> str:
+    """A configured table or column name if it is a plain lower-case identifier, else the default."""
+    name = (name or "").strip()
+    return name if re.fullmatch(r"[a-z_][a-z0-9_]{0,62}", name) else default
+
+
+def community_members(items: DataFrame, communities: DataFrame) -> DataFrame:
+    """Rows ``community_key, id, content, project, created_at, place`` of members that are still live, oldest first."""
+    rows = communities.select("community_key", F.explode("members").alias("id")).join(items.where(live()).select("id", "content", "project", "created_at"), "id")
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("community_key").orderBy("created_at", "id")))
+
+
 def normalize_objectives(objectives: DataFrame) -> DataFrame:
     """Objectives with text, cut to 1000 characters, whole-number ranks and a status.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import scoring, text
-from quillspark.operators import aggregates, gates, ledger, scans, search, vectors
+from quillspark.operators import aggregates, gates, ledger, scans, search, vectors, writes
 from quillspark.operators.graph import connected_components
 from quillspark.plans import jobs
 from quillspark.runtime import Stash, ship
@@ -421,6 +421,78 @@ def _(spark, d):
     return out.select("signal_key", "id", F.round("similarity", 9).alias("similarity"), F.col("place").cast("long").alias("place"))
 
 
+_DECIDED = f"""{_GATED}, b AS (SELECT * FROM r ORDER BY created_s, id LIMIT 200), p AS (SELECT lower(trim(source_agent)) AS agent, count(*) AS promoted FROM inbox WHERE status = 'promoted' AND created_s >= 1706659200 - 72 * 3600 GROUP BY 1),
+ w AS (SELECT b.*, coalesce(promoted, 0) AS base, coalesce(promoted, 0) + coalesce(sum(CASE WHEN reason IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY b.agent ORDER BY created_s, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 20 AS late FROM b LEFT JOIN p ON p.agent = b.agent),
+ o AS (SELECT *, CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN late THEN 'deferred' ELSE 'promoted' END AS outcome FROM w),
+ top AS (SELECT max(doc_id) AS top FROM documents), z AS (SELECT i.id, i.created_s, o.content, o.agent, o.project, i.id % 7 AS attempts, CASE WHEN i.status = 'pending' AND i.id % 12 = 1 THEN 'failed' WHEN i.status = 'pending' AND o.outcome <> 'deferred' THEN o.outcome END AS act, i.status, o.reason FROM inbox i LEFT JOIN o ON o.id = i.id)"""
+
+
+def _promotion(spark, d):
+    inbox, items = A.memory_inbox(spark, d), A.memory_items(spark, d)
+    out = jobs.promote_job(inbox, items, A.at(), jobs.PromoteOptions(batch=200, cap=20, count_hours=72))
+    failures = inbox.where("id % 12 = 1").select("id", F.lit("no answer").alias("error"))
+    return writes.promotion_writes(inbox, items, out, A.at(), "run-1", failures)
+
+
+@query("A17_promoted_counts_3d", f"WITH {INBOX} SELECT lower(trim(source_agent)) AS agent, count(*) AS promoted FROM inbox WHERE status = 'promoted' AND created_s >= 1706659200 - 72 * 3600 GROUP BY 1")
+def _(spark, d):
+    return scans.promoted_counts(A.memory_inbox(spark, d), A.at(), 72)
+
+
+@query("B4_promoted_items", f"WITH {_DECIDED} SELECT top + 1 + id AS id, md5(content) AS content_hash, project, agent AS source_agent, 'fact' AS source_type, id AS inbox_id FROM z, top WHERE act = 'promoted'")
+def _(spark, d):
+    new = _promotion(spark, d)[0]
+    return new.select("id", "content_hash", "project", "source_agent", "source_type", F.get_json_object("metadata", "$.inbox_id").cast("long").alias("inbox_id"))
+
+
+@query("B5_B6_inbox_after", f"""WITH {_DECIDED} SELECT id, created_s, CASE WHEN act IN ('promoted', 'rejected') THEN act WHEN act = 'failed' AND attempts + 1 >= 5 THEN 'rejected' ELSE status END AS status, CASE WHEN act = 'promoted' THEN top + 1 + id END AS promoted_memory_id,
+ CASE WHEN act = 'rejected' THEN reason WHEN act = 'failed' AND attempts + 1 >= 5 THEN 'attempts-exhausted' END AS rejection_reason, CASE WHEN act = 'failed' THEN attempts + 1 ELSE attempts END AS attempts, CASE WHEN act IS NOT NULL THEN 'run-1' END AS run_id, CASE WHEN act = 'failed' THEN 'no answer' END AS last_error FROM z, top""")
+def _(spark, d):
+    after = _promotion(spark, d)[1]
+    note = lambda k: F.get_json_object("metadata", f"$.engine.{k}").alias(k)
+    return after.select("id", _s("created_at", "created_s"), "status", "promoted_memory_id", "rejection_reason", F.col("attempts").cast("long").alias("attempts"), note("run_id"), note("last_error"))
+
+
+@query("C9_D4_linkage", f"WITH {ITEMS}, {EDGES}, {GOALS}, l AS (SELECT source_id AS memory_id, target_id AS objective_id FROM edges UNION SELECT target_id, source_id FROM edges UNION SELECT id, objective_id FROM items) SELECT memory_id, objective_id FROM l WHERE memory_id IN (SELECT id FROM items) AND objective_id IN (SELECT id FROM goals)")
+def _(spark, d):
+    return aggregates.linkage(A.memory_items(spark, d), A.memory_relationships(spark, d), A.memory_objectives(spark, d))
+
+
+@query("G6_ranked_objectives", f"WITH {GOALS} SELECT id, project, row_number() OVER (PARTITION BY project ORDER BY rank ASC NULLS LAST, content, id) AS place FROM goals WHERE status = 'active'")
+def _(spark, d):
+    known = scans.normalize_objectives(A.memory_objectives(spark, d))
+    return aggregates.ranked_objectives(known).select("id", "project", F.col("place").cast("long").alias("place"))
+
+
+@query("E13_whole_centroids", """WITH e AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS p FROM embeddings), s AS (SELECT label, p, avg(x) AS x FROM e GROUP BY 1, 2), z AS (SELECT label, sqrt(sum(x * x)) AS size FROM s GROUP BY 1)
+ SELECT label, p - 1 AS pos, round(x / size, 6) AS x FROM s JOIN z USING (label)""")
+def _(spark, d):
+    out = vectors.group_centroids(load(spark, d, "embeddings").select("label", "embedding"), "label")
+    return out.select("label", F.posexplode("centroid").alias("pos", "x")).select("label", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x"))
+
+
+@query("P7_swept_edges", f"""WITH {ITEMS}, {LEDGER}, back AS (SELECT id FROM items LEFT JOIN swept ON memory_id = id WHERE is_active AND NOT archived AND created_s > 1706659200 - 30 * 86400 AND source_type <> 'summary' AND length(trim(content)) >= 80 AND (status IS NULL OR (status = 'error' AND attempts < 3)) ORDER BY created_s DESC, id LIMIT 150),
+ c AS (SELECT * FROM items WHERE is_active AND NOT archived), k AS (SELECT a.id AS source_id, b.id AS target_id, row_number() OVER (PARTITION BY a.id ORDER BY b.created_s DESC, b.id) AS k FROM c a JOIN c b ON a.project = b.project AND a.problem_class = b.problem_class AND a.id <> b.id WHERE a.id IN (SELECT id FROM back))
+ SELECT source_id, target_id, 'same_pattern_as' AS relationship_type, 0.9::DOUBLE AS weight FROM k WHERE k <= 5""")
+def _(spark, d):
+    return jobs.sweep_job(A.memory_items(spark, d), A.sweep_ledger(spark, d), A.at())[0]
+
+
+@query("B7_registry_after", """WITH m AS (SELECT label, count(*) AS n, list(vec_id ORDER BY vec_id) AS ids FROM embeddings GROUP BY 1), top AS (SELECT max(label) FILTER (WHERE label % 3 <> 0)::BIGINT AS top FROM m)
+ SELECT label::BIGINT AS id, 'ratified' AS status, 2::BIGINT AS occurrence_count, n + 1 AS members, 'a,b' AS projects, 1::BIGINT AS reinforced, true AS grew, label % 2 = 0 AS drifted FROM m WHERE label % 3 <> 0
+ UNION ALL SELECT coalesce(top, -1) + 1 + label, 'candidate', 1, n, 'b', 0, true, false FROM m, top WHERE label % 3 = 0""")
+def _(spark, d):
+    e = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("label"), "embedding")
+    per = e.groupBy("label").agg(F.array_sort(F.collect_list("id")).alias("member_ids")).withColumn("member_hashes", F.transform("member_ids", lambda i: F.md5(i.cast("string"))))
+    groups = Stash(spark, "registry").put(per.join(writes.group_sums(e, "label"), "label").select(F.col("label").alias("id"), "member_ids", "member_hashes", F.array(F.lit("b")).alias("projects"), "n", "total"))
+    first = F.element_at("member_ids", 1)
+    registry = groups.where("id % 3 <> 0").select("id", F.col("total").alias("centroid"), F.array(first, F.lit(-1).cast("long")).alias("member_ids"), F.array(F.when(F.col("id") % 2 == 0, "old").otherwise(F.md5(first.cast("string"))), F.lit("x")).alias("member_hashes"),
+        F.array(F.lit("a")).alias("projects"), F.lit(1).alias("occurrence_count"), F.lit("ratified").alias("status"), F.lit(None).cast("string").alias("doctrine_text"), F.lit(None).cast("timestamp").alias("synthesized_at"))
+    near = groups.where("id % 3 <> 0").select("id", F.col("id").alias("registry_id"), F.lit(0.95).alias("similarity"))
+    out = writes.registry_writes(registry, groups, ledger.reinforce_registry(groups.select("id"), near), A.at())
+    return out.select("id", "status", F.col("occurrence_count").cast("long").alias("occurrence_count"), F.size("member_ids").cast("long").alias("members"), F.array_join("projects", ",").alias("projects"), F.col("reinforced_after_ratification").cast("long").alias("reinforced"), "grew", "drifted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -48,6 +48,7 @@ class PromoteOptions:
     batch: int = 25
     lease_minutes: int = 10
     cap: int = 50
+    count_hours: int = 24
     agents: tuple[str, ...] = ("web-one", "web-two", "web-three", "web-four")
 
 
@@ -61,7 +62,7 @@ def promote_job(inbox: DataFrame, items: DataFrame, as_of: Column, options: Prom
     o = options or PromoteOptions()
     stash = Stash(items.sparkSession, "promote")
     batch = gates.gate_rows(scans.claim_batch(inbox, as_of, o.batch, o.lease_minutes), o.agents)
-    batch = stash.put(gates.rate_capped(batch, scans.promoted_counts(inbox, as_of), o.cap))
+    batch = stash.put(gates.rate_capped(batch, scans.promoted_counts(inbox, as_of, o.count_hours), o.cap))
     kinds = stash.put(classify(batch)) if classify else None
     if embed is None:
         matches = batch.where("false").select("id", F.lit(0.0).alias("similarity"))

@@ -26,10 +26,10 @@ def schema(name: str) -> T.StructType:
     return T._parse_datatype_string(SCHEMAS[name])
 
 
-def align(df: DataFrame, name: str) -> DataFrame:
-    """The table's columns in order and type; those that are missing are null (additive schema healing)."""
+def align(df: DataFrame, name: str, *also: str) -> DataFrame:
+    """The table's columns in order and type, and those named beside them; those that are missing are null (additive schema healing)."""
     have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema(name)])
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema(name)], *also)
 
 
 def load(spark: SparkSession, base: str, name: str) -> DataFrame:
