@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.text import json_merged, json_without
 from quillspark.functions.vectors import normalized
+from quillspark.operators import ledger, verdicts
 from quillspark.operators.gates import after_failure
 from quillspark.sources.tables import align
 
@@ -109,14 +110,14 @@ def registry_writes(registry: DataFrame, groups: DataFrame, actions: DataFrame,
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def registry_verdicts(registry: DataFrame, verdicts: DataFrame, as_of: Column) -> DataFrame:
+def registry_verdicts(registry: DataFrame, judged: DataFrame, as_of: Column) -> DataFrame:
     """The registry after verdicts on its entries (those of ``cluster_verdicts``).
 
     A kitchen verdict drafts the entry with its title and text; any other rejects it,
     but only a candidate or a draft.  Entries without a verdict stay.
     """
     extra = {"title": "string", "rejection_reason": "string", "evidence": "array<struct<date:string,gist:string>>", "trigger_hints": "array<string>"}
-    new = verdicts.select("id", F.lit(True).alias("_judged"), *[F.col(c).alias(f"_{c}") for c in ("verdict", "title", "doctrine_text", "evidence", "trigger_hints")])
+    new = judged.select("id", F.lit(True).alias("_judged"), *[F.col(c).alias(f"_{c}") for c in ("verdict", "title", "doctrine_text", "evidence", "trigger_hints")])
     rows = _with_missing(registry, extra).join(new, "id", "left")
     draft = F.coalesce(F.col("_verdict") == "kitchen", F.lit(False))
     refuse = F.col("_judged").isNotNull() & ~draft & F.col("status").isin("candidate", "drafted")
@@ -125,3 +126,32 @@ def registry_verdicts(registry: DataFrame, verdicts: DataFrame, as_of: Column) -
     for c in ("title", "doctrine_text", "evidence", "trigger_hints"):
         change[c] = F.when(draft, F.col(f"_{c}")).otherwise(F.col(c))
     return rows.select(*[change.get(c, F.col(c)).alias(c) for c in rows.columns if not c.startswith("_")])
+
+
+def guard_writes(backlog: DataFrame, replies: DataFrame, objectives: DataFrame, flags: DataFrame, scanned: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
+    """The flags that are new, and the ledger of judged items after the replies ``memory_id, reply``.
+
+    ``backlog`` is that of ``contradiction_backlog``; an item is shown its project's
+    active objectives, and can only be found to contradict those.  A flag is written
+    once per item and objective.  A reply that can't be read is an error, which counts
+    an attempt; items without a reply keep their ledger row.
+    """
+    of = backlog.select(F.col("id").alias("memory_id"), "project", "objectives_hash")
+    goals = objectives.where(F.col("status") == "active").select(F.col("id").alias("objective_id"), "project")
+    shown = of.join(goals, "project").select("memory_id", "objective_id")
+    answered = replies.join(of, "memory_id")
+    found = verdicts.contradictions(answered.select("memory_id", "reply"), shown).join(of.select("memory_id", "project"), "memory_id")
+    key = F.concat_ws(":", F.lit("contradiction"), F.col("memory_id").cast("string"), F.col("objective_id").cast("string"))
+    rows = found.select(key.alias("dedup_key"), F.lit("contradiction").alias("kind"), "project", "memory_id", "objective_id", "severity", "rationale", as_of.alias("created_at"))
+    new = align(ledger.append_new(flags, rows), "objective_flags")
+    count = new.groupBy("memory_id").agg(F.count("*").alias("flags_written"))
+    good = verdicts.parsed(F.col("reply"), "contradictions array<struct<objective_id:string>>")["contradictions"].isNotNull()
+    judged = answered.withColumn("ok", F.coalesce(good, F.lit(False))).groupBy("memory_id", "objectives_hash").agg(F.bool_and("ok").alias("ok")).join(count, "memory_id", "left")
+    entries = judged.select("memory_id", as_of.alias("scanned_at"), F.when(F.col("ok"), "ok").otherwise("error").alias("status"), F.coalesce("flags_written", F.lit(0)).cast("int").alias("flags_written"), "objectives_hash", F.when(~F.col("ok"), "reply could not be read").alias("error"))
+    return new, ledger.upsert_ledger(scanned, entries)
+
+
+def coverage_rows(report: DataFrame, run_id: str, as_of: Column, window_days: int = 30, linkage_source: str = "both") -> DataFrame:
+    """Rows that a run adds to the coverage table, from the report of ``coverage``."""
+    start = F.timestamp_seconds(F.unix_timestamp(as_of) - window_days * 86400)
+    return align(report.withColumns({"run_id": F.lit(run_id), "window_start": start, "window_end": as_of, "linkage_source": F.lit(linkage_source)}), "objective_coverage")

@@ -493,6 +493,24 @@ def _(spark, d):
     return out.select("id", "status", F.col("occurrence_count").cast("long").alias("occurrence_count"), F.size("member_ids").cast("long").alias("members"), F.array_join("projects", ",").alias("projects"), F.col("reinforced_after_ratification").cast("long").alias("reinforced"), "grew", "drifted")
 
 
+@query("B14_guard_ledger", f"""WITH {ITEMS}, {LEDGER}, {GOALS}, h AS (SELECT project, 'h' || count(*) AS objectives_hash, min(id) FILTER (WHERE status = 'active') AS goal FROM goals GROUP BY 1),
+ back AS (SELECT id, objectives_hash, goal FROM items JOIN h USING (project) LEFT JOIN swept ON memory_id = id WHERE {LIVE} AND source_type IN ('decision','architecture','preference') AND created_s > 1706659200 - 14 * 86400 AND length(trim(content)) >= 40 AND (status IS NULL OR (status = 'error' AND attempts < 3) OR 'h' || yields IS DISTINCT FROM objectives_hash) ORDER BY created_s DESC, id LIMIT 60)
+ SELECT coalesce(b.id, s.memory_id) AS memory_id, CASE WHEN b.id IS NULL THEN s.status WHEN b.id % 4 = 0 THEN 'error' ELSE 'ok' END AS status, coalesce(s.attempts, 0) + CASE WHEN b.id IS NULL THEN 0 ELSE 1 END AS attempts,
+ CASE WHEN b.id IS NOT NULL THEN CASE WHEN b.id % 4 = 2 AND goal IS NOT NULL THEN 1 ELSE 0 END END AS flags_written, CASE WHEN b.id IS NULL THEN 'h' || s.yields ELSE b.objectives_hash END AS objectives_hash FROM swept s FULL JOIN back b ON b.id = s.memory_id""")
+def _(spark, d):
+    known = scans.normalize_objectives(A.memory_objectives(spark, d))
+    hashes = known.groupBy("project").agg(F.concat(F.lit("h"), F.count("*").cast("string")).alias("objectives_hash"))
+    scanned = A.sweep_ledger(spark, d).select("memory_id", F.lit(None).cast("timestamp").alias("scanned_at"), "status", "attempts", F.lit(None).cast("int").alias("flags_written"), F.concat(F.lit("h"), F.col("yields").cast("string")).alias("objectives_hash"), F.lit(None).cast("string").alias("error"))
+    backlog = Stash(spark, "guard").put(scans.contradiction_backlog(A.memory_items(spark, d), scanned, hashes, A.at()))
+    goal = known.where("status = 'active'").groupBy("project").agg(F.min("id").alias("goal"))
+    told = F.format_string('```json\n{"contradictions":[{"objective_id":"%d","severity":"HIGH","rationale":"differs","gist":"g"},]}\n```', "goal")
+    reply = F.when(F.col("id") % 4 == 0, "no idea").when((F.col("id") % 4 == 1) | F.col("goal").isNull(), '{"contradictions":[]}').otherwise(told)
+    asked = backlog.join(goal, "project", "left")
+    flags = asked.where("id % 4 = 3").select(F.concat_ws(":", F.lit("contradiction"), F.col("id").cast("string"), F.col("goal").cast("string")).alias("dedup_key"))
+    after = writes.guard_writes(backlog, asked.select(F.col("id").alias("memory_id"), reply.alias("reply")), known, flags, scanned, A.at())[1]
+    return after.select("memory_id", "status", F.col("attempts").cast("long").alias("attempts"), F.col("flags_written").cast("long").alias("flags_written"), "objectives_hash")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -18,6 +18,8 @@ SCHEMAS: dict[str, str] = {
     "doctrine_registry": "id long, centroid array<double>, member_ids array<long>, member_hashes array<string>, projects array<string>, occurrence_count int, status string, doctrine_text string, synthesized_at timestamp",
     "sweep_ledger": "memory_id long, status string, attempts int, yields int, swept_at timestamp",
     "objective_flags": "dedup_key string, kind string, project string, memory_id long, objective_id long, severity string, rationale string, created_at timestamp",
+    "objective_scan": "memory_id long, scanned_at timestamp, status string, attempts int, flags_written int, objectives_hash string, error string",
+    "objective_coverage": "run_id string, project string, window_start timestamp, window_end timestamp, objective_count long, writes long, linked_writes long, coverage_ratio double, linkage_source string, drift boolean, note string",
     "job_runs": "job string, run_id string, started_at timestamp, finished_at timestamp, status string, counters map<string,long>, error string",
 }
 

@@ -108,3 +108,22 @@ def test_linkage_variants(spark):
 def test_identifiers():
     assert scans.safe_identifier(" links ", "d") == "links"
     assert {scans.safe_identifier(n, "d") for n in (None, "", "Links", "a;drop", "1a", "a" * 64, "a\n")} == {"d", "a"}
+
+
+def test_guard_snapshots(spark):
+    backlog = spark.createDataFrame([(i, "p", "h2") for i in (1, 2, 3, 4)], "id long, project string, objectives_hash string")
+    goals = spark.createDataFrame([(10, "p", "active"), (11, "p", "superseded"), (12, "q", "active")], "id long, project string, status string")
+    say = lambda *ids: json.dumps({"contradictions": [{"objective_id": str(i), "severity": "low", "rationale": "r"} for i in ids]})
+    replies = spark.createDataFrame([(1, say(10, 10, 11, 12, 99)), (2, "?"), (3, say(10)), (9, say(10))], "memory_id long, reply string")
+    flags = spark.createDataFrame([("contradiction:3:10",)], "dedup_key string")
+    scanned = spark.createDataFrame([(2, None, "error", 1, 0, "h1", "x"), (4, None, "ok", 1, 0, "h1", None)], SCHEMAS["objective_scan"])
+    new, after = writes.guard_writes(backlog, replies, goals, flags, scanned, A.at())
+    assert [(r.memory_id, r.objective_id, r.severity, r.dedup_key) for r in new.collect()] == [(1, 10, "low", "contradiction:1:10")]
+    assert {r.memory_id: (r.status, r.attempts, r.flags_written, r.objectives_hash, r.error is None) for r in after.collect()} == {
+        1: ("ok", 1, 1, "h2", True), 2: ("error", 2, 0, "h2", False), 3: ("ok", 1, 0, "h2", True), 4: ("ok", 1, 0, "h1", True)}
+
+
+def test_coverage_rows(spark):
+    report = spark.createDataFrame([("p", 2, 30, 0, 0.0, True, "n")], "project string, objective_count long, writes long, linked_writes long, coverage_ratio double, drift boolean, note string")
+    row = writes.coverage_rows(report, "r", A.at(), linkage_source="edges").first()
+    assert (row.run_id, row.window_start, row.window_end, row.linkage_source, row.drift) == ("r", NOW - dt.timedelta(days=30), NOW, "edges", True)
