@@ -58,3 +58,27 @@ def judge_urls_sql(rules: list[tuple[str, str]]) -> str:
  j AS (SELECT own.host, own.template, coalesce(f.f.w, own.template) AS into_, coalesce(f.f.l, labelled) AS l, coalesce(f.f.b, blocked) AS b FROM own LEFT JOIN f ON f.host = own.host AND f.template = own.template),
  k AS (SELECT t.host, t.shape, into_, j.l::BIGINT AS labelled, (j.b + {u.PRIOR} * coalesce(z.b / nullif(z.l, 0), 0)) / (j.l + {u.PRIOR}) AS purity FROM {last} t JOIN j ON j.host = t.host AND j.template = t.template, z)
  SELECT page_id, q.host, path, rule, coalesce(ruled, CASE WHEN labelled > 0 AND purity >= {u.REJECT} THEN 'block' ELSE 'allow' END) AS verdict, into_ AS template, purity, labelled FROM q JOIN k ON k.host = q.host AND k.shape = q.shape"""
+
+
+def contamination_sql(width: int) -> str:
+    words = lambda t: f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM {t}"
+    return f"""WITH d AS (SELECT doc_id, {words('documents')}), b AS (SELECT item_id, {words('benchmark')}),
+ i AS (SELECT DISTINCT item_id, least(len(w), {width}) AS k, array_to_string(w[p:p + least(len(w), {width}) - 1], ' ') AS x FROM (SELECT *, unnest(range(1, len(w) - least(len(w), {width}) + 2)) AS p FROM b WHERE len(w) > 0)),
+ k AS (SELECT DISTINCT k FROM i), spots AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, k WHERE len(w) >= k),
+ h AS (SELECT doc_id, p, k, x FROM (SELECT doc_id, p, k, array_to_string(w[p:p + k - 1], ' ') AS x FROM spots) SEMI JOIN i USING (k, x)),
+ c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM h) GROUP BY 1),
+ f AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM (SELECT DISTINCT doc_id, k, x FROM h) JOIN i USING (k, x)) GROUP BY 1)
+ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN f USING (doc_id)"""
+
+
+def clusters_sql(k: int, rounds: int, dim: int, scale: int, seed: str) -> str:
+    nearest = lambda c: f"""SELECT vec_id, x, min_by(cluster, d * {k} + cluster) AS cluster, min(d) AS distance FROM (SELECT vec_id, r, v.x, {c}.cluster, list_sum(list_transform(list_zip(v.x, {c}.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM v, {c}) GROUP BY vec_id, r, x"""
+    steps = "".join(
+        f""", a{t} AS ({nearest(f"c{t}")}),
+ m{t} AS (SELECT cluster, list(s ORDER BY p) AS c FROM (SELECT cluster, p, floor(sum(x)::DECIMAL(38, 0) / count(*))::BIGINT AS s FROM (SELECT cluster, unnest(x) AS x, generate_subscripts(x, 1) AS p FROM a{t}) GROUP BY 1, 2) GROUP BY 1),
+ c{t + 1} AS (SELECT c{t}.cluster, coalesce(m{t}.c, c{t}.c) AS c FROM c{t} LEFT JOIN m{t} USING (cluster))"""
+        for t in range(rounds)
+    )
+    return f"""WITH v AS (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda y: floor({scale}::DOUBLE * y::DOUBLE)::BIGINT) AS x FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+ c0 AS (SELECT row_number() OVER (ORDER BY sha256('{seed}' || vec_id), x) - 1 AS cluster, x AS c FROM v WHERE vec_id IS NOT NULL ORDER BY sha256('{seed}' || vec_id), x LIMIT {k}){steps}, a{rounds} AS ({nearest(f"c{rounds}")})
+ SELECT vec_id, a{rounds}.cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY a{rounds}.cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c{rounds}.c, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} USING (cluster)"""
