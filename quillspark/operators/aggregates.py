@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.scoring import confidence, recall_boost
 from quillspark.functions.text import age_days, collapsed, fnv1a, fraction_days, jaccard, token_set
-from quillspark.operators.graph import connected_components
 from quillspark.operators.scans import active
 
 
@@ -36,17 +35,18 @@ def score_quantiles(log: DataFrame, quantiles: tuple[float, ...] = (0, 0.05, 0.1
 def distinct_clusters(related: DataFrame, key: str, content: str = "content", threshold: float = 0.85) -> DataFrame:
     """How many different texts each key's rows hold, near copies counted once: ``key, n, distinct``.
 
-    ``related`` holds a few rows a key (the top hits of a search), so its pairs are
-    few.  Equal or nearly equal texts are joined and their components counted.
+    ``related`` holds a few rows a key (the top hits of a search).  Equal or nearly equal
+    texts are joined and their components counted, all within the key's own row: each
+    text joins the clusters that hold one like it into one.
     """
-    order = Window.partitionBy(key).orderBy("id")
-    rows = related.select(F.col(key).alias("key"), F.row_number().over(order).alias("at"), collapsed(F.col(content)).alias("text"), token_set(F.col(content)).alias("tokens"))
-    a, b = rows.alias("a"), rows.alias("b")
-    same = (F.col("a.text") == F.col("b.text")) | (jaccard(F.col("a.tokens"), F.col("b.tokens")) >= threshold)
-    links = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.at") < F.col("b.at")) & same).select(F.struct("a.key", "a.at").alias("src"), F.struct("b.key", "b.at").alias("dst"))
-    merged = connected_components(links).groupBy(F.col("node.key").alias("key")).agg((F.count("*") - F.countDistinct("component")).alias("merged"))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"))
-    return sizes.join(merged, "key", "left").select("key", "n", (F.col("n") - F.coalesce("merged", F.lit(0))).alias("distinct"))
+    texts = related.select(F.col(key).alias("key"), F.struct("id", collapsed(F.col(content)).alias("text"), token_set(F.col(content)).alias("tokens")).alias("row"))
+    rows = texts.groupBy("key").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    at = lambda i: F.element_at("rows", i)
+    same = lambda i, j: F.coalesce((at(i)["text"] == at(j)["text"]) | (jaccard(at(i)["tokens"], at(j)["tokens"]) >= threshold), F.lit(False))
+    like = lambda c, i: F.exists(c, lambda j: same(i, j))
+    joined = lambda acc, i: F.concat(F.filter(acc, lambda c: ~like(c, i)), F.array(F.array_append(F.flatten(F.filter(acc, lambda c: like(c, i))), i)))
+    clusters = F.aggregate(F.sequence(F.lit(1), F.size("rows")), F.array().cast("array<array<int>>"), joined)
+    return rows.select("key", F.size("rows").cast("long").alias("n"), F.size(clusters).cast("long").alias("distinct"))
 
 
 def insight_confidence(related: DataFrame) -> DataFrame:

@@ -10,63 +10,119 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.vectors import norm
+from quillspark.operators.cells import Cells, placed, unit_matrix
+from quillspark.operators.cutting import cut_components
 from quillspark.runtime import Stash, ship
 
-#: Rows of a side of a block.
-SIDE = 1024
+#: Rows of a side of a block, and cells that a search by index looks into.
+SIDE, PROBES = 1024, 8
 
 
-def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int = SIDE, within: str | None = None) -> DataFrame:
-    """The ``k`` nearest rows of ``right`` to each of ``left`` by cosine, itself left out: ``id, neighbour, similarity, rank``.
+def _dealt(left: DataFrame, right: DataFrame, group: str | None, side: int) -> DataFrame:
+    """Both sides' rows copied to the blocks ``(group, l, r)`` in which each left row meets each right row of its group once.
 
-    Both hold ``id, embedding``, and the column ``within``, if given, which must be equal (a null equals nothing).  Exact: every block of left rows meets every block of
-    right rows in one matrix product, which passes on only each row's best ``k``; rows
-    of either side travel once per block of the other.
+    A block holds about ``side`` rows of either side, so a large group becomes many
+    blocks.  Rows find the sizes of their group by the group and a salt, lest a large
+    one meet in one task.
     """
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    chunk = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    chunks = lambda n: F.greatest(F.lit(1), F.ceil(n / side)).cast("int")
+    if group is None:
+        n_left, n_right = (F.lit(max(1, -(-d.count() // side))) for d in (left, right))
+        left, right = (d.withColumns({"_g": F.lit(0), "_nl": n_left, "_nr": n_right}) for d in (left, right))
+    else:
+        left, right = (d.where(F.col(group).isNotNull()).withColumnRenamed(group, "_g") for d in (left, right))
+        count = lambda d, n: d.groupBy("_g").agg(chunks(F.count("*")).alias(n))
+        sizes = count(left, "_nl").join(count(right, "_nr"), "_g").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+        salt = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(16)).cast("int")
+        left, right = (d.withColumn("_salt", salt).join(sizes, ["_g", "_salt"]).drop("_salt") for d in (left, right))
+    a = left.select("id", "embedding", "_g", chunk(F.col("_nl")).alias("l"), every(F.col("_nr")).alias("r"), F.lit(0).alias("side"))
+    b = right.select("id", "embedding", "_g", every(F.col("_nl")).alias("l"), chunk(F.col("_nr")).alias("r"), F.lit(1).alias("side"))
+    return a.unionByName(b)
+
+
+def _cosines(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of both sides of a block and their cosines; minus infinity between a row and itself, and rows of different lengths."""
+    x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+    s = np.full((len(x), len(y)), -np.inf)
+    dims = [np.array([len(e) for e in d["embedding"]], int) for d in (x, y)]
+    for dim in np.intersect1d(*dims):
+        i, j = (np.flatnonzero(d == dim) for d in dims)
+        s[np.ix_(i, j)] = unit_matrix(x["embedding"].iloc[i]) @ unit_matrix(y["embedding"].iloc[j]).T
+    s[x["id"].to_numpy()[:, None] == y["id"].to_numpy()[None, :]] = -np.inf
+    return x["id"].to_numpy(), y["id"].to_numpy(), s
+
+
+def _met(left: DataFrame, right: DataFrame, within: str | None, cells: Cells | None, probes: int, side: int) -> tuple[DataFrame, list[str]]:
+    """Blocks of the rows that are to be compared: all, those of one group, or those of the cells that the left rows probe."""
     ship(left.sparkSession)
     own = [within] if within else []
     good = lambda d: d.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0)).select("id", "embedding", *own)
-    left, right = good(left), good(right)
-    n_left, n_right = (max(1, -(-d.count() // side)) for d in (left, right))
-    chunk = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    a = left.select("id", "embedding", *own, chunk(n_left).alias("l"), every(n_right).alias("r"), F.lit(0).alias("side"))
-    b = right.select("id", "embedding", *own, every(n_left).alias("l"), chunk(n_right).alias("r"), F.lit(1).alias("side"))
+    left, right = good(left), (right.select("id", "embedding", *own, "cell") if "cell" in right.columns else good(right))
+    if cells is not None:
+        left, right = placed(left, cells, probes), right if "cell" in right.columns else placed(right, cells)
+        key = F.concat_ws("/", F.col("cell").cast("string"), within) if within else F.col("cell")
+        left, right = (d.where(F.col(within).isNotNull() if within else F.lit(True)).select("id", "embedding", key.alias("_key")) for d in (left, right))
+    group = "_key" if cells is not None else within
+    return _dealt(left, right, group, side), ["_g", "l", "r"]
+
+
+def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int = SIDE, within: str | None = None, cells: Cells | None = None, probes: int = PROBES) -> DataFrame:
+    """The ``k`` nearest rows of ``right`` to each of ``left`` by cosine, itself left out: ``id, neighbour, similarity, rank``.
+
+    Both hold ``id, embedding``, and the column ``within``, if given, which must be
+    equal (a null equals nothing); vectors of different lengths are not compared.
+    Without ``cells`` exact: every block of left rows meets every block of right rows
+    (of its group) in one matrix product, which passes on only each row's best ``k``.
+    With ``cells`` (``fit_cells``) a left row meets the rows of its ``probes`` nearest
+    cells only; similarities are exact, a neighbour in another cell is missed.
+    ``right`` may have been placed before (a column ``cell``).
+    """
+    rows, keys = _met(left, right, within, cells, probes, side)
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        if not len(x) or not len(y):
+        ids, others, s = _cosines(pdf)
+        if not s.size:
             return pd.DataFrame({"id": [], "neighbour": [], "similarity": []}).astype({"id": "int64", "neighbour": "int64", "similarity": "float64"})
-        u, v = (np.array([np.asarray(e, np.float64) for e in d["embedding"]]) for d in (x, y))
-        u, v = (m / np.maximum(np.linalg.norm(m, axis=1), 1e-300)[:, None] for m in (u, v))
-        s = u @ v.T
-        s[x["id"].to_numpy()[:, None] == y["id"].to_numpy()[None, :]] = -np.inf
-        if within:
-            codes = pd.factorize(pd.concat([x[within], y[within]]))[0]  # -1 for null
-            mine, theirs = codes[: len(x)], codes[len(x) :]
-            s[(mine[:, None] != theirs[None, :]) | (mine < 0)[:, None]] = -np.inf
         take = min(k, s.shape[1])
         at = np.argpartition(-s, take - 1, axis=1)[:, :take] if take < s.shape[1] else np.tile(np.arange(take), (len(s), 1))
         found = np.take_along_axis(s, at, axis=1)
         keep = np.isfinite(found)
-        return pd.DataFrame({"id": np.repeat(x["id"].to_numpy(), take)[keep.ravel()], "neighbour": y["id"].to_numpy()[at][keep], "similarity": found[keep]})
+        return pd.DataFrame({"id": np.repeat(ids, take)[keep.ravel()], "neighbour": others[at][keep], "similarity": found[keep]})
 
-    near = a.unionByName(b).groupBy("l", "r").applyInPandas(block, "id long, neighbour long, similarity double")
+    near = rows.groupBy(*keys).applyInPandas(block, "id long, neighbour long, similarity double")
     order = Window.partitionBy("id").orderBy(F.desc("similarity"), "neighbour")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def similar_pairs(items: DataFrame, threshold: float = 0.85, k: int = 8, since: Column | None = None, max_pairs: int | None = 5000) -> DataFrame:
+def pairs_above(rows: DataFrame, threshold: float, side: int = SIDE, within: str | None = None, cells: Cells | None = None, probes: int = PROBES) -> DataFrame:
+    """All pairs of rows with a cosine of ``threshold`` or more, both ways: ``id, neighbour, similarity``; exact without ``cells``."""
+    blocks, keys = _met(rows, rows, within, cells, probes, side)
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, others, s = _cosines(pdf)
+        i, j = np.nonzero(s >= threshold)
+        return pd.DataFrame({"id": ids[i].astype("int64"), "neighbour": others[j].astype("int64"), "similarity": s[i, j]})
+
+    found = blocks.groupBy(*keys).applyInPandas(block, "id long, neighbour long, similarity double")
+    if cells is None:
+        return found
+    both = found.union(found.select("neighbour", "id", "similarity"))  # one of the two may have probed the other's cell alone
+    return both.groupBy("id", "neighbour").agg(F.max("similarity").alias("similarity"))
+
+
+def similar_pairs(items: DataFrame, threshold: float = 0.85, k: int = 8, since: Column | None = None, max_pairs: int | None = 5000, cells: Cells | None = None, probes: int = PROBES) -> DataFrame:
     """Unordered pairs of live items: each recent item's ``k`` nearest, then those similar enough, each pair once.
 
     Only the searching side is limited to items updated after ``since``; the cap keeps
-    the least ids, as the order is by id.
+    the least ids, as the order is by id.  ``cells`` make the search one by index.
     """
     from quillspark.operators.scans import SUMMARY, live
 
     pool = items.where(live() & (F.col("source_type") != SUMMARY))
     outer = pool if since is None else pool.where(F.col("updated_at") > since)
-    near = nearest_neighbours(outer, pool, k).where(F.col("similarity") >= threshold)
+    near = nearest_neighbours(outer, pool, k, cells=cells, probes=probes).where(F.col("similarity") >= threshold)
     pairs = near.groupBy(F.least("id", "neighbour").alias("source_id"), F.greatest("id", "neighbour").alias("target_id")).agg(F.max("similarity").alias("similarity"))
     return pairs.orderBy("source_id", "target_id").limit(max_pairs) if max_pairs else pairs
 
@@ -90,13 +146,13 @@ def group_centroids(members: DataFrame, key: str) -> DataFrame:
     )
 
 
-def nearest_in_registry(rows: DataFrame, registry: DataFrame) -> DataFrame:
+def nearest_in_registry(rows: DataFrame, registry: DataFrame, cells: Cells | None = None, probes: int = PROBES) -> DataFrame:
     """The registry entry nearest to each row's ``centroid``: ``id, registry_id, similarity``.
 
     Ids of the registry are told apart from those of the rows by their sign.
     """
     entries = registry.select((-F.col("id") - 1).alias("id"), F.col("centroid").alias("embedding"))
-    near = nearest_neighbours(rows.select("id", F.col("centroid").alias("embedding")), entries, 1)
+    near = nearest_neighbours(rows.select("id", F.col("centroid").alias("embedding")), entries, 1, cells=cells, probes=probes)
     return near.select("id", (-F.col("neighbour") - 1).alias("registry_id"), "similarity")
 
 
@@ -185,13 +241,13 @@ def split_incoherent(members: list[int], edges: list[tuple[int, int, float | Non
     return accepted
 
 
-def split_components(members: DataFrame, edges: DataFrame, threshold: float = 0.85, least: int = 3, largest: int = 20_000) -> DataFrame:
+def split_components(members: DataFrame, edges: DataFrame, threshold: float = 0.85, least: int = 3, largest: int = 4096) -> DataFrame:
     """Coherent groups ``component, group, id`` of the components.
 
     ``members`` holds ``component, id, embedding``; ``edges`` ``component, source_id,
-    target_id, weight``.  Components above ``largest`` members are first judged as
-    tables, and those that are coherent never meet in a task; the others are cut in one
-    task each, like the smaller ones.
+    target_id, weight``.  Components of up to ``largest`` members are cut in one task
+    each.  Larger ones are judged and cut as tables and never meet in a task
+    (``cutting.cut_components``); both ways give the same groups.
     """
     ship(members.sparkSession)
     stash = Stash(members.sparkSession, "split")
@@ -199,7 +255,7 @@ def split_components(members: DataFrame, edges: DataFrame, threshold: float = 0.
     big = sizes.where(F.col("n") > largest)
     whole = None
     if not big.isEmpty():
-        mine = members.join(big.select("component"), "component")
+        mine = stash.put(members.join(big.select("component"), "component"))
         # group_centroids takes the product of a vector with itself as 1, which for a zero vector is 0
         zeros = mine.groupBy("component").agg(F.count_if(norm(F.col("embedding")) == 0).alias("zeros"))
         pairs = F.col("n") * (F.col("n") - 1)
@@ -207,7 +263,10 @@ def split_components(members: DataFrame, edges: DataFrame, threshold: float = 0.
         coherent = stash.put(judged.where(F.col("mean") >= threshold).select("component"))
         held = mine.join(coherent, "component")
         whole = held.join(held.groupBy("component").agg(F.min("id").alias("group")), "component").select("component", "group", "id")
-        sizes = sizes.join(coherent, "component", "left_anti")
+        rest = stash.put(big.select("component").join(coherent, "component", "left_anti"))
+        if not rest.isEmpty():
+            whole = whole.unionByName(cut_components(mine.join(rest, "component"), edges.join(rest, "component"), threshold, least))
+        sizes = sizes.where(F.col("n") <= largest)
     sizes = sizes.select("component")
     m, e = members.join(sizes, "component"), edges.join(sizes, "component")
 

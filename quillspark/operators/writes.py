@@ -23,31 +23,35 @@ def _with_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def promotion_writes(inbox: DataFrame, items: DataFrame, outcomes: DataFrame, as_of: Column, run_id: str, failures: DataFrame | None = None, most: int = 5, book: str = "engine") -> tuple[DataFrame, DataFrame, DataFrame]:
     """The new items, the inbox after the batch, and the outcomes that lost their race.
 
-    ``outcomes`` are those of ``promote_job`` (also with ``source_type``, ``rationale``,
-    ``embedding``); ``failures`` hold ``id, error``, and a failed row counts an attempt
-    instead.  Only rows pending in ``inbox`` change; a deferred row never does.  A new
-    item's id is the inbox row's plus one plus the largest item id, so ids of the inbox
-    must be unique and not negative.  What the engine notes goes under ``book`` in the
-    row's metadata; the item keeps the metadata without it.
+    ``outcomes`` are those of ``promote_job``; a failed one counts an attempt, and so does a row of
+    ``failures`` (``id, error``; say, of a write), whatever its outcome.  Only rows
+    pending in ``inbox`` change; a deferred row never does.  A new item's id is the inbox
+    row's plus one plus the largest item id, so ids of the inbox must be unique and not
+    negative.  What the engine notes goes under ``book`` in the row's metadata: for a
+    rejection the check, what was matched and how similar it is, the classifier's
+    rationale, or the agent as it was given.  The item keeps the metadata without it.
     """
-    out = _with_missing(outcomes, {"source_type": "string", "rationale": "string", "embedding": "array<float>"})
-    out = out.select("id", *[F.col(c).alias(f"_{c}") for c in ("outcome", "reason", "check", "agent", "project", "content", "source_type", "rationale", "embedding")])
+    details = {"source_type": "string", "rationale": "string", "embedding": "array<float>", "error": "string", "matched_id": "long", "matched_inbox_id": "long", "matched_similarity": "double", "agent_seen": "string"}
+    out = _with_missing(outcomes, details)
+    out = out.select("id", *[F.col(c).alias(f"_{c}") for c in ("outcome", "reason", "check", "agent", "project", "content", *details)])
     rows = _with_missing(inbox, {"promoted_memory_id": "long", "rejection_reason": "string", "metadata": "string", "attempts": "int"}).join(out, "id", "left")
-    if failures is None:
-        rows = rows.withColumn("_error", F.lit(None).cast("string")).withColumn("_failed", F.lit(False))
-    else:
-        broken = failures.groupBy("id").agg(F.max("error").alias("_error")).withColumn("_failed", F.lit(True))
-        rows = rows.join(broken, "id", "left").withColumn("_failed", F.coalesce("_failed", F.lit(False)))
+    if failures is not None:
+        broken = failures.groupBy("id").agg(F.max("error").alias("_broken")).withColumn("_outcome_", F.lit("failed"))
+        rows = rows.join(broken, "id", "left").withColumns({"_error": F.coalesce("_broken", "_error"), "_outcome": F.coalesce("_outcome_", "_outcome")}).drop("_broken", "_outcome_")
     pending = F.coalesce(F.col("status") == "pending", F.lit(False))
     decided = F.col("_outcome").isin("promoted", "rejected")
-    rows = rows.withColumn("_act", F.when(pending & F.col("_failed"), "failed").when(pending & decided, F.col("_outcome")))
+    rows = rows.withColumn("_act", F.when(pending & F.col("_outcome").isin("promoted", "rejected", "failed"), F.col("_outcome")))
     first = items.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("first")).scalar()
     rows = rows.withColumn("_item", F.when(F.col("_act") == "promoted", first + 1 + F.col("id")))
+    rows = rows.withColumn("_matched", F.coalesce("_matched_id", first + 1 + F.col("_matched_inbox_id")))  # a row of the batch by the id of the item that it became
     more, state = after_failure(F.col("attempts"), most)
     act = F.col("_act")
     when = F.date_format(as_of, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    of = lambda condition, column: F.when((act == "rejected") & condition, column)
     note = F.to_json(F.struct(
-        F.when(act == "promoted", when).alias("promoted_at"), F.when(act == "rejected", when).alias("rejected_at"), F.when(act == "rejected", F.col("_check")).alias("check"),
+        F.when(act == "promoted", when).alias("promoted_at"), F.when(act == "rejected", when).alias("rejected_at"), of(F.lit(True), F.col("_check")).alias("check"),
+        of(F.lit(True), F.col("_matched")).alias("matched_memory_id"), of(F.lit(True), F.col("_matched_similarity")).alias("matched_similarity"), of(F.col("_reason") == "recipe-level", F.col("_rationale")).alias("kitchen_rationale"),
+        of(F.col("_reason") == "invalid-source-agent", F.col("_agent_seen")).alias("source_agent_seen"),
         F.when(act == "failed", when).alias("last_failed_at"), F.when(act == "failed", F.substring("_error", 1, 500)).alias("last_error"), F.when(act == "failed", more).alias("attempts"), F.lit(run_id).alias("run_id"),
     ))
     before = F.get_json_object("metadata", f"$.{book}")
@@ -133,21 +137,25 @@ def guard_writes(backlog: DataFrame, replies: DataFrame, objectives: DataFrame,
 
     ``backlog`` is that of ``contradiction_backlog``; an item is shown its project's
     active objectives, and can only be found to contradict those.  A flag is written
-    once per item and objective.  A reply that can't be read is an error, which counts
-    an attempt; items without a reply keep their ledger row.
+    once per item and objective.  A reply that can't be read finds nothing, and the item
+    is judged all the same; only a call that failed (``error`` of ``replies``, where it
+    has that column) is an error, which is tried again while attempts last.  Items
+    without a row in ``replies`` keep their ledger row.
     """
+    if "error" not in replies.columns:
+        replies = replies.withColumn("error", F.lit(None).cast("string"))
     of = backlog.select(F.col("id").alias("memory_id"), "project", "objectives_hash")
     goals = objectives.where(F.col("status") == "active").select(F.col("id").alias("objective_id"), "project")
     shown = of.join(goals, "project").select("memory_id", "objective_id")
     answered = replies.join(of, "memory_id")
-    found = verdicts.contradictions(answered.select("memory_id", "reply"), shown).join(of.select("memory_id", "project"), "memory_id")
+    found = verdicts.contradictions(answered.where("error is null").select("memory_id", "reply"), shown).join(of.select("memory_id", "project"), "memory_id")
     key = F.concat_ws(":", F.lit("contradiction"), F.col("memory_id").cast("string"), F.col("objective_id").cast("string"))
     rows = found.select(key.alias("dedup_key"), F.lit("contradiction").alias("kind"), "project", "memory_id", "objective_id", "severity", "rationale", as_of.alias("created_at"))
     new = align(ledger.append_new(flags, rows), "objective_flags")
     count = new.groupBy("memory_id").agg(F.count("*").alias("flags_written"))
-    good = verdicts.parsed(F.col("reply"), "contradictions array<struct<objective_id:string>>")["contradictions"].isNotNull()
-    judged = answered.withColumn("ok", F.coalesce(good, F.lit(False))).groupBy("memory_id", "objectives_hash").agg(F.bool_and("ok").alias("ok")).join(count, "memory_id", "left")
-    entries = judged.select("memory_id", as_of.alias("scanned_at"), F.when(F.col("ok"), "ok").otherwise("error").alias("status"), F.coalesce("flags_written", F.lit(0)).cast("int").alias("flags_written"), "objectives_hash", F.when(~F.col("ok"), "reply could not be read").alias("error"))
+    judged = answered.groupBy("memory_id", "objectives_hash").agg(F.max("error").alias("error")).join(count, "memory_id", "left")
+    status = F.when(F.col("error").isNull(), "ok").otherwise("error")
+    entries = judged.select("memory_id", as_of.alias("scanned_at"), status.alias("status"), F.coalesce("flags_written", F.lit(0)).cast("int").alias("flags_written"), "objectives_hash", F.substring("error", 1, 500).alias("error"))
     return new, ledger.upsert_ledger(scanned, entries)
 
 

@@ -421,17 +421,37 @@ def _(spark, d):
     return out.select("signal_key", "id", F.round("similarity", 9).alias("similarity"), F.col("place").cast("long").alias("place"))
 
 
-_DECIDED = f"""{_GATED}, b AS (SELECT * FROM r ORDER BY created_s, id LIMIT 200), p AS (SELECT lower(trim(source_agent)) AS agent, count(*) AS promoted FROM inbox WHERE status = 'promoted' AND created_s >= 1706659200 - 72 * 3600 GROUP BY 1),
- w AS (SELECT b.*, coalesce(promoted, 0) AS base, coalesce(promoted, 0) + coalesce(sum(CASE WHEN reason IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY b.agent ORDER BY created_s, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 20 AS late FROM b LEFT JOIN p ON p.agent = b.agent),
- o AS (SELECT *, CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN late THEN 'deferred' ELSE 'promoted' END AS outcome FROM w),
- top AS (SELECT max(doc_id) AS top FROM documents), z AS (SELECT i.id, i.created_s, o.content, o.agent, o.project, i.id % 7 AS attempts, CASE WHEN i.status = 'pending' AND i.id % 12 = 1 THEN 'failed' WHEN i.status = 'pending' AND o.outcome <> 'deferred' THEN o.outcome END AS act, i.status, o.reason FROM inbox i LEFT JOIN o ON o.id = i.id)"""
+_DECIDED = f"""{_GATED.replace("inbox AS", "RECURSIVE inbox AS", 1)}, {ITEMS}, b AS (SELECT * FROM r ORDER BY created_s, id LIMIT 200), p AS (SELECT lower(trim(source_agent)) AS agent, count(*) AS promoted FROM inbox WHERE status = 'promoted' AND created_s >= 1706659200 - 72 * 3600 GROUP BY 1),
+ e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings WHERE vec_id < 50),
+ m AS (SELECT b.id, max(list_cosine_similarity(x.v, y.v)) AS stored FROM b JOIN e x ON x.vec_id = b.id % 50 JOIN items i ON i.project = b.project AND i.id % 7 = 0 AND {LIVE.replace("is_active", "i.is_active")} JOIN e y ON y.vec_id = i.id * 3 % 50 GROUP BY 1),
+ s AS (SELECT b.*, row_number() OVER (ORDER BY created_s, b.id) AS n, coalesce(promoted, 0) AS base, CASE WHEN b.id % 12 <> 1 THEN e.v END AS v, coalesce(stored, -1) AS stored, CASE WHEN b.id % 9 = 4 THEN 'recipe' WHEN b.id % 9 <> 5 THEN 'kitchen' END AS level FROM b LEFT JOIN p ON p.agent = b.agent LEFT JOIN e ON vec_id = b.id % 50 LEFT JOIN m ON m.id = b.id),
+ run(n, kept, outcome, near, error) AS (SELECT 0::BIGINT, []::STRUCT(agent VARCHAR, project VARCHAR, v DOUBLE[])[], ''::VARCHAR, 0::DOUBLE, ''::VARCHAR UNION ALL
+  SELECT n, CASE WHEN outcome = 'promoted' THEN list_append(kept, {{'agent': agent, 'project': project, 'v': v}}) ELSE kept END, outcome, near, CASE WHEN outcome = 'failed' THEN CASE WHEN v IS NULL THEN 'embedding-unavailable' ELSE 'verdict-unreadable' END END FROM
+  (SELECT *, CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN base + used >= 20 THEN 'deferred' WHEN v IS NULL THEN 'failed' WHEN near >= 0.88 THEN 'rejected' WHEN level IS NULL THEN 'failed' WHEN level = 'recipe' THEN 'rejected' ELSE 'promoted' END AS outcome FROM
+  (SELECT s.*, run.kept, len(list_filter(run.kept, lambda k: k.agent = s.agent)) AS used, greatest(stored, coalesce(list_max(list_transform(list_filter(run.kept, lambda k: k.project = s.project AND s.v IS NOT NULL), lambda k: list_cosine_similarity(k.v, s.v))), -1)) AS near FROM run JOIN s ON s.n = run.n + 1))),
+ o AS (SELECT s.*, outcome, near, error, CASE WHEN outcome <> 'rejected' THEN NULL WHEN reason IS NOT NULL THEN reason WHEN near > 0.95 THEN 'duplicate' WHEN near >= 0.88 THEN 'near-duplicate' ELSE 'recipe-level' END AS why FROM s JOIN run ON run.n = s.n),
+ top AS (SELECT max(doc_id) AS top FROM documents), z AS (SELECT i.id, i.created_s, o.content, o.agent, o.project, i.id % 7 AS attempts, CASE WHEN i.status = 'pending' AND o.outcome <> 'deferred' THEN o.outcome END AS act, i.status, o.why AS reason, error, near FROM inbox i LEFT JOIN o ON o.id = i.id)"""
+
+
+def _promotion_outcomes(spark, d):
+    e = load(spark, d, "embeddings").where("vec_id < 50").select("vec_id", "embedding")
+    items = A.memory_items(spark, d)
+    items = items.join(e, F.when(items.id % 7 == 0, items.id * 3 % 50) == e.vec_id, "left").drop("vec_id")
+    given = lambda rows: rows.join(e, F.when(rows.id % 12 != 1, rows.id % 50) == e.vec_id, "left")
+    i = F.col("id")
+    judged = lambda rows: rows.select("id", F.when(i % 9 == 4, "recipe").when(i % 9 != 5, "kitchen").alias("level"))
+    inbox = A.memory_inbox(spark, d)
+    return inbox, items, Stash(spark, "promotion").put(jobs.promote_job(inbox, items, A.at(), jobs.PromoteOptions(batch=200, cap=20, count_hours=72), given, judged))
 
 
 def _promotion(spark, d):
-    inbox, items = A.memory_inbox(spark, d), A.memory_items(spark, d)
-    out = jobs.promote_job(inbox, items, A.at(), jobs.PromoteOptions(batch=200, cap=20, count_hours=72))
-    failures = inbox.where("id % 12 = 1").select("id", F.lit("no answer").alias("error"))
-    return writes.promotion_writes(inbox, items, out, A.at(), "run-1", failures)
+    inbox, items, out = _promotion_outcomes(spark, d)
+    return writes.promotion_writes(inbox, items, out, A.at(), "run-1")
+
+
+@query("F4_J18_ordered_promotion", f"WITH {_DECIDED} SELECT id, outcome, why AS reason, error, CASE WHEN why IN ('duplicate', 'near-duplicate') THEN round(near, 3) END AS matched_similarity FROM o")
+def _(spark, d):
+    return _promotion_outcomes(spark, d)[2].select("id", "outcome", "reason", "error", "matched_similarity")
 
 
 @query("A17_promoted_counts_3d", f"WITH {INBOX} SELECT lower(trim(source_agent)) AS agent, count(*) AS promoted FROM inbox WHERE status = 'promoted' AND created_s >= 1706659200 - 72 * 3600 GROUP BY 1")
@@ -446,11 +466,11 @@ def _(spark, d):
 
 
 @query("B5_B6_inbox_after", f"""WITH {_DECIDED} SELECT id, created_s, CASE WHEN act IN ('promoted', 'rejected') THEN act WHEN act = 'failed' AND attempts + 1 >= 5 THEN 'rejected' ELSE status END AS status, CASE WHEN act = 'promoted' THEN top + 1 + id END AS promoted_memory_id,
- CASE WHEN act = 'rejected' THEN reason WHEN act = 'failed' AND attempts + 1 >= 5 THEN 'attempts-exhausted' END AS rejection_reason, CASE WHEN act = 'failed' THEN attempts + 1 ELSE attempts END AS attempts, CASE WHEN act IS NOT NULL THEN 'run-1' END AS run_id, CASE WHEN act = 'failed' THEN 'no answer' END AS last_error FROM z, top""")
+ CASE WHEN act = 'rejected' THEN reason WHEN act = 'failed' AND attempts + 1 >= 5 THEN 'attempts-exhausted' END AS rejection_reason, CASE WHEN act = 'failed' THEN attempts + 1 ELSE attempts END AS attempts, CASE WHEN act IS NOT NULL THEN 'run-1' END AS run_id, error AS last_error, CASE WHEN reason IN ('duplicate', 'near-duplicate') THEN round(near, 3) END AS matched_similarity FROM z, top""")
 def _(spark, d):
     after = _promotion(spark, d)[1]
     note = lambda k: F.get_json_object("metadata", f"$.engine.{k}").alias(k)
-    return after.select("id", _s("created_at", "created_s"), "status", "promoted_memory_id", "rejection_reason", F.col("attempts").cast("long").alias("attempts"), note("run_id"), note("last_error"))
+    return after.select("id", _s("created_at", "created_s"), "status", "promoted_memory_id", "rejection_reason", F.col("attempts").cast("long").alias("attempts"), note("run_id"), note("last_error"), F.get_json_object("metadata", "$.engine.matched_similarity").cast("double").alias("matched_similarity"))
 
 
 @query("C9_D4_linkage", f"WITH {ITEMS}, {EDGES}, {GOALS}, l AS (SELECT source_id AS memory_id, target_id AS objective_id FROM edges UNION SELECT target_id, source_id FROM edges UNION SELECT id, objective_id FROM items) SELECT memory_id, objective_id FROM l WHERE memory_id IN (SELECT id FROM items) AND objective_id IN (SELECT id FROM goals)")
@@ -495,7 +515,7 @@ def _(spark, d):
 
 @query("B14_guard_ledger", f"""WITH {ITEMS}, {LEDGER}, {GOALS}, h AS (SELECT project, 'h' || count(*) AS objectives_hash, min(id) FILTER (WHERE status = 'active') AS goal FROM goals GROUP BY 1),
  back AS (SELECT id, objectives_hash, goal FROM items JOIN h USING (project) LEFT JOIN swept ON memory_id = id WHERE {LIVE} AND source_type IN ('decision','architecture','preference') AND created_s > 1706659200 - 14 * 86400 AND length(trim(content)) >= 40 AND (status IS NULL OR (status = 'error' AND attempts < 3) OR 'h' || yields IS DISTINCT FROM objectives_hash) ORDER BY created_s DESC, id LIMIT 60)
- SELECT coalesce(b.id, s.memory_id) AS memory_id, CASE WHEN b.id IS NULL THEN s.status WHEN b.id % 4 = 0 THEN 'error' ELSE 'ok' END AS status, coalesce(s.attempts, 0) + CASE WHEN b.id IS NULL THEN 0 ELSE 1 END AS attempts,
+ SELECT coalesce(b.id, s.memory_id) AS memory_id, CASE WHEN b.id IS NULL THEN s.status WHEN b.id % 4 = 1 THEN 'error' ELSE 'ok' END AS status, coalesce(s.attempts, 0) + CASE WHEN b.id IS NULL THEN 0 ELSE 1 END AS attempts,
  CASE WHEN b.id IS NOT NULL THEN CASE WHEN b.id % 4 = 2 AND goal IS NOT NULL THEN 1 ELSE 0 END END AS flags_written, CASE WHEN b.id IS NULL THEN 'h' || s.yields ELSE b.objectives_hash END AS objectives_hash FROM swept s FULL JOIN back b ON b.id = s.memory_id""")
 def _(spark, d):
     known = scans.normalize_objectives(A.memory_objectives(spark, d))
@@ -507,7 +527,8 @@ def _(spark, d):
     reply = F.when(F.col("id") % 4 == 0, "no idea").when((F.col("id") % 4 == 1) | F.col("goal").isNull(), '{"contradictions":[]}').otherwise(told)
     asked = backlog.join(goal, "project", "left")
     flags = asked.where("id % 4 = 3").select(F.concat_ws(":", F.lit("contradiction"), F.col("id").cast("string"), F.col("goal").cast("string")).alias("dedup_key"))
-    after = writes.guard_writes(backlog, asked.select(F.col("id").alias("memory_id"), reply.alias("reply")), known, flags, scanned, A.at())[1]
+    told_ = asked.select(F.col("id").alias("memory_id"), reply.alias("reply"), F.when(F.col("id") % 4 == 1, "no answer").alias("error"))
+    after = writes.guard_writes(backlog, told_, known, flags, scanned, A.at())[1]
     return after.select("memory_id", "status", F.col("attempts").cast("long").alias("attempts"), F.col("flags_written").cast("long").alias("flags_written"), "objectives_hash")
 
 

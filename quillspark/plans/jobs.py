@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.vectors import norm
 from quillspark.operators import aggregates, gates, ledger, scans, search, vectors
 from quillspark.operators.graph import connected_components
 from quillspark.runtime import Stash
@@ -53,27 +54,66 @@ class PromoteOptions:
 
 
 def promote_job(inbox: DataFrame, items: DataFrame, as_of: Column, options: PromoteOptions | None = None, embed: Callable[[DataFrame], DataFrame] | None = None, classify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Outcomes of a claimed batch.
-
-    ``embed`` adds ``embedding`` to rows (without it nothing is compared), ``classify``
-    gives ``id, level``.  Rows are compared with the live items of their project and with
-    rows of it that the batch promotes before them.
+    """Outcomes of a claimed batch, as if its rows were taken in order of time.
+
+    ``embed`` adds ``embedding`` to the rows that its agent's cap may let through
+    (without it nothing is compared); a null or empty embedding, or one without a
+    direction, is a failure.  ``classify`` gives ``id, level`` and may give ``rationale,
+    source_type`` for rows that no stored item duplicates; a level other than kitchen
+    and recipe is a failure.  Rows are compared with the live items of their project and
+    with rows of it that the batch promotes before them, and only promotions count
+    towards an agent's cap.
+
+    Rows: ``id, agent, project, outcome, reason, error, check, content``, what was
+    matched (``matched_id`` of an item, ``matched_inbox_id`` of a row of the batch,
+    ``matched_similarity``), ``embedding``, ``source_type``, ``rationale``, ``agent_seen``.
     """
     o = options or PromoteOptions()
     stash = Stash(items.sparkSession, "promote")
-    batch = gates.gate_rows(scans.claim_batch(inbox, as_of, o.batch, o.lease_minutes), o.agents)
-    batch = stash.put(gates.rate_capped(batch, scans.promoted_counts(inbox, as_of, o.count_hours), o.cap))
-    kinds = stash.put(classify(batch)) if classify else None
+    batch = stash.put(gates.gate_rows(scans.claim_batch(inbox, as_of, o.batch, o.lease_minutes), o.agents).select("id", "created_at", "source_agent", "agent", "project", "content", "reason", "check"))
+    used = stash.put(scans.promoted_counts(inbox, as_of, o.count_hours))
+    open_ = batch.where("reason is null").join(used.where(F.col("promoted") >= o.cap), "agent", "left_anti")
     if embed is None:
-        matches = batch.where("false").select("id", F.lit(0.0).alias("similarity"))
+        mine = open_.select("id", "project", F.lit(None).cast("array<double>").alias("embedding"), F.lit(None).cast("string").alias("error"))
+    else:
+        given = embed(open_).select("id", "project", "embedding")
+        size = norm(F.col("embedding"))
+        direct = ~F.isnan(size) & (size > 0) & (size < float("inf"))
+        error = F.when(F.coalesce(F.size("embedding"), F.lit(0)) <= 0, "embedding-unavailable").when(~F.coalesce(direct, F.lit(False)), "similarity-not-a-number")
+        mine = given.withColumn("error", error)
+    mine = stash.put(mine)
+    good = mine.where("error is null and embedding is not null")
+    pool = items.where(scans.live() & F.col("embedding").isNotNull()) if embed else None
+    if pool is not None:
+        near = vectors.nearest_neighbours(good.select((-F.col("id") - 1).alias("id"), "embedding", "project"), pool.select("id", "embedding", "project").join(good.select("project").distinct(), "project", "left_semi"), 1, within="project")
+        stored = stash.put(near.where(F.col("similarity") >= gates.NEAR).select((-F.col("id") - 1).alias("id"), F.col("neighbour").alias("stored_id"), F.col("similarity").alias("stored")))
+        classes = stash.put(good.groupBy("project", F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(2), "embedding").alias("h2")).agg(F.min("id").alias("class"), F.first("embedding").alias("embedding")))
+        pairs = vectors.pairs_above(classes.select(F.col("class").alias("id"), "embedding", "project"), gates.NEAR, within="project")
+        pairs = stash.put(pairs.select(F.col("id").alias("class"), F.col("neighbour").alias("other"), "similarity").union(classes.select("class", F.col("class").alias("other"), F.lit(1.0))))
+        of = good.select("id", "project", F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(2), "embedding").alias("h2")).join(classes.drop("embedding"), ["project", "h1", "h2"]).select("id", "class")
+    else:
+        stored = mine.where("false").select("id", F.col("id").alias("stored_id"), F.lit(0.0).alias("stored"))
+        pairs = stored.select(F.col("id").alias("class"), F.col("id").alias("other"), F.lit(0.0).alias("similarity"))
+        of = mine.where("false").select("id", F.col("id").alias("class"))
+    asked = batch.join(mine.where("error is null").select("id"), "id", "left_semi").join(stored, "id", "left_anti")
+    if classify is None:
+        kinds = asked.select("id", F.lit("kitchen").alias("level"), F.lit(None).cast("string").alias("rationale"), F.lit(None).cast("string").alias("source_type"))
     else:
-        mine = stash.put(embed(batch.where("reason is null and not deferred")).select("id", "project", "created_at", "embedding"))
-        pool = items.where(scans.live() & F.col("embedding").isNotNull()).join(mine.select("project").distinct(), "project", "left_semi")
-        near = vectors.nearest_neighbours(mine.select((-F.col("id") - 1).alias("id"), "embedding", "project"), pool.select("id", "embedding", "project"), 1, within="project")
-        rows = mine.join(near.select((-F.col("id") - 1).alias("id"), "similarity"), "id", "left")
-        rows = rows.join(kinds.select("id", "level"), "id", "left") if kinds is not None else rows.withColumn("level", F.lit("kitchen"))
-        matches = gates.batch_similarity(rows)
-    return gates.outcomes(batch, matches, kinds)
+        kinds = classify(asked)
+        kinds = kinds.select("id", "level", *[(F.col(c) if c in kinds.columns else F.lit(None).cast("string")).alias(c) for c in ("rationale", "source_type")])
+    kinds = stash.put(kinds.dropDuplicates(["id"]))
+    rows = batch.join(mine.select("id", "embedding", "error"), "id", "left").join(stored, "id", "left").join(kinds, "id", "left").join(of, "id", "left")
+    passes = F.col("reason").isNull() & F.col("error").isNull() & F.col("stored").isNull() & F.coalesce(F.col("level") == "kitchen", F.lit(False))
+    rows = stash.put(rows.withColumns({"passes": passes, "gated": F.col("reason").isNotNull(), "judged": F.lit(classify is not None)}))
+    done = gates.settled(rows.select("id", "agent", "created_at", "gated", "passes", "class"), pairs, used, o.cap)
+    both = rows.join(done, "id").withColumn("similarity", F.greatest("stored", "match_similarity"))
+    by_batch = F.coalesce(F.col("match_similarity") > F.coalesce("stored", F.lit(-1.0)), F.lit(False))
+    out = gates.outcomes(both)
+    dup = F.col("reason").isin("duplicate", "near-duplicate")
+    return out.select(
+        "id", "agent", "project", "outcome", "reason", "error", "check", "content", F.when(dup & ~by_batch, F.col("stored_id")).alias("matched_id"), F.when(dup & by_batch, F.col("match_id")).alias("matched_inbox_id"),
+        F.when(dup, F.round("similarity", 3)).alias("matched_similarity"), "embedding", "source_type", "rationale", F.substring("source_agent", 1, 80).alias("agent_seen"),
+    )
 
 
 def graph_job(items: DataFrame, edges: DataFrame, as_of: Column, threshold: float = 0.85, k: int = 8, since: Column | None = None) -> tuple[DataFrame, DataFrame]:

@@ -1,5 +1,6 @@
 import random
 
+from quillspark.operators import graph
 from quillspark.operators.graph import connected_components
 
 
@@ -19,9 +20,10 @@ def by_union_find(pairs):
 
 
 def check(spark, pairs):
-    df = spark.createDataFrame(pairs, "src long, dst long")
-    got = {r.node: r.component for r in connected_components(df).collect()}
-    assert got == by_union_find(pairs)
+    df = spark.createDataFrame(pairs, "src long, dst long").repartition(3)
+    for small in (1_000_000, 8):  # joined by one task, and contracted in rounds first
+        got = {r.node: r.component for r in connected_components(df, small=small).collect()}
+        assert got == by_union_find(pairs)
 
 
 def test_path_star_and_random(spark):
@@ -33,3 +35,12 @@ def test_path_star_and_random(spark):
 def test_nulls_loops_repeats_and_empty(spark):
     check(spark, [(1, 1), (None, 2), (3, 4), (4, 3), (3, 4), (9, None)])
     check(spark, [])
+
+
+def test_chunks_and_text_ids(spark, monkeypatch):
+    monkeypatch.setattr(graph, "CHUNK", 4)
+    rng = random.Random(5)
+    pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(70)]
+    check(spark, pairs)
+    named = spark.createDataFrame([(f"n{a:02}", f"n{b:02}") for a, b in pairs], "src string, dst string")
+    assert {r.node: r.component for r in connected_components(named).collect()} == {f"n{a:02}": f"n{b:02}" for a, b in by_union_find(pairs).items()}

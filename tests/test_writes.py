@@ -120,7 +120,10 @@ def test_guard_snapshots(spark):
     new, after = writes.guard_writes(backlog, replies, goals, flags, scanned, A.at())
     assert [(r.memory_id, r.objective_id, r.severity, r.dedup_key) for r in new.collect()] == [(1, 10, "low", "contradiction:1:10")]
     assert {r.memory_id: (r.status, r.attempts, r.flags_written, r.objectives_hash, r.error is None) for r in after.collect()} == {
-        1: ("ok", 1, 1, "h2", True), 2: ("error", 2, 0, "h2", False), 3: ("ok", 1, 0, "h2", True), 4: ("ok", 1, 0, "h1", True)}
+        1: ("ok", 1, 1, "h2", True), 2: ("ok", 2, 0, "h2", True), 3: ("ok", 1, 0, "h2", True), 4: ("ok", 1, 0, "h1", True)}
+    called = replies.withColumn("error", F.when(F.col("memory_id") == 1, "timeout"))
+    new, after = writes.guard_writes(backlog, called, goals, flags, scanned, A.at())
+    assert new.count() == 0 and {r.memory_id: (r.status, r.attempts, r.error) for r in after.collect()}[1] == ("error", 1, "timeout")
 
 
 def test_coverage_rows(spark):
