@@ -90,7 +90,8 @@ def cluster_verdicts(replies: DataFrame) -> DataFrame:
     """Verdicts on clusters ``id, members, reply``: ``verdict`` is kitchen, recipe, split or null.
 
     A split must partition the members (names that are no members are ignored); a
-    kitchen verdict must have a title and a text.
+    kitchen verdict must have a title and a text.  ``incoherent`` tells that the reply
+    says so, whether its split can be followed or not.
     """
     v = parsed(F.col("reply"), "coherent boolean, groups array<array<string>>, verdict string, title string, doctrine_text string, rationale string, evidence array<struct<date:string,gist:string>>, trigger_hints array<string>")
     names = F.transform("members", lambda m: m.cast("string"))
@@ -104,7 +105,7 @@ def cluster_verdicts(replies: DataFrame) -> DataFrame:
     evidence = F.filter(F.transform("v.evidence", lambda e: F.struct(F.coalesce(e["date"], F.lit("")).alias("date"), short(e["gist"], 300).alias("gist"))), lambda e: F.length(e["gist"]) > 0)
     hints = F.filter(F.transform("v.trigger_hints", lambda h: short(h, 80)), lambda h: F.length(h) > 0)
     return rows.select(
-        "id", "verdict", F.when(F.col("verdict") == "split", F.transform("groups", lambda g: F.transform(g, lambda i: i.cast("bigint")))).alias("groups"),
+        "id", "verdict", F.coalesce(~F.col("v.coherent"), F.lit(False)).alias("incoherent"), F.when(F.col("verdict") == "split", F.transform("groups", lambda g: F.transform(g, lambda i: i.cast("bigint")))).alias("groups"),
         F.when(kitchen, short(F.col("v.title"), 200)).alias("title"), F.when(kitchen, short(F.col("v.doctrine_text"), 2000)).alias("doctrine_text"), short(F.col("v.rationale"), 500).alias("rationale"),
         F.when(kitchen, F.slice(evidence, 1, MAX_EVIDENCE)).alias("evidence"), F.when(kitchen, F.slice(hints, 1, MAX_HINTS)).alias("trigger_hints"),
     )

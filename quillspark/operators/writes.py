@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import json_merged, json_without
-from quillspark.functions.vectors import normalized
 from quillspark.operators import ledger, verdicts
 from quillspark.operators.gates import after_failure
+from quillspark.operators.registry import registry_centroids
+from quillspark.runtime import Stash
 from quillspark.sources.tables import align
 
 
@@ -78,39 +79,48 @@ def registry_writes(registry: DataFrame, groups: DataFrame, actions: DataFrame,
     """The registry after groups of items were reinforced into it or inserted, with ``grew`` and ``drifted`` of each entry.
 
     ``groups`` hold ``id, member_ids, member_hashes, projects, n, total`` (the last two
-    from :func:`group_sums`), ``actions`` those of ``reinforce_registry``.  An entry takes
-    in its groups in the order of their ids; its centroid weighs as many occurrences as
-    it stands for.  ``grew``: a member is new, or the entry is; ``drifted``: a known
-    member's hash differs.  New entries get ids after the largest one, by group.  Groups
-    are matched with the registry as it was: two new groups alike make two entries.
+    from :func:`group_sums`) and may hold ``position``, their order (else their ids are);
+    ``actions`` are those of ``registry_matches`` or ``reinforce_registry``.  An entry
+    takes in its groups in order; members and projects are kept in the order in which
+    they came, each member with its last hash.  ``grew``: a member is new, or the entry
+    is; ``drifted``: a member that the entry had before has another hash.  An inserted entry
+    without a given id gets the group's plus one plus the largest one.
+
+    Members are merged as rows, by entry and member, and put together at the end.
     """
-    both = groups.join(actions.select("id", "action", "registry_id"), "id")
-    packed = F.struct(F.col("id").alias("id"), "member_ids", "member_hashes", "projects", F.col("n").cast("double").alias("n"), "total")
-    taken = both.where("action = 'reinforce'").groupBy(F.col("registry_id").alias("id")).agg(F.array_sort(F.collect_list(packed)).alias("g"))
-    old = _with_missing(registry, {"reinforced_after_ratification": "int", "updated_at": "timestamp"}).join(taken, "id", "left")
-    fresh = F.array_distinct(F.flatten(F.transform("g", lambda g: g["member_ids"])))
-    pairs = F.concat(F.arrays_zip(F.col("member_ids").alias("i"), F.col("member_hashes").alias("h")), F.flatten(F.transform("g", lambda g: F.arrays_zip(g["member_ids"].alias("i"), g["member_hashes"].alias("h")))))
-    known = F.arrays_zip(F.col("member_ids").alias("i"), F.col("member_hashes").alias("h"))
-    seen = F.flatten(F.transform("g", lambda g: F.arrays_zip(g["member_ids"].alias("i"), g["member_hashes"].alias("h"))))
-    last = lambda i: F.element_at(F.filter("_pairs", lambda p: p["i"] == i), -1)["h"]
-    start = F.struct(F.transform("centroid", lambda x: x.cast("double")).alias("c"), F.col("occurrence_count").cast("bigint").alias("k"))
-    step = lambda s, g: F.struct(normalized(F.zip_with(s["c"], g["total"], lambda x, y: (x * s["k"] + y) / (s["k"] + g["n"]))).alias("c"), (s["k"] + 1).alias("k"))
-    hit = F.col("g").isNotNull()
-    old = old.withColumn("_pairs", pairs).withColumn("_all", F.array_union("member_ids", fresh))
-    old = old.withColumn("_state", F.when(hit, F.aggregate(F.col("g"), start, step)))
-    old = old.withColumn("grew", hit & (F.size("_all") > F.size("member_ids")))
-    old = old.withColumn("drifted", hit & F.exists(known, lambda k: F.exists(seen, lambda s: (s["i"] == k["i"]) & ~s["h"].eqNullSafe(k["h"]))))
-    ratified = F.coalesce("reinforced_after_ratification", F.lit(0)) + F.when(hit & (F.col("status") == "ratified"), F.size("g")).otherwise(0)
-    names = [c for c in registry.columns if c not in ("reinforced_after_ratification", "updated_at")]
-    change = {
-        "member_ids": F.col("_all"), "member_hashes": F.transform("_all", last), "centroid": F.col("_state.c"), "occurrence_count": F.col("_state.k").cast("int"),
-        "projects": F.array_union("projects", F.array_distinct(F.flatten(F.transform("g", lambda g: g["projects"])))),
-    }
-    kept = old.select(*[(F.when(hit, change[c]).otherwise(F.col(c)) if c in change else F.col(c)).alias(c) for c in names], ratified.cast("int").alias("reinforced_after_ratification"), F.when(hit, as_of).otherwise(F.col("updated_at")).alias("updated_at"), "grew", "drifted")
+    stash = Stash(registry.sparkSession, "registry")
     first = registry.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("first")).scalar()
-    new = both.where("action = 'insert'").select(
-        (first + 1 + F.col("id")).alias("id"), normalized(F.transform("total", lambda x: x / F.col("n"))).alias("centroid"), "member_ids", "member_hashes", "projects", F.lit(1).alias("occurrence_count"), F.lit("candidate").alias("status"),
-        F.lit(0).alias("reinforced_after_ratification"), as_of.alias("updated_at"), F.lit(True).alias("grew"), F.lit(False).alias("drifted"))
+    both = groups.join(actions.select("id", "action", "registry_id"), "id").withColumn("target", F.coalesce("registry_id", first + 1 + F.col("id")))
+    position = F.col("position").cast("long") if "position" in groups.columns else F.col("id")
+    both = both.withColumn("turn", F.when(F.col("action") == "insert", F.lit(-(1 << 62))).otherwise(position))  # an entry's maker comes first
+    both = stash.put(both.select("target", "turn", F.col("id").alias("group"), "member_ids", "member_hashes", "projects", "n", "total"))
+    touched = both.select("target").distinct()
+    before = F.lit(-(1 << 63))
+    old = registry.withColumnRenamed("id", "target").join(touched, "target", "left_semi").select("target", before.alias("turn"), F.lit(-1).cast("long").alias("group"), "member_ids", "member_hashes", "projects")
+    rows = both.select("target", "turn", "group", "member_ids", "member_hashes", "projects").unionByName(old)
+    members = rows.select("target", "turn", "group", F.posexplode(F.arrays_zip(F.col("member_ids").alias("i"), F.col("member_hashes").alias("h"))).alias("at", "m")).select("target", F.struct("turn", "group", "at").alias("moment"), F.col("turn").eqNullSafe(before).alias("known"), F.col("m.i").alias("member"), F.col("m.h").alias("hash"))
+    mark = F.coalesce(F.col("hash"), F.lit(""))
+    per = members.groupBy("target", "member").agg(
+        F.min("moment").alias("moment"), F.max(F.struct("moment", "hash"))["hash"].alias("hash"), F.bool_or("known").alias("known"),
+        F.max(F.when(F.col("known"), mark)).alias("was"), F.min(F.when(~F.col("known"), mark)).alias("low"), F.max(F.when(~F.col("known"), mark)).alias("high"))
+    moved = F.col("known") & F.coalesce((F.col("low") != F.col("was")) | (F.col("high") != F.col("was")), F.lit(False))
+    merged = per.groupBy("target").agg(F.array_sort(F.collect_list(F.struct("moment", "member", "hash"))).alias("m"), F.bool_or(~F.col("known")).alias("grew"), F.bool_or(moved).alias("drifted"))
+    named = rows.select("target", "turn", "group", F.posexplode("projects").alias("at", "project")).groupBy("target", "project").agg(F.min(F.struct("turn", "group", "at")).alias("moment"))
+    named = named.groupBy("target").agg(F.transform(F.array_sort(F.collect_list(F.struct("moment", "project"))), lambda p: p["project"]).alias("_projects"))
+    pick = lambda field: F.transform("m", lambda x: x[field])
+    state = registry_centroids(both, registry)
+    fresh = merged.join(state, "target").join(named, "target", "left").select(
+        F.col("target").alias("id"), F.lit(True).alias("_hit"), pick("member").alias("_member_ids"), pick("hash").alias("_member_hashes"), F.coalesce("_projects", F.array().cast("array<string>")).alias("_projects"),
+        F.col("centroid").alias("_centroid"), F.col("occurrences").alias("_occurrence_count"), "taken", F.col("grew").alias("_grew"), F.col("drifted").alias("_drifted"))
+    fresh = stash.put(fresh)
+    kept = _with_missing(registry, {"reinforced_after_ratification": "int", "updated_at": "timestamp"}).join(fresh, "id", "left")
+    hit = F.coalesce("_hit", F.lit(False))
+    names = [c for c in registry.columns if c not in ("reinforced_after_ratification", "updated_at")]
+    change = ("member_ids", "member_hashes", "projects", "centroid", "occurrence_count")
+    ratified = F.coalesce("reinforced_after_ratification", F.lit(0)) + F.when(hit & (F.col("status") == "ratified"), F.col("taken")).otherwise(0)
+    kept = kept.select(*[(F.when(hit, F.col(f"_{c}")).otherwise(F.col(c)) if c in change else F.col(c)).alias(c) for c in names], ratified.cast("int").alias("reinforced_after_ratification"), F.when(hit, as_of).otherwise(F.col("updated_at")).alias("updated_at"), F.coalesce("_grew", F.lit(False)).alias("grew"), F.coalesce("_drifted", F.lit(False)).alias("drifted"))
+    new = fresh.join(registry.select("id"), "id", "left_anti").select(
+        "id", *[F.col(f"_{c}").alias(c) for c in change], F.lit("candidate").alias("status"), F.lit(0).alias("reinforced_after_ratification"), as_of.alias("updated_at"), F.lit(True).alias("grew"), F.lit(False).alias("drifted"))
     return kept.unionByName(new, allowMissingColumns=True)
 
 
@@ -118,10 +128,13 @@ def registry_verdicts(registry: DataFrame, judged: DataFrame, as_of: Column) ->
     """The registry after verdicts on its entries (those of ``cluster_verdicts``).
 
     A kitchen verdict drafts the entry with its title and text; any other rejects it,
-    but only a candidate or a draft.  Entries without a verdict stay.
+    but only a candidate or a draft.  A group that the judge found incoherent
+    (``incoherent``, where ``judged`` has it) without a split that can be followed is
+    rejected as unresolved.  Entries without a verdict stay.
     """
     extra = {"title": "string", "rejection_reason": "string", "evidence": "array<struct<date:string,gist:string>>", "trigger_hints": "array<string>"}
-    new = judged.select("id", F.lit(True).alias("_judged"), *[F.col(c).alias(f"_{c}") for c in ("verdict", "title", "doctrine_text", "evidence", "trigger_hints")])
+    judged = _with_missing(judged, {"incoherent": "boolean"})
+    new = judged.select("id", F.lit(True).alias("_judged"), F.coalesce("incoherent", F.lit(False)).alias("_incoherent"), *[F.col(c).alias(f"_{c}") for c in ("verdict", "title", "doctrine_text", "evidence", "trigger_hints")])
     rows = _with_missing(registry, extra).join(new, "id", "left")
     draft = F.coalesce(F.col("_verdict") == "kitchen", F.lit(False))
     refuse = F.col("_judged").isNotNull() & ~draft & F.col("status").isin("candidate", "drafted")

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import scoring, text
+from quillspark.functions.vectors import normalized
 from quillspark.operators import aggregates, gates, ledger, scans, search, vectors, writes
 from quillspark.operators.graph import connected_components
+from quillspark.operators.registry import registry_matches
 from quillspark.plans import jobs
 from quillspark.runtime import Stash, ship
 from quillspark.sources import adapters as A
@@ -498,19 +500,27 @@ def _(spark, d):
     return jobs.sweep_job(A.memory_items(spark, d), A.sweep_ledger(spark, d), A.at())[0]
 
 
-@query("B7_registry_after", """WITH m AS (SELECT label, count(*) AS n, list(vec_id ORDER BY vec_id) AS ids FROM embeddings GROUP BY 1), top AS (SELECT max(label) FILTER (WHERE label % 3 <> 0)::BIGINT AS top FROM m)
- SELECT label::BIGINT AS id, 'ratified' AS status, 2::BIGINT AS occurrence_count, n + 1 AS members, 'a,b' AS projects, 1::BIGINT AS reinforced, true AS grew, label % 2 = 0 AS drifted FROM m WHERE label % 3 <> 0
- UNION ALL SELECT coalesce(top, -1) + 1 + label, 'candidate', 1, n, 'b', 0, true, false FROM m, top WHERE label % 3 = 0""")
+@query("B7_registry_after", """WITH e AS (SELECT label::BIGINT AS label, vec_id, vec_id = min(vec_id) OVER (PARTITION BY label) AS first, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS p FROM embeddings),
+ s AS (SELECT label, p, sum(x) AS a, sum(CASE WHEN first THEN 0 ELSE x END) AS b, count(*) AS n FROM e GROUP BY 1, 2), u AS (SELECT *, a / sqrt(sum(a * a) OVER (PARTITION BY label)) AS c, CASE WHEN label % 3 = 0 THEN 1 ELSE 2 END AS k FROM s),
+ w AS (SELECT *, (c * k + b) / (k + n - 1) AS y FROM u), z AS (SELECT *, y / sqrt(sum(y * y) OVER (PARTITION BY label)) AS c2 FROM w), f AS (SELECT label, max(n) AS n, round(sum(CASE WHEN p = 1 THEN c2 END), 6) AS c_first, round(sum(c2 * p), 6) AS c_weighted FROM z GROUP BY 1),
+ top AS (SELECT max(label) FILTER (WHERE label % 3 <> 0) AS top FROM f)
+ SELECT label AS id, 'ratified' AS status, 3::BIGINT AS occurrence_count, n + 1 AS members, 'a,b' AS projects, 2::BIGINT AS reinforced, true AS grew, label % 2 = 0 AS drifted, c_first, c_weighted FROM f WHERE label % 3 <> 0
+ UNION ALL SELECT coalesce(top, -1) + 1 + label, 'candidate', 2, n, 'b', 0, true, false, c_first, c_weighted FROM f, top WHERE label % 3 = 0""")
 def _(spark, d):
+    # of each label a group of all its vectors and a later one of all but the first: the second finds what the first moved or made
     e = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("label"), "embedding")
-    per = e.groupBy("label").agg(F.array_sort(F.collect_list("id")).alias("member_ids")).withColumn("member_hashes", F.transform("member_ids", lambda i: F.md5(i.cast("string"))))
-    groups = Stash(spark, "registry").put(per.join(writes.group_sums(e, "label"), "label").select(F.col("label").alias("id"), "member_ids", "member_hashes", F.array(F.lit("b")).alias("projects"), "n", "total"))
+    least = e.groupBy("label").agg(F.min("id").alias("least"))
+    rest = e.join(least, "label").where("id <> least").select("id", (F.col("label") + 1000).alias("label"), "embedding")
+    both = e.select("id", "label", "embedding").union(rest)
+    per = both.groupBy("label").agg(F.array_sort(F.collect_list("id")).alias("member_ids")).withColumn("member_hashes", F.transform("member_ids", lambda i: F.md5(i.cast("string"))))
+    groups = Stash(spark, "registry").put(per.join(writes.group_sums(both, "label"), "label").select(F.col("label").alias("id"), F.col("label").alias("position"), "member_ids", "member_hashes", F.array(F.lit("b")).alias("projects"), "n", "total"))
     first = F.element_at("member_ids", 1)
-    registry = groups.where("id % 3 <> 0").select("id", F.col("total").alias("centroid"), F.array(first, F.lit(-1).cast("long")).alias("member_ids"), F.array(F.when(F.col("id") % 2 == 0, "old").otherwise(F.md5(first.cast("string"))), F.lit("x")).alias("member_hashes"),
+    registry = groups.where("id % 3 <> 0 and id < 1000").select("id", normalized(F.col("total")).alias("centroid"), F.array(first, F.lit(-1).cast("long")).alias("member_ids"), F.array(F.when(F.col("id") % 2 == 0, "old").otherwise(F.md5(first.cast("string"))), F.lit("x")).alias("member_hashes"),
         F.array(F.lit("a")).alias("projects"), F.lit(1).alias("occurrence_count"), F.lit("ratified").alias("status"), F.lit(None).cast("string").alias("doctrine_text"), F.lit(None).cast("timestamp").alias("synthesized_at"))
-    near = groups.where("id % 3 <> 0").select("id", F.col("id").alias("registry_id"), F.lit(0.95).alias("similarity"))
-    out = writes.registry_writes(registry, groups, ledger.reinforce_registry(groups.select("id"), near), A.at())
-    return out.select("id", "status", F.col("occurrence_count").cast("long").alias("occurrence_count"), F.size("member_ids").cast("long").alias("members"), F.array_join("projects", ",").alias("projects"), F.col("reinforced_after_ratification").cast("long").alias("reinforced"), "grew", "drifted")
+    out = writes.registry_writes(registry, groups, registry_matches(groups, registry), A.at())
+    weighted = F.aggregate(F.transform("centroid", lambda x, i: x * (i + 1)), F.lit(0.0), lambda s, x: s + x)
+    return out.select("id", "status", F.col("occurrence_count").cast("long").alias("occurrence_count"), F.size("member_ids").cast("long").alias("members"), F.array_join("projects", ",").alias("projects"), F.col("reinforced_after_ratification").cast("long").alias("reinforced"), "grew", "drifted",
+        F.round(F.col("centroid")[0], 6).alias("c_first"), F.round(weighted, 6).alias("c_weighted"))
 
 
 @query("B14_guard_ledger", f"""WITH {ITEMS}, {LEDGER}, {GOALS}, h AS (SELECT project, 'h' || count(*) AS objectives_hash, min(id) FILTER (WHERE status = 'active') AS goal FROM goals GROUP BY 1),

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.vectors import norm
-from quillspark.operators import aggregates, gates, ledger, scans, search, vectors
+from quillspark.operators import aggregates, gates, ledger, scans, search, vectors, verdicts, writes
 from quillspark.operators.graph import connected_components
+from quillspark.operators.registry import registry_matches
 from quillspark.runtime import Stash
 
 
@@ -122,23 +123,84 @@ def graph_job(items: DataFrame, edges: DataFrame, as_of: Column, threshold: floa
     return ledger.upsert_edges(edges, pairs, as_of)
 
 
+def qualified_groups(rows: DataFrame, min_projects: int = 2, min_days: float = 21.0) -> DataFrame:
+    """Groups that qualify, from their items ``group, id, embedding, project, created_at, content_hash``.
+
+    Three items or more, of several projects or spread over days: ``id`` (the group's),
+    ``n, projects`` (their number), ``days, members``, and what a registry takes in:
+    ``member_ids, member_hashes, project_names, total``.
+    """
+    days = (F.unix_timestamp(F.max("created_at")) - F.unix_timestamp(F.min("created_at"))) / 86400
+    named = F.when(F.col("project") != "", F.col("project"))
+    stats = rows.groupBy("group").agg(F.count("*").alias("n"), F.countDistinct(named).alias("projects"), days.alias("days"), F.array_sort(F.collect_list(F.struct("id", "content_hash"))).alias("m"), F.array_sort(F.collect_set(named)).alias("project_names"))
+    good = stats.where((F.col("n") >= 3) & ((F.col("projects") >= min_projects) | (F.col("days") >= min_days)))
+    ids = F.transform("m", lambda x: x["id"])
+    good = good.select(F.col("group").alias("id"), "n", "projects", "days", ids.alias("members"), ids.alias("member_ids"), F.transform("m", lambda x: x["content_hash"]).alias("member_hashes"), "project_names")
+    return good.join(writes.group_sums(rows, "group").select(F.col("group").alias("id"), "total"), "id")
+
+
 def cluster_job(items: DataFrame, edges: DataFrame, registry: DataFrame, threshold: float = 0.85, dedup: float = 0.90, min_projects: int = 2, min_days: float = 21.0, types: tuple[str, ...] = scans.CURATED) -> DataFrame:
-    """Coherent clusters that qualify, with what becomes of each in the registry."""
+    """Coherent clusters that qualify, with what becomes of each in the registry.
+
+    Groups are taken in order of their components' sizes, largest first (``position``
+    counts down with the size), then by id.
+    """
     stash = Stash(items.sparkSession, "clusters")
     links = stash.put(scans.cluster_edges(edges, items, types=types))
     comp = connected_components(links, "source_id", "target_id").select(F.col("node").alias("id"), "component")
-    members = stash.put(comp.join(items.where(F.col("embedding").isNotNull()).select("id", "embedding", "project", "created_at"), "id"))
+    members = stash.put(comp.join(items.where(F.col("embedding").isNotNull()).select("id", "embedding", "project", "created_at", "content_hash"), "id"))
     inner = links.join(comp.select(F.col("id").alias("source_id"), "component"), "source_id")
     groups = stash.put(vectors.split_components(members.select("component", "id", "embedding"), inner.select("component", "source_id", "target_id", "weight"), threshold))
-    rows = groups.drop("component").join(members.drop("component"), "id")
-    days = (F.unix_timestamp(F.max("created_at")) - F.unix_timestamp(F.min("created_at"))) / 86400
-    stats = rows.groupBy("group").agg(F.count("*").alias("n"), F.countDistinct(F.when(F.col("project") != "", F.col("project"))).alias("projects"), days.alias("days"), F.array_sort(F.collect_set("id")).alias("members"))
-    good = stats.where((F.col("n") >= 3) & ((F.col("projects") >= min_projects) | (F.col("days") >= min_days)))
-    centroids = vectors.group_centroids(rows.join(good.select("group"), "group", "left_semi"), "group").select(F.col("group").alias("id"), "centroid", "mean_similarity")
-    centroids = stash.put(centroids)
-    near = vectors.nearest_in_registry(centroids, registry)
-    acted = ledger.reinforce_registry(centroids.select("id"), near, dedup)
-    return good.withColumnRenamed("group", "id").join(centroids, "id").join(acted, "id")
+    rows = stash.put(groups.drop("component").join(members, "id"))
+    good = qualified_groups(rows, min_projects, min_days)
+    sizes = comp.groupBy("component").agg(F.count("*").alias("size"))
+    order = rows.groupBy(F.col("group").alias("id")).agg(F.min("component").alias("component")).join(sizes, "component").select("id", (-F.col("size")).alias("position"))
+    centroids = vectors.group_centroids(rows, "group").select(F.col("group").alias("id"), "centroid", "mean_similarity")
+    good = stash.put(good.join(order, "id").join(centroids, "id"))
+    return good.join(registry_matches(good, registry, dedup), "id")
+
+
+def registry_job(items: DataFrame, clusters: DataFrame, registry: DataFrame, as_of: Column, judge: Callable[[DataFrame], DataFrame] | None = None, dedup: float = 0.90, budget: int = 20, cooldown_days: int = 30) -> tuple[DataFrame, DataFrame]:
+    """The registry after a scan, and what was judged.
+
+    ``clusters`` are those of ``cluster_job``.  They are taken in; the entries due for a
+    text, largest group first up to ``budget``, are shown to ``judge``, which gets ``id`` (the
+    entry), ``members`` and returns ``id, reply``.  Texts and refusals go into the
+    registry.  A split that partitions the members is followed once: its parts that
+    qualify are groups of their own, after all others, and are judged with what is left
+    of the budget; one that is incoherent again is rejected as unresolved.  Without a
+    judge nothing is written but the clusters.
+    """
+    stash = Stash(items.sparkSession, "registry-job")
+    shape = clusters.withColumnRenamed("projects", "_projects").withColumnRenamed("project_names", "projects")
+    groups = stash.put(shape.select("id", "position", "member_ids", "member_hashes", "projects", "n", "total"))
+    actions = stash.put(clusters.select("id", "action", "registry_id"))
+    known, judged = registry, None
+    for depth in (0, 1):
+        after = stash.put(writes.registry_writes(known, groups, actions, as_of))
+        plain = [c for c in after.columns if c not in ("grew", "drifted")]
+        if judge is None:
+            return after.select(*plain), after.select("id").where("false")
+        size = groups.join(actions, "id").groupBy(F.col("registry_id").alias("id")).agg(F.max_by("member_ids", F.struct("n", -F.col("id"))).alias("members"), F.max("n").alias("size"))
+        due = stash.put(ledger.synthesis_due(after.join(size, "id"), as_of, cooldown_days, budget).select("id", "members", "size"))
+        replies = stash.put(judge(due.select("id", "members")).select("id", "reply"))
+        found = stash.put(verdicts.cluster_verdicts(due.select("id", "members").join(replies, "id")).withColumn("depth", F.lit(depth)))
+        if depth:
+            found = found.withColumn("verdict", F.when(F.col("verdict") != "split", F.col("verdict")))
+        known = stash.put(writes.registry_verdicts(after.select(*plain), found, as_of))
+        judged = found if judged is None else judged.unionByName(found)
+        budget -= due.count()
+        split = found.where("verdict = 'split'").select("id", F.posexplode("groups").alias("at", "ids"))
+        if depth or budget <= 0 or split.isEmpty():
+            break
+        parts = split.select(F.explode("ids").alias("id"), F.array_min("ids").alias("group"), F.col("at").cast("long").alias("position"))
+        rows = stash.put(parts.join(items.where(F.col("embedding").isNotNull()).select("id", "embedding", "project", "created_at", "content_hash"), "id"))
+        again = qualified_groups(rows).join(parts.groupBy(F.col("group").alias("id")).agg(F.min("position").alias("position")), "id")
+        groups = stash.put(again.select("id", "position", "member_ids", "member_hashes", F.col("project_names").alias("projects"), "n", "total"))
+        if groups.isEmpty():
+            break
+        actions = stash.put(registry_matches(groups, known, dedup).select("id", "action", "registry_id"))
+    return known, judged
 
 
 def reinforce_job(items: DataFrame, log: DataFrame, as_of: Column, window_days: int = 90, batch: int | None = 500, epsilon: float = 0.005) -> DataFrame:
