@@ -24,6 +24,11 @@ def collapsed(x: Column) -> Column:
     return trimmed(F.regexp_replace(F.lower(x), r"\s+", " "))
 
 
+def tokens(x: Column) -> Column:
+    """Lower-cased runs of letters a-z and digits, in order, repeats included."""
+    return F.array_remove(F.split(F.lower(F.coalesce(x, F.lit(""))), "[^a-z0-9]+"), "")
+
+
 def token_set(x: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(x), "[^a-z0-9]+"), lambda t: t != ""))
 

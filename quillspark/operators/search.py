@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import token_set
+from quillspark.functions.text import token_set, tokens
 from quillspark.operators.vectors import nearest_neighbours
+from quillspark.runtime import Stash
 
 #: The rank constant of the fusion, weights of text and vectors, and the hits kept.
 RANK_CONSTANT, TEXT_WEIGHT, VECTOR_WEIGHT, TOP = 60, 0.4, 0.6, 5
@@ -29,6 +30,61 @@ def lexical_hits(signals: DataFrame, items: DataFrame, depth: int = 50) -> DataF
     return few.withColumn("rank", F.row_number().over(Window.partitionBy("signal_key").orderBy(*best))).where(F.col("rank") <= depth)
 
 
+def _best(rows: DataFrame, depth: int) -> DataFrame:
+    """Each signal's ``depth`` best rows by ``score``, then least ids, with their ``rank``; found in salted groups and then among those."""
+    best = (F.desc("score"), F.asc("id"))
+    salted = Window.partitionBy("signal_key", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy(*best)
+    few = rows.withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= depth)
+    return few.withColumn("rank", F.row_number().over(Window.partitionBy("signal_key").orderBy(*best))).where(F.col("rank") <= depth)
+
+
+def text_terms(signals: DataFrame, items: DataFrame, k1: float = 1.2, b: float = 0.75) -> tuple[DataFrame, DataFrame]:
+    """The signals' words, ``signal_key, word, df, bound``, and postings of those words, ``id, word, weight``.
+
+    A posting's weight is ``idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len / mean len))``,
+    with ``idf = ln(1 + (n - df + 0.5) / (df + 0.5))``; ``bound`` is what no weight of the word
+    reaches.  Items are read for words that are asked for only; empty items count in
+    ``n`` and the mean length.
+    """
+    stash = Stash(items.sparkSession, "postings")
+    wanted = stash.put(signals.select("signal_key", F.explode(F.array_distinct(tokens(F.col("search_text")))).alias("word")))
+    texts = items.select("id", tokens(F.col("content")).alias("words")).withColumn("len", F.size("words"))
+    n, mean = texts.agg(F.count("*"), F.avg("len")).first()
+    words = texts.select("id", "len", F.explode("words").alias("word")).join(wanted.select("word").distinct(), "word", "left_semi")
+    counted = stash.put(words.groupBy("id", "word").agg(F.count("*").alias("tf"), F.max("len").alias("len")))
+    df = stash.put(counted.groupBy("word").agg(F.count("*").alias("df")))
+    idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    scale = F.col("tf") + k1 * (1 - b + b * F.col("len") / F.lit(mean or 1.0))
+    postings = counted.join(df, "word").select("id", "word", (idf * F.col("tf") * (k1 + 1) / scale).alias("weight"))
+    return wanted.join(df, "word").select("signal_key", "word", "df", (idf * (k1 + 1)).alias("bound")), stash.put(postings)
+
+
+def full_text_hits(signals: DataFrame, items: DataFrame, depth: int = 50, digits: int = 9, seeds: int = 8) -> DataFrame:
+    """The ``depth`` items that rank highest for each signal by the weights of its words: ``signal_key, id, score, rank``.
+
+    Frequent words are not expanded where they can't decide.  A signal's rarest words
+    (of some ``seeds * depth`` postings) alone give ``depth`` items of some score; words
+    whose bounds together stay below it can't bring in an item by themselves.  Only the
+    others' postings make candidates, which then get the weights of all words, so the
+    result is that of scoring everything.  Scores are rounded to ``digits``, lest
+    the order of sums decides between equal ones; ties go to the least id.
+    """
+    stash = Stash(items.sparkSession, "full-text")
+    terms, postings = text_terms(signals, items)
+    terms = stash.put(terms)
+    rarest = Window.partitionBy("signal_key").orderBy("df", "word").rowsBetween(Window.unboundedPreceding, -1)
+    seed = terms.withColumn("_before", F.coalesce(F.sum("df").over(rarest), F.lit(0))).where(F.col("_before") < seeds * depth)
+    partial = postings.join(seed.select("signal_key", "word"), "word").groupBy("signal_key", "id").agg(F.sum("weight").alias("score"))
+    floor = _best(partial, depth).where(F.col("rank") == depth).select("signal_key", F.col("score").alias("floor"))
+    weakest = Window.partitionBy("signal_key").orderBy("bound", "word").rowsBetween(Window.unboundedPreceding, 0)
+    bounded = terms.withColumn("_upto", F.sum("bound").over(weakest)).join(floor, "signal_key", "left")
+    strong = bounded.where(F.col("floor").isNull() | (F.col("_upto") >= F.col("floor") - 1e-6)).select("signal_key", "word")
+    candidates = stash.put(postings.join(strong, "word").select("signal_key", "id").distinct())
+    weighed = candidates.join(postings, "id").join(terms.select("signal_key", "word"), ["signal_key", "word"])
+    scored = weighed.groupBy("signal_key", "id").agg(F.round(F.sum("weight"), digits).alias("score"))
+    return _best(scored, depth)
+
+
 def vector_hits(signals: DataFrame, items: DataFrame, depth: int = 50) -> DataFrame:
     """The ``depth`` nearest items to each signal's embedding: ``signal_key, id, rank``."""
     s = signals.where(F.col("embedding").isNotNull()).select((-F.col("session_id") - 1).alias("id"), "embedding")

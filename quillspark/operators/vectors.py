@@ -15,7 +15,7 @@ from quillspark.operators.cutting import cut_components
 from quillspark.runtime import Stash, ship
 
 #: Rows of a side of a block, and cells that a search by index looks into.
-SIDE, PROBES = 1024, 8
+SIDE, PROBES = 2048, 8
 
 
 def _dealt(left: DataFrame, right: DataFrame, group: str | None, side: int) -> DataFrame:
@@ -68,13 +68,14 @@ def _met(left: DataFrame, right: DataFrame, within: str | None, cells: Cells | N
     return _dealt(left, right, group, side), ["_g", "l", "r"]
 
 
-def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int = SIDE, within: str | None = None, cells: Cells | None = None, probes: int = PROBES) -> DataFrame:
+def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int = SIDE, within: str | None = None, cells: Cells | None = None, probes: int = PROBES, least: float | None = None) -> DataFrame:
     """The ``k`` nearest rows of ``right`` to each of ``left`` by cosine, itself left out: ``id, neighbour, similarity, rank``.
 
     Both hold ``id, embedding``, and the column ``within``, if given, which must be
     equal (a null equals nothing); vectors of different lengths are not compared.
     Without ``cells`` exact: every block of left rows meets every block of right rows
-    (of its group) in one matrix product, which passes on only each row's best ``k``.
+    (of its group) in one matrix product, which passes on only each row's best ``k``,
+    and of those only such as reach the cosine ``least``, if it is given.
     With ``cells`` (``fit_cells``) a left row meets the rows of its ``probes`` nearest
     cells only; similarities are exact, a neighbour in another cell is missed.
     ``right`` may have been placed before (a column ``cell``).
@@ -85,6 +86,15 @@ def nearest_neighbours(left: DataFrame, right: DataFrame, k: int = 8, side: int
         ids, others, s = _cosines(pdf)
         if not s.size:
             return pd.DataFrame({"id": [], "neighbour": [], "similarity": []}).astype({"id": "int64", "neighbour": "int64", "similarity": "float64"})
+        if least is not None:
+            i, j = np.nonzero(s >= least)
+            found = s[i, j]
+            if len(i) and np.bincount(i).max() > k:
+                order = np.lexsort((others[j], -found, i))
+                i, j, found = i[order], j[order], found[order]
+                keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+                i, j, found = i[keep], j[keep], found[keep]
+            return pd.DataFrame({"id": ids[i].astype("int64"), "neighbour": others[j].astype("int64"), "similarity": found})
         take = min(k, s.shape[1])
         at = np.argpartition(-s, take - 1, axis=1)[:, :take] if take < s.shape[1] else np.tile(np.arange(take), (len(s), 1))
         found = np.take_along_axis(s, at, axis=1)
@@ -122,7 +132,7 @@ def similar_pairs(items: DataFrame, threshold: float = 0.85, k: int = 8, since:
 
     pool = items.where(live() & (F.col("source_type") != SUMMARY))
     outer = pool if since is None else pool.where(F.col("updated_at") > since)
-    near = nearest_neighbours(outer, pool, k, cells=cells, probes=probes).where(F.col("similarity") >= threshold)
+    near = nearest_neighbours(outer, pool, k, cells=cells, probes=probes, least=threshold)
     pairs = near.groupBy(F.least("id", "neighbour").alias("source_id"), F.greatest("id", "neighbour").alias("target_id")).agg(F.max("similarity").alias("similarity"))
     return pairs.orderBy("source_id", "target_id").limit(max_pairs) if max_pairs else pairs
 

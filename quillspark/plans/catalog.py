@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import scoring, text
 from quillspark.functions.vectors import normalized
-from quillspark.operators import aggregates, gates, ledger, scans, search, vectors, writes
+from quillspark.operators import aggregates, gates, ledger, runs, scans, search, vectors, writes
 from quillspark.operators.graph import connected_components
 from quillspark.operators.registry import registry_matches
 from quillspark.plans import jobs
@@ -90,7 +90,7 @@ def _hashed_words(texts: pd.Series) -> pd.Series:
 def _edges(spark: SparkSession, d: str) -> DataFrame:
     """Similar pairs of the embeddings, as an edge table."""
     e = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    near = vectors.nearest_neighbours(e, e, 8).where(F.col("similarity") >= THRESHOLD)
+    near = vectors.nearest_neighbours(e, e, 8, least=THRESHOLD)
     return near.groupBy(F.least("id", "neighbour").alias("source_id"), F.greatest("id", "neighbour").alias("target_id")).agg(F.max("similarity").alias("similarity"))
 
 
@@ -251,6 +251,21 @@ def _(spark, d):
     return _edges(spark, d).select("source_id", "target_id", F.round("similarity", 6).alias("similarity"))
 
 
+_SEARCHED = f"""{ITEMS}, fives AS (SELECT a.vec_id AS id, list_transform(list_zip(a.embedding, b.embedding), lambda z: z[1]::DOUBLE * 0.35::DOUBLE + z[2]::DOUBLE) AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id - a.vec_id % 5), pool AS (SELECT id, updated_s, v FROM items JOIN fives USING (id) WHERE {LIVE} AND source_type <> 'summary'),
+ near AS (SELECT a.id, b.id AS other, list_cosine_similarity(a.v, b.v) AS s, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.id) AS k FROM pool a JOIN pool b ON a.id <> b.id WHERE a.updated_s > 1704067200 + 10 * 86400),
+ pairs AS (SELECT least(id, other) AS source_id, greatest(id, other) AS target_id, max(s) AS similarity FROM near WHERE k <= 8 AND s >= 0.85 GROUP BY 1, 2)"""
+
+
+@query("D3_P3_similar_pairs", f"WITH {_SEARCHED}, {EDGES} SELECT p.source_id, p.target_id, round(CASE WHEN e.weight IS NULL OR inferred_s IS NULL OR inferred_s < 1706659200 - 7 * 86400 THEN p.similarity ELSE e.weight END, 6) AS weight, CASE WHEN e.source_id IS NULL THEN 'inserted' WHEN e.weight IS NULL OR inferred_s IS NULL OR inferred_s < 1706659200 - 7 * 86400 THEN 'refreshed' ELSE 'skipped' END AS outcome FROM pairs p LEFT JOIN edges e ON e.source_id = p.source_id AND e.target_id = p.target_id AND e.relationship_type = 'relates_to'")
+def _(spark, d):
+    # the job as the store runs it: live items, those updated lately as searchers, the store's threshold, by index
+    items = A.memory_items(spark, d).select("id", "source_type", "updated_at", "is_active", "archived", "superseded_by").join(A.neighbourly_embeddings(spark, d), "id")
+    since = A.at("2024-01-11 00:00:00")
+    table, outcome = jobs.graph_job(items, A.memory_relationships(spark, d), A.at(), since=since, max_pairs=None)
+    weights = table.where("relationship_type = 'relates_to'").select("source_id", "target_id", F.round("weight", 6).alias("weight"))
+    return outcome.join(weights, ["source_id", "target_id"]).select("source_id", "target_id", "weight", "outcome")
+
+
 @query("D9_same_class_edges", f"WITH {ITEMS}, c AS (SELECT * FROM items WHERE is_active AND NOT archived), k AS (SELECT a.id AS source_id, b.id AS target_id, row_number() OVER (PARTITION BY a.id ORDER BY b.created_s DESC, b.id) AS k FROM c a JOIN c b ON a.project = b.project AND a.problem_class = b.problem_class AND a.id <> b.id) SELECT source_id, target_id, 'same_pattern_as' AS relationship_type, 0.9::DOUBLE AS weight FROM k WHERE k <= 5")
 def _(spark, d):
     items = A.memory_items(spark, d).where(scans.active()).withColumn("problem_class", F.get_json_object("metadata", "$.problem_signature.class"))
@@ -326,6 +341,21 @@ def _(spark, d):
     return out.select("signal_key", "id", F.round("similarity", 9).alias("similarity"), F.col("place").cast("long").alias("place"))
 
 
+_WORDS = lambda x: f"list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[^a-z0-9]+'), lambda t: t <> '')"
+
+
+@query("J1_D10_full_text", f"""WITH {PICKED}, {ITEMS}, signals AS (SELECT 'session:' || id AS signal_key, left(regexp_replace(summary, '^\\s+|\\s+$', '', 'g'), 2000) AS search_text FROM picked ORDER BY ended_s DESC, id LIMIT 10),
+ asked AS (SELECT DISTINCT signal_key, unnest({_WORDS('search_text')}) AS word FROM signals), t AS (SELECT id, {_WORDS('content')} AS w FROM items), m AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM t),
+ tf AS (SELECT id, word, count(*) AS tf, any_value(len) AS len FROM (SELECT id, len(w) AS len, unnest(w) AS word FROM t) WHERE word IN (SELECT word FROM asked) GROUP BY 1, 2), df AS (SELECT word, count(*) AS df FROM tf GROUP BY 1),
+ p AS (SELECT id, tf.word, ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / mean)) AS weight FROM tf JOIN df ON df.word = tf.word, m),
+ s AS (SELECT signal_key, id, round(sum(weight), 9) AS score FROM asked JOIN p ON p.word = asked.word GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY signal_key ORDER BY score DESC, id) AS rank FROM s)
+ SELECT signal_key, id, round(score, 6) AS score, rank FROM r WHERE rank <= 50""")
+def _(spark, d):
+    signals = scans.build_signals(scans.pick_sessions(A.memory_sessions(spark, d), A.at()))
+    out = search.full_text_hits(signals, A.memory_items(spark, d))
+    return out.select("signal_key", "id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
 @query("J3_J4_normalized", f"WITH {LOG} SELECT surface, count(*) AS n, round(sum({NORMALIZED('score / 3000')}), 6) AS total, round(sum(least(1, greatest(0, score / 300)) * CASE WHEN memory_id % 20 < 2 THEN 0.4 WHEN memory_id % 20 < 5 THEN 0.7 WHEN memory_id % 20 < 15 THEN 0.9 ELSE 1 END), 6) AS sized FROM log GROUP BY 1")
 def _(spark, d):
     log = A.memory_recall_log(spark, d)
@@ -456,6 +486,18 @@ def _(spark, d):
     return _promotion_outcomes(spark, d)[2].select("id", "outcome", "reason", "error", "matched_similarity")
 
 
+@query("B1_E16_run_ledger", f"""WITH {_DECIDED}, c AS (SELECT 'rows' AS counter, count(*) AS n FROM o UNION ALL SELECT k, count(outcome) FROM (VALUES ('promoted'), ('rejected'), ('deferred'), ('failed')) t(k) LEFT JOIN o ON outcome = k GROUP BY k
+ UNION ALL SELECT k, count(why) FROM (VALUES ('oversize'), ('invalid-source-agent'), ('duplicate'), ('near-duplicate'), ('recipe-level')) t(k) LEFT JOIN o ON why = k GROUP BY k)
+ SELECT 'promote' AS job, 'run-1' AS run_id, 'done' AS status, counter, n FROM c""")
+def _(spark, d):
+    out = _promotion_outcomes(spark, d)[2]
+    base = Stash(spark, "runs").base
+    counted = {k: F.col("outcome") == k for k in ("promoted", "rejected", "deferred", "failed")} | {k: F.coalesce(F.col("reason") == k, F.lit(False)) for k in ("oversize", "invalid-source-agent", "duplicate", "near-duplicate", "recipe-level")}
+    with runs.job_run(spark, f"{base}/ledger", "promote", "run-1", A.at()) as run:
+        run.write(out, f"{base}/outcomes", **counted)
+    return runs.latest_runs(spark.read.parquet(f"{base}/ledger")).select("job", "run_id", "status", F.explode("counters").alias("counter", "n"))
+
+
 @query("A17_promoted_counts_3d", f"WITH {INBOX} SELECT lower(trim(source_agent)) AS agent, count(*) AS promoted FROM inbox WHERE status = 'promoted' AND created_s >= 1706659200 - 72 * 3600 GROUP BY 1")
 def _(spark, d):
     return scans.promoted_counts(A.memory_inbox(spark, d), A.at(), 72)

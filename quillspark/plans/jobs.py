@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.vectors import norm
 from quillspark.operators import aggregates, gates, ledger, scans, search, vectors, verdicts, writes
+from quillspark.operators.cells import fit_cells
 from quillspark.operators.graph import connected_components
 from quillspark.operators.registry import registry_matches
 from quillspark.runtime import Stash
@@ -22,6 +23,7 @@ class InsightOptions:
     min_messages: int = 3
     min_similarity: float = 0.01
     depth: int = 50
+    text_rank: str = "shared"
 
 
 def insight_job(sessions: DataFrame, items: DataFrame, as_of: Column, options: InsightOptions | None = None, write: Callable[[DataFrame], DataFrame] | None = None, embeddings: DataFrame | None = None) -> DataFrame:
@@ -29,13 +31,15 @@ def insight_job(sessions: DataFrame, items: DataFrame, as_of: Column, options: I
 
     ``write`` may replace the placeholder texts (it gets and returns the rows).
     ``embeddings`` (``session_id, embedding``) adds the vector branch, over the items'
-    ``embedding``; sessions without one are searched by words alone.
+    ``embedding``; sessions without one are searched by words alone.  ``text_rank`` is
+    ``shared`` (number of common words) or ``weighted`` (full-text weights).
     """
     o = options or InsightOptions()
     stash = Stash(items.sparkSession, "insights")
     signals = stash.put(scans.build_signals(scans.pick_sessions(sessions, as_of, o.lookback_hours, o.min_messages, o.max_sessions)))
     near = None if embeddings is None else search.vector_hits(signals.join(embeddings, "session_id"), items, o.depth)
-    hits = search.fused(search.lexical_hits(signals, items, o.depth), near).where(~F.isnan("similarity") & (F.col("similarity") >= o.min_similarity))
+    lexical = search.full_text_hits if o.text_rank == "weighted" else search.lexical_hits
+    hits = search.fused(lexical(signals, items, o.depth), near).where(~F.isnan("similarity") & (F.col("similarity") >= o.min_similarity))
     related = stash.put(hits.join(items.select("id", "content", "project", "created_at"), "id"))
     scored = aggregates.insight_confidence(related)
     cited = related.groupBy("signal_key").agg(F.array_sort(F.collect_set("id")).alias("source_ids"), F.array_sort(F.collect_set(F.when(F.col("project") != "", F.col("project")))).alias("projects"))
@@ -86,8 +90,8 @@ def promote_job(inbox: DataFrame, items: DataFrame, as_of: Column, options: Prom
     good = mine.where("error is null and embedding is not null")
     pool = items.where(scans.live() & F.col("embedding").isNotNull()) if embed else None
     if pool is not None:
-        near = vectors.nearest_neighbours(good.select((-F.col("id") - 1).alias("id"), "embedding", "project"), pool.select("id", "embedding", "project").join(good.select("project").distinct(), "project", "left_semi"), 1, within="project")
-        stored = stash.put(near.where(F.col("similarity") >= gates.NEAR).select((-F.col("id") - 1).alias("id"), F.col("neighbour").alias("stored_id"), F.col("similarity").alias("stored")))
+        near = vectors.nearest_neighbours(good.select((-F.col("id") - 1).alias("id"), "embedding", "project"), pool.select("id", "embedding", "project").join(good.select("project").distinct(), "project", "left_semi"), 1, within="project", least=gates.NEAR)
+        stored = stash.put(near.select((-F.col("id") - 1).alias("id"), F.col("neighbour").alias("stored_id"), F.col("similarity").alias("stored")))
         classes = stash.put(good.groupBy("project", F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(2), "embedding").alias("h2")).agg(F.min("id").alias("class"), F.first("embedding").alias("embedding")))
         pairs = vectors.pairs_above(classes.select(F.col("class").alias("id"), "embedding", "project"), gates.NEAR, within="project")
         pairs = stash.put(pairs.select(F.col("id").alias("class"), F.col("neighbour").alias("other"), "similarity").union(classes.select("class", F.col("class").alias("other"), F.lit(1.0))))
@@ -117,9 +121,16 @@ def promote_job(inbox: DataFrame, items: DataFrame, as_of: Column, options: Prom
     )
 
 
-def graph_job(items: DataFrame, edges: DataFrame, as_of: Column, threshold: float = 0.85, k: int = 8, since: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """The edge table after adding similar pairs, and each pair's outcome."""
-    pairs = Stash(items.sparkSession, "graph").put(vectors.similar_pairs(items, threshold, k, since))
+def graph_job(items: DataFrame, edges: DataFrame, as_of: Column, threshold: float = 0.85, k: int = 8, since: Column | None = None, max_pairs: int | None = 5000, index: bool = True, probes: int = vectors.PROBES) -> tuple[DataFrame, DataFrame]:
+    """The edge table after adding similar pairs, and each pair's outcome.
+
+    With ``index`` neighbours are searched in coarse cells, fitted on a bounded sample of
+    the items; without it, exactly.
+    """
+    stash = Stash(items.sparkSession, "graph")
+    pool = stash.put(items.where(scans.live() & F.col("embedding").isNotNull()))
+    cells = fit_cells(pool) if index else None
+    pairs = stash.put(vectors.similar_pairs(pool, threshold, k, since, max_pairs, cells, probes))
     return ledger.upsert_edges(edges, pairs, as_of)
 
 

@@ -59,6 +59,14 @@ def memory_sessions(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def neighbourly_embeddings(spark: SparkSession, base: str) -> DataFrame:
+    """Vectors ``id, embedding`` that lie together by fives: each row's vector, weighed 0.35, on that of the least id of its five."""
+    e = load(spark, base, "embeddings").select("vec_id", "embedding")
+    lead = e.select(F.col("vec_id").alias("lead"), F.col("embedding").alias("base"))
+    both = e.withColumn("lead", F.col("vec_id") - F.col("vec_id") % 5).join(lead, "lead")
+    return both.select(F.col("vec_id").alias("id"), F.zip_with("embedding", "base", lambda x, y: x.cast("double") * 0.35 + y.cast("double")).alias("embedding"))
+
+
 def session_embeddings(spark: SparkSession, base: str) -> DataFrame:
     """A session's embedding is the vector of its id; sessions of other ids have none."""
     return load(spark, base, "embeddings").select(F.col("vec_id").alias("session_id"), "embedding")
