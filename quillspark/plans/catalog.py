@@ -18,6 +18,7 @@ from quillspark.operators.registry import registry_matches
 from quillspark.plans import jobs
 from quillspark.runtime import Stash, ship
 from quillspark.sources import adapters as A
+from quillspark.sources.functions import register_functions
 from quillspark.sources.tables import load
 
 #: The embeddings of the driver are nearly random; this threshold gives a graph worth clustering.
@@ -266,6 +267,27 @@ def _(spark, d):
     return outcome.join(weights, ["source_id", "target_id"]).select("source_id", "target_id", "weight", "outcome")
 
 
+@query("L_match_memories", f"""WITH {ITEMS}, {VECTORS}, pool AS (SELECT id, project, v FROM items JOIN unit USING (id) WHERE {LIVE}), asked AS (SELECT id, project, v FROM items JOIN unit USING (id) WHERE NOT ({LIVE})),
+ m AS (SELECT a.id, p.id AS match_id, list_cosine_similarity(a.v, p.v) AS s, row_number() OVER (PARTITION BY a.id ORDER BY list_cosine_similarity(a.v, p.v) DESC, p.id) AS k FROM asked a JOIN pool p USING (project))
+ SELECT id, match_id, round(s, 6) AS similarity FROM m WHERE k <= 3 AND s >= 0.2""")
+def _(spark, d):
+    items = A.memory_items(spark, d, embeddings=True).withColumn("embedding", F.transform("embedding", lambda x: x.cast("double")))
+    items.createOrReplaceTempView("memory_items")
+    A.memory_objectives(spark, d).createOrReplaceTempView("memory_objectives")
+    register_functions(spark)
+    # every item that is no longer live asks for the live ones of its project nearest to it
+    return spark.sql("""SELECT a.id, m.id AS match_id, round(m.similarity, 6) AS similarity FROM (SELECT * FROM memory_items WHERE embedding IS NOT NULL AND NOT (is_active AND NOT archived AND superseded_by IS NULL)) a,
+     LATERAL match_memories(a.embedding, 0.2D, 3, a.project) m""")
+
+
+@query("L_objective_list", f"WITH {GOALS} SELECT p.project, g.id, row_number() OVER (PARTITION BY p.project ORDER BY rank ASC NULLS LAST, content, g.id) AS place FROM (SELECT DISTINCT project FROM goals) p JOIN goals g ON g.project = p.project WHERE status = 'active'")
+def _(spark, d):
+    A.memory_items(spark, d, embeddings=True).withColumn("embedding", F.transform("embedding", lambda x: x.cast("double"))).createOrReplaceTempView("memory_items")
+    scans.normalize_objectives(A.memory_objectives(spark, d)).createOrReplaceTempView("memory_objectives")
+    register_functions(spark)
+    return spark.sql("SELECT p.project, o.id, CAST(o.place AS BIGINT) AS place FROM (SELECT DISTINCT project FROM memory_objectives) p, LATERAL objective_list(p.project) o")
+
+
 @query("D9_same_class_edges", f"WITH {ITEMS}, c AS (SELECT * FROM items WHERE is_active AND NOT archived), k AS (SELECT a.id AS source_id, b.id AS target_id, row_number() OVER (PARTITION BY a.id ORDER BY b.created_s DESC, b.id) AS k FROM c a JOIN c b ON a.project = b.project AND a.problem_class = b.problem_class AND a.id <> b.id) SELECT source_id, target_id, 'same_pattern_as' AS relationship_type, 0.9::DOUBLE AS weight FROM k WHERE k <= 5")
 def _(spark, d):
     items = A.memory_items(spark, d).where(scans.active()).withColumn("problem_class", F.get_json_object("metadata", "$.problem_signature.class"))
