@@ -86,6 +86,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", s
     ship(spark)
     stash = Stash(spark, "components")
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null and u <> v")
+    e = stash.put(e)  # where tasks made them in Python, these need not wait there while others reduce
     e = stash.put(e.mapInArrow(_reduced(False), e.schema))
     assigned, step = None, 0
     while (left := e.count()) > small:

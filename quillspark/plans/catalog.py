@@ -384,16 +384,38 @@ def _(spark, d):
     return log.groupBy("surface").agg(F.count("*").alias("n"), F.round(F.sum(scoring.normalized_rank_score(F.col("score") / 3000)), 6).alias("total"), F.round(F.sum(scoring.sized_score(F.col("score") / 300, F.col("memory_id") % 20)), 6).alias("sized"))
 
 
-@query("P1_J5_insights", f"""WITH {HITS}, rel AS (SELECT signal_key, h.id, similarity, project, created_s, trim(regexp_replace(lower(content), '\\s+', ' ', 'g')) AS t, {TOKENS('content')} AS w FROM hits h JOIN items USING (id)),
+_INSIGHTS = f"""WITH {HITS}, rel AS (SELECT signal_key, h.id, similarity, place, project, created_s, trim(regexp_replace(lower(content), '\\s+', ' ', 'g')) AS t, {TOKENS('content')} AS w FROM hits h JOIN items USING (id)),
  link AS (SELECT a.signal_key, a.id AS x, b.id AS y FROM rel a JOIN rel b ON a.signal_key = b.signal_key AND a.id < b.id AND (a.t = b.t OR len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w)))::DOUBLE >= 0.85)),
  reach(signal_key, node, seen) AS (SELECT signal_key, id, id FROM rel UNION SELECT r.signal_key, r.node, CASE WHEN l.x = r.seen THEN l.y ELSE l.x END FROM reach r JOIN link l ON l.signal_key = r.signal_key AND (l.x = r.seen OR l.y = r.seen)),
  c AS (SELECT signal_key, count(DISTINCT m) AS distinct_n FROM (SELECT signal_key, node, min(seen) AS m FROM reach GROUP BY 1, 2) GROUP BY 1),
  s AS (SELECT signal_key, max(similarity) AS best, count(DISTINCT CASE WHEN project <> '' THEN project END) AS projects, (max(created_s) - min(created_s)) / 86400.0::DOUBLE AS spread, count(*) AS n, string_agg(id::VARCHAR, ',' ORDER BY id) AS ids FROM rel GROUP BY 1),
- f AS (SELECT s.*, (0.55::DOUBLE * {NORMALIZED('best')} + CASE WHEN projects >= 2 THEN 0.3::DOUBLE ELSE 0 END + 0.15::DOUBLE * CASE WHEN n < 2 THEN 0 ELSE least(1, spread / 14) END) * CASE WHEN n <= 1 THEN 1 ELSE 0.5 + 0.5 * distinct_n / n::DOUBLE END AS raw FROM s JOIN c USING (signal_key))
- SELECT signal_key, ids, floor(least(1, greatest(0, raw)) * 1000 + 0.5) / 1000 AS confidence FROM f""".replace("WITH", "WITH RECURSIVE", 1))
+ f AS (SELECT s.*, (0.55::DOUBLE * {NORMALIZED('best')} + CASE WHEN projects >= 2 THEN 0.3::DOUBLE ELSE 0 END + 0.15::DOUBLE * CASE WHEN n < 2 THEN 0 ELSE least(1, spread / 14) END) * CASE WHEN n <= 1 THEN 1 ELSE 0.5 + 0.5 * distinct_n / n::DOUBLE END AS raw FROM s JOIN c USING (signal_key)),
+ done AS (SELECT *, round(floor(least(1, greatest(0, raw)) * 1000 + 0.5) / 1000 * CASE WHEN n <= 1 THEN 0.4::DOUBLE WHEN n < 5 THEN 0.7::DOUBLE WHEN n < 15 THEN 0.9::DOUBLE ELSE 1::DOUBLE END, 6) AS confidence FROM f)""".replace("WITH", "WITH RECURSIVE", 1)
+
+
+@query("P1_J5_insights", f"{_INSIGHTS} SELECT signal_key, ids, confidence FROM done")
 def _(spark, d):
     out = jobs.insight_job(A.memory_sessions(spark, d), A.memory_items(spark, d), A.at())
-    return out.select("signal_key", F.array_join(F.transform("source_ids", lambda x: x.cast("string")), ",").alias("ids"), "confidence")
+    return out.select("signal_key", F.array_join(F.transform(F.array_sort("source_ids"), lambda x: x.cast("string")), ",").alias("ids"), F.round("confidence", 6).alias("confidence"))
+
+
+@query("M_F6_written_insights", f"""{_INSIGHTS}, named AS (SELECT signal_key, project, min(place) AS place FROM rel WHERE project <> '' GROUP BY 1, 2), p AS (SELECT signal_key, string_agg(project, ', ' ORDER BY place) AS projects, count(*) AS np FROM named GROUP BY 1),
+ o AS (SELECT 'session:' || id AS signal_key, left(regexp_replace(summary, '^\\s+|\\s+$', '', 'g'), 240) AS description, created_s, id FROM picked), b AS (SELECT done.signal_key, n, ids, confidence, description, coalesce(p.projects, 'unknown') AS projects, coalesce(np, 0) AS np, row_number() OVER (ORDER BY created_s DESC NULLS LAST, o.id) - 1 AS place FROM done JOIN o ON o.signal_key = done.signal_key LEFT JOIN p ON p.signal_key = done.signal_key),
+ told AS (SELECT *, place // 3 AS batch, CASE place // 3 % 3 WHEN 0 THEN true WHEN 1 THEN place % 3 <> 1 ELSE false END AS synthesized FROM b), lead AS (SELECT signal_key, min_by(id, place) AS first FROM rel GROUP BY 1)
+ SELECT c.signal_key, synthesized, CASE WHEN synthesized THEN 'about ' || c.signal_key ELSE 'Found ' || n || CASE WHEN n = 1 THEN ' related memory from ' ELSE ' related memories from ' END || CASE WHEN np = 1 THEN 'project ' ELSE 'projects ' END || projects || ' about: ' || left(coalesce(description, ''), 180) END AS insight,
+ CASE WHEN synthesized AND batch % 3 = 0 THEN first::VARCHAR ELSE ids END AS ids, confidence FROM told c JOIN lead ON lead.signal_key = c.signal_key""")
+def _(spark, d):
+    # replies by batch: fenced with a comma too many and citing each signal's first item; single objects with rubbish between them, the second broken; nothing of use
+    def ask(prompts):
+        keys = F.regexp_extract_all("prompt", F.lit(r"(?m)^Signal (\S+)$"), F.lit(1))
+        first = F.regexp_extract_all("prompt", F.lit(r"Related:\n- id=(\d+)"), F.lit(1))
+        told = F.transform(F.arrays_zip(keys.alias("k"), first.alias("i")), lambda z: F.concat(F.lit('{"key":"'), z["k"], F.lit('","text":" about '), z["k"], F.lit('","cited_ids":["'), z["i"], F.lit('","77777777"]}')))
+        bare = F.transform(keys, lambda k, i: F.concat(F.lit('{"key":"'), k, F.when(i == 1, '" "text":').otherwise('","text":'), F.lit('"about '), k, F.lit('"}')))
+        reply = F.when(F.col("batch") % 3 == 0, F.concat(F.lit('Here:\n```json\n{"insights":['), F.array_join(told, ","), F.lit(",]}\n```"))).when(F.col("batch") % 3 == 1, F.array_join(bare, " NO JSON ")).otherwise("{ nothing ::: }")
+        return prompts.select("batch", reply.alias("reply"))
+
+    out = jobs.insight_job(A.memory_sessions(spark, d), A.memory_items(spark, d), A.at(), ask=ask)
+    return out.select("signal_key", "synthesized", "insight", F.array_join(F.transform(F.array_sort("source_ids"), lambda x: x.cast("string")), ",").alias("ids"), F.round("confidence", 6).alias("confidence"))
 
 
 @query("P5_reinforce_boosts", f"WITH {LOG}, {ITEMS}{BOOSTED} SELECT id, cited_count, surfaced_count, previous, round(boost, 6) AS boost FROM boost WHERE abs(boost - previous) >= 0.005")

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.scoring import sized_score
 from quillspark.functions.vectors import norm
-from quillspark.operators import aggregates, gates, ledger, scans, search, vectors, verdicts, writes
+from quillspark.operators import aggregates, gates, insights, ledger, scans, search, vectors, verdicts, writes
 from quillspark.operators.cells import fit_cells
 from quillspark.operators.graph import connected_components
 from quillspark.operators.registry import registry_matches
@@ -24,15 +25,19 @@ class InsightOptions:
     min_similarity: float = 0.01
     depth: int = 50
     text_rank: str = "shared"
+    max_calls: int = 100
 
 
-def insight_job(sessions: DataFrame, items: DataFrame, as_of: Column, options: InsightOptions | None = None, write: Callable[[DataFrame], DataFrame] | None = None, embeddings: DataFrame | None = None) -> DataFrame:
-    """Sessions to insights: pick, search, score.
+def insight_job(sessions: DataFrame, items: DataFrame, as_of: Column, options: InsightOptions | None = None, ask: Callable[[DataFrame], DataFrame] | None = None, embeddings: DataFrame | None = None) -> DataFrame:
+    """Sessions to insights: pick, search, score, write.
 
-    ``write`` may replace the placeholder texts (it gets and returns the rows).
-    ``embeddings`` (``session_id, embedding``) adds the vector branch, over the items'
-    ``embedding``; sessions without one are searched by words alone.  ``text_rank`` is
-    ``shared`` (number of common words) or ``weighted`` (full-text weights).
+    ``ask`` is a model's call over batches of three signals (``insights.written``);
+    without it all texts are placeholders.  ``embeddings`` (``session_id, embedding``)
+    adds the vector branch, over the items' ``embedding``; sessions without one are
+    searched by words alone.  ``text_rank`` is ``shared`` (number of common words) or
+    ``weighted`` (full-text weights).  Rows: ``signal_key, insight, confidence, source_ids,
+    projects`` (both in order of rank, projects once each), ``synthesized``; signals
+    without related items give none.
     """
     o = options or InsightOptions()
     stash = Stash(items.sparkSession, "insights")
@@ -42,11 +47,12 @@ def insight_job(sessions: DataFrame, items: DataFrame, as_of: Column, options: I
     hits = search.fused(lexical(signals, items, o.depth), near).where(~F.isnan("similarity") & (F.col("similarity") >= o.min_similarity))
     related = stash.put(hits.join(items.select("id", "content", "project", "created_at"), "id"))
     scored = aggregates.insight_confidence(related)
-    cited = related.groupBy("signal_key").agg(F.array_sort(F.collect_set("id")).alias("source_ids"), F.array_sort(F.collect_set(F.when(F.col("project") != "", F.col("project")))).alias("projects"))
-    rows = signals.join(cited, "signal_key").join(scored.select("signal_key", "n", "confidence"), "signal_key")
-    text = F.concat(F.lit("Session in "), F.coalesce("project", F.lit("unknown")), F.lit(" relates to "), F.col("n").cast("string"), F.when(F.col("n") == 1, " item").otherwise(" items"))
-    out = rows.where(F.size("source_ids") > 0).select("signal_key", text.alias("insight"), "confidence", "source_ids", "projects")
-    return write(out) if write else out
+    ranked = related.groupBy("signal_key").agg(F.array_sort(F.collect_list(F.struct("place", "id", "content", "project"))).alias("related"))
+    named = F.array_distinct(F.filter(F.transform("related", lambda r: r["project"]), lambda p: p.isNotNull() & (p != "")))
+    rows = signals.select("signal_key", "description", "created_at", "session_id").join(ranked, "signal_key").withColumn("projects", named)
+    rows = rows.join(scored.select("signal_key", "n", sized_score(F.col("confidence"), F.col("n")).alias("confidence")), "signal_key")
+    out = insights.written(rows, ask, [F.desc_nulls_last("created_at"), F.asc("session_id")], o.max_calls)
+    return out.select("signal_key", "insight", "confidence", "source_ids", "projects", "synthesized")
 
 
 @dataclass
