@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import scoring, text
 from quillspark.functions.vectors import normalized
-from quillspark.operators import aggregates, gates, ledger, runs, scans, search, vectors, writes
+from quillspark.operators import aggregates, gates, ledger, runs, scans, search, summaries, vectors, writes
 from quillspark.operators.graph import connected_components
 from quillspark.operators.registry import registry_matches
 from quillspark.plans import jobs
@@ -452,6 +452,31 @@ def _(spark, d):
     return jobs.consolidate_job(items, edges, none, A.at())
 
 
+_COMMUNITIES = f"""{ITEMS}, {EDGES}, pairs AS (SELECT source_id, target_id FROM edges WHERE coalesce(weight, 0.5) >= 0.5 AND NOT invalid AND (valid_s IS NULL OR valid_s <= 1706659200) AND source_id IN ({_ALIVE}) AND target_id IN ({_ALIVE})), {COMPONENTS},
+ z AS (SELECT component, count(*) AS n, list(node ORDER BY node) AS members, count(DISTINCT CASE WHEN project <> '' THEN project END) AS projects, max(CASE WHEN project <> '' THEN project END) AS project FROM comp JOIN items ON items.id = node GROUP BY 1 HAVING count(*) BETWEEN 4 AND 60 ORDER BY n DESC, component LIMIT 50)"""
+
+
+@query("B9_P6_summaries", f"""WITH {_COMMUNITIES}, top AS (SELECT coalesce(max(10000000 + component) FILTER (WHERE component % 4 <> 3), (SELECT max(doc_id) FROM documents)) AS top FROM z),
+ a AS (SELECT *, CASE component % 4 WHEN 0 THEN 'unchanged' WHEN 2 THEN 'foreign' ELSE CASE WHEN component % 7 = 5 THEN 'failed' WHEN component % 4 = 1 THEN 'update' ELSE 'insert' END END AS action FROM z),
+ b AS (SELECT *, CASE WHEN component % 4 <> 3 THEN 10000000 + component WHEN action = 'insert' THEN top + 1 + component END AS summary_id FROM a, top)
+ SELECT component AS community_key, action, summary_id, CASE WHEN action IN ('insert', 'update') THEN 'about ' || component || ' of ' || n WHEN component % 4 <> 3 THEN 'old' END AS content, CASE WHEN action IN ('insert', 'update') THEN CASE WHEN projects = 1 THEN project ELSE 'global' END WHEN component % 4 <> 3 THEN 'p' END AS project,
+ CASE WHEN action IN ('insert', 'update') OR component % 4 IN (0, 2) THEN array_to_string(members, ',') WHEN component % 4 = 1 THEN array_to_string(members[1:len(members) - 1], ',') END AS members FROM b""".replace("WITH", "WITH RECURSIVE", 1).replace(", RECURSIVE", ",", 1))
+def _(spark, d):
+    items, edges = A.memory_items(spark, d), A.memory_relationships(spark, d)
+    items = items.withColumn("embedding", F.lit(None).cast("array<float>"))
+    found = Stash(spark, "summaries").put(jobs.qualifying_communities(items, edges, A.at()))
+    k = F.col("community_key")
+    # by key: an owned summary of the same members, one of fewer, one that another wrote, none
+    held = F.when(k % 4 == 1, F.slice("members", 1, F.size("members") - 1)).otherwise(F.col("members"))
+    note = F.to_json(F.struct(F.struct(F.lit("community_summary").alias("kind"), k.alias("community_key"), held.alias("member_ids")).alias("consolidation")))
+    planted = found.where(k % 4 != 3).select((k + 10_000_000).alias("id"), F.lit("old").alias("content"), F.when(k % 4 == 2, "fact").otherwise(scans.SUMMARY).alias("source_type"), F.lit("p").alias("project"), note.alias("metadata"), F.lit(True).alias("is_active"), F.lit(False).alias("archived"))
+    every = items.unionByName(planted, allowMissingColumns=True)
+    said = F.concat(F.lit(" about "), k.cast("string"), F.lit(" of "), F.size(F.regexp_extract_all("prompt", F.lit(r"(?m)^\[\d+\] \((?:decision|architecture|preference|bug_fix|fact)"), F.lit(0))).cast("string"))
+    after, done = summaries.summarize(every, found, A.at(), lambda p: p.select("community_key", F.when(k % 7 != 5, said).alias("reply")), max_calls=None)
+    of = after.select(F.col("id").alias("summary_id"), "content", "project", F.array_join(F.from_json(F.get_json_object("metadata", "$.consolidation.member_ids"), "array<string>"), ",").alias("members"))
+    return done.join(of, "summary_id", "left").select("community_key", "action", "summary_id", "content", "project", "members")
+
+
 @query("P7_sweep_edges")
 def _(spark, d):
     return jobs.sweep_job(A.memory_items(spark, d), A.sweep_ledger(spark, d), A.at())[0]

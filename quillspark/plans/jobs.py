@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.scoring import sized_score
 from quillspark.functions.vectors import norm
-from quillspark.operators import aggregates, gates, insights, ledger, scans, search, vectors, verdicts, writes
+from quillspark.operators import aggregates, gates, insights, ledger, scans, search, summaries, vectors, verdicts, writes
 from quillspark.operators.cells import fit_cells
 from quillspark.operators.graph import connected_components
 from quillspark.operators.registry import registry_matches
@@ -231,14 +231,24 @@ def communities(edges: DataFrame, least: int = 4, most: int = 60) -> DataFrame:
     return sizes.withColumn("verdict", F.when(F.col("n") < least, "too_small").when(F.col("n") > most, "too_large").otherwise("qualifying"))
 
 
-def consolidate_job(items: DataFrame, edges: DataFrame, summaries: DataFrame, as_of: Column, min_weight: float = 0.5, least: int = 4, most: int = 60, budget: int = 50) -> DataFrame:
-    """Qualifying communities, largest first up to the budget, with the action on their summaries."""
+def qualifying_communities(items: DataFrame, edges: DataFrame, as_of: Column, min_weight: float = 0.5, least: int = 4, most: int = 60, budget: int = 50) -> DataFrame:
+    """Communities ``community_key, n, members`` (sorted) of live edges, of ``least`` to ``most`` members, the ``budget`` largest."""
     stash = Stash(items.sparkSession, "communities")
     links = stash.put(scans.live_edges(edges, items, as_of, min_weight))
     comp = connected_components(links, "source_id", "target_id")
     sizes = comp.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n").between(least, most)).orderBy(F.desc("n"), "component").limit(budget)
-    grouped = comp.join(sizes, "component").groupBy(F.col("component").alias("community_key")).agg(F.array_sort(F.collect_list("node")).alias("members"))
-    return ledger.upsert_summaries(summaries, grouped)
+    return comp.join(sizes, "component").groupBy(F.col("component").alias("community_key"), "n").agg(F.array_sort(F.collect_list("node")).alias("members"))
+
+
+def consolidate_job(items: DataFrame, edges: DataFrame, known: DataFrame, as_of: Column, min_weight: float = 0.5, least: int = 4, most: int = 60, budget: int = 50) -> DataFrame:
+    """Qualifying communities, largest first up to the budget, with the action on their summaries."""
+    return ledger.upsert_summaries(known, qualifying_communities(items, edges, as_of, min_weight, least, most, budget).drop("n"))
+
+
+def summarize_job(items: DataFrame, edges: DataFrame, as_of: Column, ask: Callable[[DataFrame], DataFrame], min_weight: float = 0.5, least: int = 4, most: int = 60, budget: int = 50, max_calls: int | None = 40) -> tuple[DataFrame, DataFrame]:
+    """The items after communities were summarised, and what became of each community (``summaries.summarize``)."""
+    found = Stash(items.sparkSession, "summarize").put(qualifying_communities(items, edges, as_of, min_weight, least, most, budget))
+    return summaries.summarize(items, found, as_of, ask, least, max_calls)
 
 
 def sweep_job(items: DataFrame, swept: DataFrame, as_of: Column, extract: Callable[[DataFrame], DataFrame] | None = None, limit: int | None = 150) -> tuple[DataFrame, DataFrame]:
