@@ -62,9 +62,10 @@ def insight_confidence(related: DataFrame) -> DataFrame:
 
 def objective_fingerprints(objectives: DataFrame) -> DataFrame:
     """A hash per project that changes with any of its active objectives (a handful each)."""
-    line = F.concat_ws("|", F.col("id").cast("string"), F.coalesce(F.unix_timestamp("ratified_at").cast("string"), F.lit("")), F.coalesce(F.col("rank").cast("string"), F.lit("")), F.md5("content"))
+    ratified = F.date_format("ratified_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    line = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in (F.col("id").cast("string"), ratified, F.col("rank").cast("string"), F.col("content"))])
     grouped = objectives.where(F.col("status") == "active").groupBy("project").agg(F.array_sort(F.collect_list(line)).alias("lines"))
-    return grouped.select("project", F.concat(fnv1a(F.array_join("lines", "\n")), F.lit(":"), F.size("lines").cast("string")).alias("objectives_hash"))
+    return grouped.select("project", F.concat(F.lit("fnv1a:"), fnv1a(F.array_join("lines", "|")), F.lit(":"), F.size("lines").cast("string")).alias("objectives_hash"))
 
 
 def linkage(items: DataFrame, edges: DataFrame, objectives: DataFrame, source: str = "both") -> DataFrame:

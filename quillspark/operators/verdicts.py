@@ -46,18 +46,21 @@ def levels(replies: DataFrame) -> DataFrame:
 
 
 def contradictions(replies: DataFrame, shown: DataFrame) -> DataFrame:
-    """Flags ``memory_id, objective_id, severity, rationale, gist`` of judges' replies ``memory_id, reply``.
+    """Flags ``memory_id, objective_key, objective_id, severity, rationale, gist`` of judges' replies ``memory_id, reply``.
 
-    A flag must name an objective that was ``shown`` (``memory_id, objective_id``) and
-    give a reason; each objective once, ``MAX_FLAGS`` at most, in the reply's order.  An
-    unknown severity is medium.
+    A flag must name an objective that was ``shown`` (``memory_id, objective_id``, or with
+    the ``objective_key`` that it was shown by) and give a reason; each objective once,
+    ``MAX_FLAGS`` at most, in the reply's order.  An unknown severity is medium.
     """
+    if "objective_key" not in shown.columns:
+        shown = shown.withColumn("objective_key", F.col("objective_id").cast("string"))
     v = parsed(F.col("reply"), "contradictions array<struct<objective_id:string,severity:string,rationale:string,gist:string>>")
     rows = replies.select("memory_id", F.posexplode(v["contradictions"]).alias("at", "c"))
     severity = F.lower(F.trim("c.severity"))
-    rows = rows.select("memory_id", "at", F.expr("try_cast(trim(c.objective_id) as bigint)").alias("objective_id"), F.when(severity.isin("high", "low"), severity).otherwise("medium").alias("severity"), short(F.col("c.rationale"), 800).alias("rationale"), short(F.col("c.gist"), 300).alias("gist"))
-    rows = rows.where(F.length("rationale") > 0).join(shown.select("memory_id", "objective_id").distinct(), ["memory_id", "objective_id"], "left_semi")
-    once = rows.withColumn("k", F.row_number().over(Window.partitionBy("memory_id", "objective_id").orderBy("at"))).where("k = 1")
+    rows = rows.select("memory_id", "at", F.trim("c.objective_id").alias("objective_key"), F.when(severity.isin("high", "low"), severity).otherwise("medium").alias("severity"), short(F.col("c.rationale"), 800).alias("rationale"), short(F.col("c.gist"), 300).alias("gist"))
+    known = shown.select("memory_id", "objective_key", "objective_id").dropDuplicates(["memory_id", "objective_key"])
+    rows = rows.where(F.length("rationale") > 0).join(known, ["memory_id", "objective_key"])
+    once = rows.withColumn("k", F.row_number().over(Window.partitionBy("memory_id", "objective_key").orderBy("at"))).where("k = 1")
     few = once.withColumn("k", F.row_number().over(Window.partitionBy("memory_id").orderBy("at")))
     return few.where(F.col("k") <= MAX_FLAGS).drop("k", "at")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import json_merged, json_without
+from quillspark.functions.text import json_merged, json_without, objective_key
 from quillspark.operators import ledger, verdicts
 from quillspark.operators.gates import after_failure
 from quillspark.operators.registry import registry_centroids
@@ -149,7 +149,8 @@ def guard_writes(backlog: DataFrame, replies: DataFrame, objectives: DataFrame,
     """The flags that are new, and the ledger of judged items after the replies ``memory_id, reply``.
 
     ``backlog`` is that of ``contradiction_backlog``; an item is shown its project's
-    active objectives, and can only be found to contradict those.  A flag is written
+    active objectives, by their ids or, where they have none, by a hash of their text, and
+    can only be found to contradict those.  A flag is written
     once per item and objective.  A reply that can't be read finds nothing, and the item
     is judged all the same; only a call that failed (``error`` of ``replies``, where it
     has that column) is an error, which is tried again while attempts last.  Items
@@ -158,11 +159,11 @@ def guard_writes(backlog: DataFrame, replies: DataFrame, objectives: DataFrame,
     if "error" not in replies.columns:
         replies = replies.withColumn("error", F.lit(None).cast("string"))
     of = backlog.select(F.col("id").alias("memory_id"), "project", "objectives_hash")
-    goals = objectives.where(F.col("status") == "active").select(F.col("id").alias("objective_id"), "project")
-    shown = of.join(goals, "project").select("memory_id", "objective_id")
+    goals = _with_missing(objectives, {"content": "string"}).where(F.col("status") == "active").select(F.col("id").alias("objective_id"), "project", objective_key(F.col("id"), F.col("project"), F.col("content")).alias("objective_key"))
+    shown = of.join(goals, "project").select("memory_id", "objective_id", "objective_key")
     answered = replies.join(of, "memory_id")
     found = verdicts.contradictions(answered.where("error is null").select("memory_id", "reply"), shown).join(of.select("memory_id", "project"), "memory_id")
-    key = F.concat_ws(":", F.lit("contradiction"), F.col("memory_id").cast("string"), F.col("objective_id").cast("string"))
+    key = F.concat_ws(":", F.lit("contradiction"), F.col("memory_id").cast("string"), F.col("objective_key"))
     rows = found.select(key.alias("dedup_key"), F.lit("contradiction").alias("kind"), "project", "memory_id", "objective_id", "severity", "rationale", as_of.alias("created_at"))
     new = align(ledger.append_new(flags, rows), "objective_flags")
     count = new.groupBy("memory_id").agg(F.count("*").alias("flags_written"))

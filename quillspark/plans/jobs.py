@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.scoring import sized_score
+from quillspark.functions.text import objective_key
 from quillspark.functions.vectors import norm
 from quillspark.operators import aggregates, gates, insights, ledger, scans, search, summaries, vectors, verdicts, writes
 from quillspark.operators.cells import fit_cells
@@ -261,14 +262,24 @@ def sweep_job(items: DataFrame, swept: DataFrame, as_of: Column, extract: Callab
     return edges, ledger.upsert_ledger(swept, rows)
 
 
-def guard_job(items: DataFrame, objectives: DataFrame, links: DataFrame, flags: DataFrame, as_of: Column, judge: Callable[[DataFrame], DataFrame] | None = None, scanned: DataFrame | None = None, enabled: bool = False) -> dict[str, DataFrame]:
-    """Coverage, staleness flags that are new, and contradictions where a judge is given; nothing unless enabled."""
+def guard_job(items: DataFrame, objectives: DataFrame, links: DataFrame, flags: DataFrame, as_of: Column, judge: Callable[[DataFrame], DataFrame] | None = None, scanned: DataFrame | None = None, enabled: bool = False, run_id: str = "run", linkage_source: str = "both", limit: int | None = 60) -> dict[str, DataFrame]:
+    """The guard as one job; nothing unless enabled.
+
+    ``coverage``: rows to append to the coverage table; ``staleness`` and
+    ``contradictions``: flags that are new; ``scanned``: the ledger of judged items after
+    the run.  The last two only with a ``judge`` and a ledger: the judge gets the backlog's
+    ``memory_id, project, content, objectives`` (an array of ``objective_key, content``) and returns
+    ``memory_id, reply`` and, for calls that failed, ``error``.
+    """
     if not enabled:
         return {}
+    stash = Stash(items.sparkSession, "guard")
     known = scans.normalize_objectives(objectives)
-    out = {"coverage": aggregates.coverage(items, known, links, as_of), "staleness": ledger.append_new(flags, aggregates.stale_objectives(known, as_of))}
+    report = aggregates.coverage(items, known, links, as_of)
+    out = {"coverage": writes.coverage_rows(report, run_id, as_of, linkage_source=linkage_source), "staleness": ledger.append_new(flags, aggregates.stale_objectives(known, as_of))}
     if judge is not None and scanned is not None:
-        backlog = scans.contradiction_backlog(items, scanned, aggregates.objective_fingerprints(known), as_of)
-        verdicts = judge(backlog)
-        out["contradictions"] = verdicts.join(known.select(F.col("id").alias("objective_id")), "objective_id", "left_semi").where(F.length(F.trim("rationale")) > 0)
+        backlog = stash.put(scans.contradiction_backlog(items, scanned, aggregates.objective_fingerprints(known), as_of, limit=limit))
+        shown = known.where("status = 'active'").groupBy("project").agg(F.array_sort(F.collect_list(F.struct(objective_key(F.col("id"), F.col("project"), F.col("content")).alias("objective_key"), "content"))).alias("objectives"))
+        replies = stash.put(judge(backlog.join(shown, "project").select(F.col("id").alias("memory_id"), "project", "content", "objectives")))
+        out["contradictions"], out["scanned"] = writes.guard_writes(backlog, replies, known, flags, scanned, as_of)
     return out

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -76,6 +77,23 @@ class Stash:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clean_shared(spark: SparkSession, hours: float) -> list[str]:
+    """Delete the tables that finished runs left in the shared folder, those last written ``hours`` ago or earlier; their paths.
+
+    Results may read such tables, so nothing deletes them while a session works: call
+    this where no result of that age is read any more, say from a daily job.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/quillspark")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for found in fs.listStatus(root) if fs.exists(root) else []:
+        inner = [x.getModificationTime() for x in fs.listStatus(found.getPath())] if found.isDirectory() else []
+        if max([found.getModificationTime(), *inner]) <= (time.time() - hours * 3600) * 1000:
+            fs.delete(found.getPath(), True)
+            gone.append(found.getPath().toString())
+    return gone
+
+
 def ship(spark: SparkSession) -> None:
     """Make the package importable for Python workers, once per application.
 

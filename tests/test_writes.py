@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import text as T
 from quillspark.functions import vectors as V
 from quillspark.operators import aggregates, scans, writes
+from quillspark.plans import jobs
 from quillspark.sources import adapters as A
 from quillspark.sources.tables import SCHEMAS
 
@@ -130,3 +131,32 @@ def test_coverage_rows(spark):
     report = spark.createDataFrame([("p", 2, 30, 0, 0.0, True, "n")], "project string, objective_count long, writes long, linked_writes long, coverage_ratio double, drift boolean, note string")
     row = writes.coverage_rows(report, "r", A.at(), linkage_source="edges").first()
     assert (row.run_id, row.window_start, row.window_end, row.linkage_source, row.drift) == ("r", NOW - dt.timedelta(days=30), NOW, "edges", True)
+
+
+def test_the_guard_is_one_job(spark):
+    goals = spark.createDataFrame([(10, "p", 1, "ship weekly", "active", None), (None, "p", 2, "no new services", "active", None), (11, "q", 1, "x", "active", None)], "id long, project string, rank int, content string, status string, ratified_at timestamp")
+    rows = [(k, "w" * 60 if k < 9 else "short", "decision", p, NOW - dt.timedelta(days=1), True, False, None) for k, p in ((1, "p"), (2, "p"), (3, "q"), (4, "z"), (9, "p"))]
+    items = spark.createDataFrame(rows, "id long, content string, source_type string, project string, created_at timestamp, is_active boolean, archived boolean, superseded_by long")
+    links, flags, scanned = (spark.createDataFrame([], s) for s in ("memory_id long, objective_id long", SCHEMAS["objective_flags"], SCHEMAS["objective_scan"]))
+    asked = []
+
+    def judge(backlog):
+        got = backlog.collect()
+        asked.extend(got)
+        text = next(o.objective_key for r in got if r.project == "p" for o in r.objectives if o.objective_key != "10")
+        say = json.dumps({"contradictions": [{"objective_id": text, "severity": "high", "rationale": "adds one"}, {"objective_id": "11", "rationale": "not shown"}]})
+        return spark.createDataFrame([(r.memory_id, say if r.memory_id == 1 else "?", "timeout" if r.memory_id == 3 else None) for r in got], "memory_id long, reply string, error string")
+
+    out = jobs.guard_job(items, goals, links, flags, A.at(), judge, scanned, enabled=True, run_id="r7")
+    assert sorted(r.memory_id for r in asked) == [1, 2, 3] and {len(r.objectives) for r in asked if r.project == "p"} == {2}
+    new = out["contradictions"].collect()
+    assert [(r.memory_id, r.objective_id, r.severity) for r in new] == [(1, None, "high")] and new[0].dedup_key.startswith("contradiction:1:text:")
+    assert {r.memory_id: (r.status, r.flags_written, r.attempts) for r in out["scanned"].collect()} == {1: ("ok", 1, 1), 2: ("ok", 0, 1), 3: ("error", 0, 1)}
+    assert {(r.run_id, r.project) for r in out["coverage"].collect()} == {("r7", "p"), ("r7", "q")}
+    # judged items come again only where their project's objectives change, or after a failed call
+    again = []
+    jobs.guard_job(items, goals.where("rank = 1"), links, flags, A.at(), lambda b: again.extend(b.collect()) or spark.createDataFrame([], "memory_id long, reply string"), out["scanned"], enabled=True)
+    assert sorted(r.memory_id for r in again) == [1, 2, 3]
+    again.clear()
+    jobs.guard_job(items, goals, links, flags, A.at(), lambda b: again.extend(b.collect()) or spark.createDataFrame([], "memory_id long, reply string"), out["scanned"], enabled=True)
+    assert sorted(r.memory_id for r in again) == [3]
