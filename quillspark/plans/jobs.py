@@ -92,8 +92,7 @@ def promote_job(inbox: DataFrame, items: DataFrame, as_of: Column, options: Prom
         size = norm(F.col("embedding"))
         direct = ~F.isnan(size) & (size > 0) & (size < float("inf"))
         error = F.when(F.coalesce(F.size("embedding"), F.lit(0)) <= 0, "embedding-unavailable").when(~F.coalesce(direct, F.lit(False)), "similarity-not-a-number")
-        mine = given.withColumn("error", error)
-    mine = stash.put(mine)
+        mine = stash.put(given.withColumn("error", error))
     good = mine.where("error is null and embedding is not null")
     pool = items.where(scans.live() & F.col("embedding").isNotNull()) if embed else None
     if pool is not None:
@@ -108,13 +107,20 @@ def promote_job(inbox: DataFrame, items: DataFrame, as_of: Column, options: Prom
         pairs = stored.select(F.col("id").alias("class"), F.col("id").alias("other"), F.lit(0.0).alias("similarity"))
         of = mine.where("false").select("id", F.col("id").alias("class"))
     asked = batch.join(mine.where("error is null").select("id"), "id", "left_semi").join(stored, "id", "left_anti")
-    if classify is None:
-        kinds = asked.select("id", F.lit("kitchen").alias("level"), F.lit(None).cast("string").alias("rationale"), F.lit(None).cast("string").alias("source_type"))
-    else:
+    if classify is not None:
         kinds = classify(asked)
         kinds = kinds.select("id", "level", *[(F.col(c) if c in kinds.columns else F.lit(None).cast("string")).alias(c) for c in ("rationale", "source_type")])
-    kinds = stash.put(kinds.dropDuplicates(["id"]))
-    rows = batch.join(mine.select("id", "embedding", "error"), "id", "left").join(stored, "id", "left").join(kinds, "id", "left").join(of, "id", "left")
+        kinds = stash.put(kinds.dropDuplicates(["id"]))
+    if embed is None:  # nothing to compare, so nothing to join
+        none = {"embedding": "array<double>", "error": "string", "stored_id": "long", "stored": "double", "class": "long"}
+        rows = batch.withColumns({c: F.lit(None).cast(t) for c, t in none.items()})
+    else:
+        rows = batch.join(mine.select("id", "embedding", "error"), "id", "left").join(stored, "id", "left").join(of, "id", "left")
+    if classify is None:
+        none = {"level": "string", "rationale": "string", "source_type": "string"}
+        rows = rows.withColumns({c: F.lit("kitchen" if c == "level" else None).cast(t) for c, t in none.items()})
+    else:
+        rows = rows.join(kinds, "id", "left")
     passes = F.col("reason").isNull() & F.col("error").isNull() & F.col("stored").isNull() & F.coalesce(F.col("level") == "kitchen", F.lit(False))
     rows = stash.put(rows.withColumns({"passes": passes, "gated": F.col("reason").isNotNull(), "judged": F.lit(classify is not None)}))
     done = gates.settled(rows.select("id", "agent", "created_at", "gated", "passes", "class"), pairs, used, o.cap)
