@@ -16,6 +16,8 @@ from quillspark.operators.registry import registry_centroids
 from quillspark.runtime import Stash
 from quillspark.sources.tables import align
 
+# The reasons that are written, attempts-exhausted, recipe-level, split-into-subclusters, incoherent-cluster-unresolved, llm-verdict-unparseable.
+
 
 def _with_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
