@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import token_set, tokens
+from quillspark.functions.vectors import norm
+from quillspark.operators.scans import live
 from quillspark.operators.vectors import nearest_neighbours
 from quillspark.runtime import Stash
 
@@ -92,6 +94,19 @@ def vector_hits(signals: DataFrame, items: DataFrame, depth: int = 50) -> DataFr
     return near.select(F.concat(F.lit("session:"), (-F.col("id") - 1).cast("string")).alias("signal_key"), F.col("neighbour").alias("id"), "rank")
 
 
+def matched_memories(asked: DataFrame, items: DataFrame, least: float, n: int) -> DataFrame:
+    """The SQL function ``match_memories`` for many rows at once: ``id, match_id, similarity`` of the ``n`` live items of each row's project nearest to it.
+
+    ``asked`` holds ``id, project, embedding``.  Rows and items of a project meet in blocks
+    of matrix products; a lateral join makes a row of two vectors for each of their pairs.
+    """
+    direct = norm(F.col("embedding")) > 0
+    rows = asked.where(direct).select((-F.col("id") - 1).alias("id"), "embedding", "project")  # apart from the items' ids, as a row may find itself
+    pool = items.where(live() & direct).select("id", "embedding", "project")
+    near = nearest_neighbours(rows, pool, n, within="project", least=least)
+    return near.select((-F.col("id") - 1).alias("id"), F.col("neighbour").alias("match_id"), "similarity")
+
+
 def fused(text: DataFrame, vectors: DataFrame | None, top: int = TOP) -> DataFrame:
     """Reciprocal-rank fusion of the branches: ``signal_key, id, similarity, place``.
 

@@ -26,6 +26,7 @@ def register_functions(spark: SparkSession, items: str = "memory_items", objecti
     ``objective_list(project)``: active objectives in order, those without a rank last.
     ``match_memories(vector, least, n, project)``: the ``n`` live items of a project that
     are nearest and reach ``least``; vectors of another length, zero ones and nulls match nothing.
+    It is for a few rows: it compares pair by pair; ``search.matched_memories`` is the same for many.
     ``memory_hybrid_search(text, vector, n)``: live items by ranks of shared words and of
     vectors fused, words alone where the vector is null; ``n`` of them, five as a rule.
     """

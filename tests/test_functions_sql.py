@@ -35,6 +35,16 @@ def test_match_memories(spark, views):
     assert {tuple(r) for r in got} == {tuple(r) for r in near.select("id", "neighbour", F.round("similarity", 9)).collect()} and len(got) > 6
 
 
+def test_matches_of_many_rows_are_those_of_the_function(spark, views):
+    asked = spark.createDataFrame([(1000 + k, "pqr"[k % 3], v) for k, v in enumerate(np.random.default_rng(9).normal(size=(9, 4)).tolist())] + [(2000, "p", [0.0] * 4), (2001, None, [1.0] * 4), (2002, "p", None), (2003, "p", [2.0])], "id long, project string, embedding array<double>")
+    asked = asked.unionByName(views.where("id < 8").select("id", "project", "embedding"))
+    asked.createOrReplaceTempView("asked")
+    for least in (0.3, -1.0):
+        want = spark.sql(f"SELECT a.id, m.id AS match, round(m.similarity, 9) AS s FROM asked a, LATERAL match_memories(a.embedding, {least}D, 3, a.project) m").collect()
+        got = search.matched_memories(asked, views, least, 3).select("id", "match_id", F.round("similarity", 9)).collect()
+        assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want) and len(want) > 20
+
+
 def test_hybrid_search(spark, views):
     asked = spark.createDataFrame([("a", 1, "w1 w5 w9", [1.0, 0.0, 0.0, 0.5]), ("b", 2, "W7, w8", None)], "signal_key string, session_id long, search_text string, embedding array<double>")
     asked.createOrReplaceTempView("asked")
