@@ -6,6 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from quillspark.operators import summaries
+from quillspark.plans import jobs
 from quillspark.sources import adapters as A
 
 NOW = dt.datetime(2024, 1, 31)
@@ -77,3 +78,13 @@ def test_what_is_no_longer_owned_is_refused(spark):
     after, done = summaries.summaries_after(df, plan, spark.createDataFrame([(1, "text")], "community_key long, reply string"), A.at())
     assert [r.action for r in done.collect()] == ["foreign"] and after.first().content == "text 50"
     assert F is not None
+
+
+def test_communities_of_light_edges_beside_many_heavy_ones(spark):
+    # 50,000 heavy pairs were all that a cap of as many edges let through
+    i = F.col("id")
+    items = spark.range(100_010).select("id", F.lit("fact").alias("source_type"), F.lit(True).alias("is_active"), F.lit(False).alias("archived"), F.lit(None).cast("long").alias("superseded_by"))
+    edge = lambda target, weight: (i.alias("source_id"), target.alias("target_id"), F.lit("relates_to").alias("relationship_type"), F.lit(weight).alias("weight"))
+    edges = items.where("id < 100000 and id % 2 = 0").select(*edge(i + 1, 0.9)).union(items.where("id between 100000 and 100003").select(*edge(i + 1, 0.5)))
+    got = jobs.qualifying_communities(items, edges, F.lit("2024-01-31").cast("timestamp")).collect()
+    assert [(r.community_key, r.n, r.members) for r in got] == [(100_000, 5, list(range(100_000, 100_005)))]
