@@ -117,3 +117,10 @@ def test_failures_and_details_are_written(spark):
 def test_an_empty_batch(spark):
     _, _, out, _ = run(spark, [], [], 5, {"web-one": 2})
     assert out.collect() == []
+
+
+def test_only_claimed_rows_are_redacted(spark, monkeypatch):
+    seen, gate = [], gates.gate_rows
+    monkeypatch.setattr(gates, "gate_rows", lambda batch, *rest: seen.append(batch) or gate(batch, *rest))
+    jobs.promote_job(A.memory_inbox(spark, "/root/testdata/sf0.001"), A.memory_items(spark, "/root/testdata/sf0.001"), A.at(), jobs.PromoteOptions(batch=20))
+    assert seen[0].count() == 20 and "Limit" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()  # a plan with a limit lets Python see what is before it
