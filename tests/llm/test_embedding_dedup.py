@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from quillspark.llm import embedding_dedup as ed
 from quillspark.llm.embedding_dedup import cells, near_embeddings, nearest_e8, shortest_e8
@@ -73,3 +74,38 @@ def test_like_brute_force(spark, monkeypatch):
             assert (r.n_links, r.component_id, r.kept) == (0, r.vec_id, True)
         assert r.vec_id is None or r.kept == (r.vec_id == r.component_id)
     assert near_embeddings(df.limit(0)).collect() == []
+
+
+def test_small_blocks_are_compared_many_at_a_time(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows, links = [], set()
+    for group in range(700):
+        base = rng.normal(size=8)
+        blocks = [(0, 0), (0, 1), (1, 1)] if group % 7 == 0 else [(0, 0)]
+        members = [(group * 100 + k, k % 2 if len(blocks) > 1 else 0, base + rng.normal(size=8) * 0.15) for k in range(int(rng.integers(1, 7)))]
+        for l, r in blocks:
+            rows += [(group, l, r, own, i, 1 + i % 3, v.tolist()) for own in sorted({l, r}) for i, o, v in members if o == own]
+        links |= {(i, j) for i, _, v in members for j, _, w in members if i != j and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.95}
+    columns = list(zip(*rows))
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["group", "l", "r", "own", "rep", "size", "embedding"])
+    cut = [batch.slice(at, 101) for at in range(0, batch.num_rows, 101)]  # cuts through blocks
+    calls, multiplied = [], ed._links
+    monkeypatch.setattr(ed, "_links", lambda *a: calls.extend(found := list(multiplied(*a))) or found)
+    got, want = {}, {}
+    for out in ed._counted(0.95)(cut):
+        for rep, n in zip(*out.to_pydict().values()):
+            got[rep] = got.get(rep, 0) + n
+    for i, j in links:
+        want[i] = want.get(i, 0) + 1 + j % 3
+    assert len(links) > 1000 and {i: n for i, n in got.items() if n} == want
+    assert len(calls) < len({r[:3] for r in rows}) / 3  # products, not one for each block
+    edges = [e for out in ed._connected(0.95)(cut) for e in zip(*out.to_pydict().values())]
+    assert set(edges) and all(i // 100 == j // 100 and j < i for i, j in edges)
+
+
+def test_no_group_is_a_call_of_its_own(spark):
+    df = spark.createDataFrame([(k, [1.0, k % 5 / 10]) for k in range(50)], "vec_id long, embedding array<double>")
+    got = near_embeddings(df)
+    assert "InPandas" not in got._jdf.queryExecution().toString()
+    assert sorted((r.vec_id, r.n_links) for r in got.collect()) == [(i, n) for i, n, _ in brute([(k, [1.0, k % 5 / 10]) for k in range(50)])]
